@@ -24,9 +24,24 @@ def day_diff(end: Column | str, start: Column | str) -> Column:
     return F.datediff(_col(end), _col(start))
 
 
-def millis_to_day(ms: Column | str) -> Column:
-    """Epoch milliseconds to a ``yyyy-MM-dd`` string in the session time zone."""
-    return F.date_format(F.timestamp_millis(_col(ms).cast("long")), "yyyy-MM-dd")
+def millis_to_day(ms: Column | str, time_zone: str | None = "UTC") -> Column:
+    """Epoch milliseconds to a ``yyyy-MM-dd`` string.
+
+    ``time_zone="UTC"`` (default) is zone-free integer arithmetic; ``None``
+    uses the session time zone, like formatting a ``java.util.Date``.
+    """
+    millis = _col(ms).cast("long")
+    if time_zone == "UTC":
+        return F.date_from_unix_date(F.floor(millis / F.lit(86_400_000)).cast("int")).cast("string")
+    if time_zone is None:
+        return F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd")
+    return F.date_format(F.from_utc_timestamp(F.timestamp_millis(millis), time_zone), "yyyy-MM-dd")
+
+
+def ntz_to_millis(ts: Column | str) -> Column:
+    """Epoch milliseconds of a ``timestamp_ntz`` value (zone-free)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MILLISECOND", epoch, _col(ts).cast("timestamp_ntz"))
 
 
 def close_open_interval(end: Column | str, as_of: str | _dt.date, sentinel: str = OPEN_END) -> Column:

@@ -3,12 +3,18 @@
 A geohash of precision ``p`` has ``5p`` bits; longitude gets ``ceil(5p/2)`` and
 latitude ``floor(5p/2)`` of them, interleaved starting with longitude. The cell
 index along one axis is ``floor((v - lo) / span * 2^bits)`` clamped to
-``2^bits - 1``, which is exactly what repeated bisection yields. Interleaving is
-done with the usual Morton "spread bits" masks, then five bits at a time are
-mapped to the base32 alphabet. Everything stays inside whole-stage codegen.
-
-``geohash_sql`` renders the same formula as portable SQL text so oracles can
-repeat it operation for operation (identical IEEE steps, identical cells).
+``2^bits - 1``, which is exactly what repeated bisection yields.
+
+Each base32 digit takes a 3-bit slice of the leading axis (longitude for even
+digits, latitude for odd ones) and a 2-bit slice of the other. The pair
+``lead * 4 + follow`` indexes a 32-character string that holds the digit for
+every pair, built below from the alphabet by the interleaving rule. So every
+digit reads each axis once: the expression stays small even where the
+optimizer copies it (pushed-down filters get no subexpression elimination),
+and it compiles into whole-stage codegen.
+
+``geohash_sql`` renders the same formula as SQL text so oracles can repeat it
+operation for operation (identical IEEE steps, identical cells).
 """
 
 from __future__ import annotations
@@ -19,8 +25,20 @@ from pyspark.sql import functions as F
 # The geohash base32 alphabet, in digit order 0..31.
 GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 
-# Morton spread of a value below 2^16 into the even bit positions of 32 bits.
-_SPREAD_STEPS = ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555))
+
+def _slice_pair_digits() -> str:
+    """Digit of every (lead, follow) pair: the 3 lead bits sit at digit bits
+    4, 2, 0 and the 2 follow bits at 3, 1."""
+    out = []
+    for idx in range(32):
+        lead, follow = idx >> 2, idx & 3
+        value = ((lead >> 2) & 1) << 4 | ((follow >> 1) & 1) << 3 | ((lead >> 1) & 1) << 2
+        value |= (follow & 1) << 1 | (lead & 1)
+        out.append(GEOHASH_ALPHABET[value])
+    return "".join(out)
+
+
+PAIR_DIGITS = _slice_pair_digits()
 
 
 def _bits(precision: int) -> tuple[int, int]:
@@ -28,61 +46,67 @@ def _bits(precision: int) -> tuple[int, int]:
     return (total + 1) // 2, total // 2  # (longitude bits, latitude bits)
 
 
-def _cell(value: Column, lo: float, span: float, bits: int) -> Column:
-    top = (1 << bits) - 1
-    return F.least(F.floor((value - F.lit(lo)) / F.lit(span) * F.lit(float(1 << bits))), F.lit(top))
+def _layout(precision: int) -> list[tuple[int, int, int, int, bool]]:
+    """Per digit: (lng shift, lng mask, lat shift, lat mask, longitude leads)."""
+    lng_bits, lat_bits = _bits(precision)
+    used_x = used_y = 0
+    out = []
+    for j in range(precision):
+        nx = 3 if j % 2 == 0 else 2
+        used_x += nx
+        used_y += 5 - nx
+        out.append((lng_bits - used_x, (1 << nx) - 1, lat_bits - used_y, (1 << (5 - nx)) - 1, j % 2 == 0))
+    return out
 
 
-def _spread(v: Column) -> Column:
-    for shift, mask in _SPREAD_STEPS:
-        v = F.shiftleft(v, shift).bitwiseOR(v).bitwiseAND(F.lit(mask))
-    return v
+def _check(precision: int) -> None:
+    if not 1 <= precision <= 12:
+        raise ValueError("precision must be within 1..12")
 
 
 def geohash(lat: Column | str, lng: Column | str, precision: int) -> Column:
     """Base32 geohash of (lat, lng); null when either is null or out of range."""
-    if not 1 <= precision <= 6:
-        raise ValueError("precision must be within 1..6 (32-bit Morton code)")
+    _check(precision)
     lat = F.col(lat) if isinstance(lat, str) else lat
     lng = F.col(lng) if isinstance(lng, str) else lng
+    lat_d, lng_d = lat.cast("double"), lng.cast("double")
     lng_bits, lat_bits = _bits(precision)
-    x = _spread(_cell(lng.cast("double"), -180.0, 360.0, lng_bits))
-    y = _spread(_cell(lat.cast("double"), -90.0, 180.0, lat_bits))
-    # With an odd bit count longitude holds the last (even) positions.
-    if (5 * precision) % 2:
-        code = x.bitwiseOR(F.shiftleft(y, 1))
-    else:
-        code = F.shiftleft(x, 1).bitwiseOR(y)
-    alphabet = F.lit(GEOHASH_ALPHABET)
-    digits = [
-        F.substr(alphabet, F.shiftright(code, 5 * (precision - 1 - i)).bitwiseAND(F.lit(31)) + 1, F.lit(1))
-        for i in range(precision)
-    ]
-    valid = lat.between(-90.0, 90.0) & lng.between(-180.0, 180.0)
-    return F.when(valid, F.concat(*digits))
+    # least() ignores nulls, so validity joins as a 0-or-null term.
+    guard = F.when(lat_d.between(-90.0, 90.0) & lng_d.between(-180.0, 180.0), F.lit(0))
+
+    def cell(v: Column, lo: float, span: float, bits: int) -> Column:
+        scaled = F.floor((v - F.lit(lo)) / F.lit(span) * F.lit(float(1 << bits)))
+        return F.least(scaled, F.lit((1 << bits) - 1)) + guard
+
+    x = cell(lng_d, -180.0, 360.0, lng_bits)
+    y = cell(lat_d, -90.0, 180.0, lat_bits)
+    table = F.lit(PAIR_DIGITS)
+    digits = []
+    for sx, mx, sy, my, lng_leads in _layout(precision):
+        xs = F.shiftright(x, sx).bitwiseAND(F.lit(mx))
+        ys = F.shiftright(y, sy).bitwiseAND(F.lit(my))
+        idx = xs * F.lit(4) + ys if lng_leads else ys * F.lit(4) + xs
+        digits.append(F.substr(table, idx + 1, F.lit(1)))
+    return F.concat(*digits)
 
 
 def geohash_sql(lat: str, lng: str, precision: int) -> str:
-    """The same formula as SQL text (DuckDB/Spark SQL dialects both accept it)."""
+    """The same formula as SQL text (DuckDB syntax)."""
+    _check(precision)
     lng_bits, lat_bits = _bits(precision)
+    guard = f"CASE WHEN ({lat}) BETWEEN -90.0 AND 90.0 AND ({lng}) BETWEEN -180.0 AND 180.0 THEN 0 END"
 
     def cell(v: str, lo: float, span: float, bits: int) -> str:
         return (
-            f"least(CAST(floor((CAST({v} AS DOUBLE) - ({lo})) / {span} * {float(1 << bits)}) AS BIGINT), "
-            f"{(1 << bits) - 1})"
+            f"(least(CAST(floor((CAST({v} AS DOUBLE) - ({lo})) / {span} * {float(1 << bits)}) AS BIGINT), "
+            f"{(1 << bits) - 1}) + {guard})"
         )
 
-    def spread(v: str) -> str:
-        for shift, mask in _SPREAD_STEPS:
-            v = f"((({v}) << {shift}) | ({v})) & {mask}"
-        return f"({v})"
-
-    x = spread(cell(lng, -180.0, 360.0, lng_bits))
-    y = spread(cell(lat, -90.0, 180.0, lat_bits))
-    code = f"({x} | ({y} << 1))" if (5 * precision) % 2 else f"(({x} << 1) | {y})"
-    digits = ", ".join(
-        f"substr('{GEOHASH_ALPHABET}', CAST(((({code}) >> {5 * (precision - 1 - i)}) & 31) + 1 AS INTEGER), 1)"
-        for i in range(precision)
-    )
-    valid = f"{lat} BETWEEN -90.0 AND 90.0 AND {lng} BETWEEN -180.0 AND 180.0"
-    return f"CASE WHEN {valid} THEN concat({digits}) END"
+    x, y = cell(lng, -180.0, 360.0, lng_bits), cell(lat, -90.0, 180.0, lat_bits)
+    digits = []
+    for sx, mx, sy, my, lng_leads in _layout(precision):
+        # DuckDB gives | & << >> one precedence level: parenthesise every step.
+        xs, ys = f"(({x} >> {sx}) & {mx})", f"(({y} >> {sy}) & {my})"
+        idx = f"{xs} * 4 + {ys}" if lng_leads else f"{ys} * 4 + {xs}"
+        digits.append(f"substr('{PAIR_DIGITS}', CAST({idx} + 1 AS INTEGER), 1)")
+    return " || ".join(digits)  # || (unlike concat) keeps NULL

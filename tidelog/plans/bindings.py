@@ -14,8 +14,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.operators import activity, versions, wordcount
+from tidelog.functions.geo import geohash
+from tidelog.operators import activity, geo, identity, keywords, logs, urls, versions, wordcount
+from tidelog.plans import derive
+from tidelog.plans.pipelines import preprocess_logs
 from tidelog.plans.tables import table
+from tidelog.session import checkpoint_dir
+from tidelog.sources import readers, sinks
 
 # Parameters shared with the oracles (fixed by the bindings, not by the data).
 AS_OF = "2024-01-31"
@@ -78,6 +83,148 @@ def word_count_first10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordcount.word_count(docs, "text", WHITESPACE, top=10, order="word")
 
 
+# --- access logs (C1) -------------------------------------------------------
+
+_EVENT_COLS = ("k", "url", "title")
+
+
+def _flat(records: DataFrame) -> DataFrame:
+    keep = [c for c in records.columns if c not in ("event", *geo.GEO_COLUMNS)]
+    ev = [F.try_element_at("event", F.lit(k)).alias("event_" + k) for k in _EVENT_COLS]
+    return records.select(*keep, *ev)
+
+
+def log_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat(logs.parse_logs(derive.log_lines(spark, sf_dir)))
+
+
+def log_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejects = logs.rejected_logs(derive.log_lines(spark, sf_dir))
+    return rejects.select(F.substr("value", F.lit(1), F.lit(23)).alias("line_ts"))
+
+
+def identity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = logs.identity_filter(logs.parse_logs(derive.log_lines(spark, sf_dir)))
+    return kept.select("commit_time", *logs.IDENTITY_COLUMNS)
+
+
+def _area_dic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geo.build_area_dic(readers.parse_area_dump(derive.area_dump_lines(spark, sf_dir)))
+
+
+def _biz_dic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geo.build_biz_dic(readers.parse_biz_dump(derive.biz_dump_lines(spark, sf_dir)))
+
+
+def _preprocessed(spark: SparkSession, sf_dir: str):
+    return preprocess_logs(derive.log_lines(spark, sf_dir), _area_dic(spark, sf_dir), _biz_dic(spark, sf_dir))
+
+
+def geo_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _preprocessed(spark, sf_dir).records.select("commit_time", "cookieid", *geo.GEO_COLUMNS)
+
+
+def unmatched_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _preprocessed(spark, sf_dir).unmatched
+
+
+def title_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recs = _preprocessed(spark, sf_dir).records
+    return recs.select("commit_time", "cookieid", F.try_element_at("event", F.lit("keyword")).alias("keyword"))
+
+
+def traffic_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recs = _preprocessed(spark, sf_dir).records
+    return urls.traffic_detail(recs, derive.url_dimension(spark, sf_dir))
+
+
+def url_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("url")
+    return urls.url_categories(pages, derive.url_dimension(spark, sf_dir), "url")
+
+
+# --- geo dictionaries (C2, C3) -----------------------------------------------
+
+
+def geohash_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    lng, lat = derive.point(F.col("c_custkey"), F.col("c_custkey") * 3)
+    return c.select("c_custkey", geohash(lat, lng, 5).alias("geohash5"), geohash(lat, lng, 6).alias("geohash6"))
+
+
+def area_dump_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.parse_area_dump(derive.area_dump_lines(spark, sf_dir))
+
+
+def biz_dump_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.parse_biz_dump(derive.biz_dump_lines(spark, sf_dir))
+
+
+def area_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geo.area_hierarchy(readers.parse_area_dump(derive.area_dump_lines(spark, sf_dir)))
+
+
+def area_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _area_dic(spark, sf_dir)
+
+
+def biz_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _biz_dic(spark, sf_dir)
+
+
+def biz_dictionary_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geo.dedupe_dictionary(_biz_dic(spark, sf_dir))
+
+
+def geocode_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geo.geocode_dictionary(derive.geocode_responses(spark, sf_dir))
+
+
+# --- identities (C7) ---------------------------------------------------------
+
+
+def _components(spark: SparkSession, sf_dir: str):
+    return identity.resolve_identities(derive.identity_rows(spark, sf_dir), ["order_id", "offer_id"])
+
+
+def identity_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _components(spark, sf_dir).labels
+
+
+def component_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _components(spark, sf_dir).sizes
+
+
+# --- text ------------------------------------------------------------------
+
+
+def stopword_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    words = wordcount.split_words(docs, "text", r"[^\p{L}\p{N}]+")
+    stops = spark.createDataFrame([(w,) for w in keywords.STOP_WORDS], "word string")
+    kept = keywords.remove_stopwords(words, stops)
+    return kept.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- text file -> typed parquet and back (C9) --------------------------------
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/tidelog-{name}-{uuid.uuid4().hex}"
+
+
+def roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer -> comma text (S14) -> typed columns (S10) -> parquet (S13) -> read (S4)."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    text_dir, parquet_dir = _scratch(spark, "text"), _scratch(spark, "parquet")
+    sinks.write_lines(c, text_dir)
+    typed = readers.read_delimited(spark, text_dir, "id int, name string, segment string")
+    sinks.write_parquet(typed, parquet_dir)
+    return readers.read_parquet(spark, parquet_dir)
+
+
 QUERIES: dict[str, Query] = {
     "activity_zipper": activity_zipper,
     "open_interval_close": open_interval_close,
@@ -87,4 +234,24 @@ QUERIES: dict[str, Query] = {
     "word_count": word_count,
     "word_count_top10": word_count_top10,
     "word_count_first10": word_count_first10,
+    "log_flatten": log_flatten,
+    "log_rejects": log_rejects,
+    "identity_filter": identity_filter,
+    "geohash_points": geohash_points,
+    "area_dump_parse": area_dump_parse,
+    "biz_dump_parse": biz_dump_parse,
+    "area_hierarchy": area_hierarchy,
+    "area_dictionary": area_dictionary,
+    "biz_dictionary": biz_dictionary,
+    "biz_dictionary_dedup": biz_dictionary_dedup,
+    "geo_enrich": geo_enrich,
+    "unmatched_coordinates": unmatched_coordinates,
+    "title_keywords": title_keywords,
+    "url_category": url_category,
+    "traffic_detail": traffic_detail,
+    "geocode_parse": geocode_parse,
+    "identity_components": identity_components,
+    "component_sizes": component_sizes,
+    "stopword_anti": stopword_anti,
+    "roundtrip_parquet": roundtrip_parquet,
 }

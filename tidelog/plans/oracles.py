@@ -64,3 +64,190 @@ SELECT app_name, app_date, app_ver, next_ver FROM o WHERE next_ver IS NOT NULL""
 }
 
 __all__ = ["ORACLES", "geohash_sql"]
+
+
+# --- shared SQL pieces for the derived inputs ---------------------------------
+
+
+def _lng(u: str, e: str) -> str:
+    return f"(100.0 + CAST(({u}) % 40 AS DOUBLE) * 0.25 + CAST(({e}) % 16 AS DOUBLE) / 64.0)"
+
+
+def _lat(u: str, e: str) -> str:
+    return f"(20.0 + CAST(({u}) % 20 AS DOUBLE) * 0.25 + CAST(({e}) % 8 AS DOUBLE) / 32.0)"
+
+
+def _gh(u: str, e: str, p: int) -> str:
+    return geohash_sql(_lat(u, e), _lng(u, e), p)
+
+
+_STOP_SQL = "[" + ", ".join("'" + w + "'" for w in (
+    "了", "是", "is", "are", "的", "地", "得", "使", "要", "啦", "，", ",", "。", ".", "！", "!", "、", "？", "就要"
+)) + "]"
+
+_RECS = f"""
+pg AS (
+  SELECT page_id, url, regexp_extract(html, '<title>(.*?)</title>', 1) AS title FROM pages),
+ev AS (
+  SELECT e.event_id, e.ts, e.user_id, e.event_type, e.value,
+         json_extract_string(e.props, '$.k') AS k, pg.url AS page_url, pg.title,
+         coalesce(e.event_type = 'error' AND e.value < 10, false) AS anon,
+         coalesce((e.event_type = 'error' AND e.value >= 150) OR (e.event_type = 'signup' AND e.value >= 150), false) AS bad
+  FROM events e LEFT JOIN pg ON pg.page_id = TRY_CAST(json_extract_string(e.props, '$.k') AS BIGINT)),
+recs AS (
+  SELECT 'ck' || CAST(user_id AS VARCHAR) AS cookieid,
+         CASE WHEN anon THEN 'null' ELSE 'acct' || CAST(user_id AS VARCHAR) END AS account,
+         CASE WHEN anon THEN NULL ELSE 'im' || CAST(user_id AS VARCHAR) END AS imei,
+         CASE WHEN user_id % 2 = 0 THEN 'android' ELSE 'ios' END AS osName,
+         CAST(user_id % 5 + 8 AS VARCHAR) || '.0' AS osVer,
+         '1080*1920' AS resolution,
+         CASE WHEN anon THEN 'null' ELSE 'ad' || CAST(user_id AS VARCHAR) END AS androidId,
+         'mf' || CAST(user_id % 7 AS VARCHAR) AS manufacture,
+         CASE WHEN anon THEN '' ELSE 'dv' || CAST(user_id AS VARCHAR) END AS deviceId,
+         'app.shop' AS appid,
+         '2.' || CAST(user_id % 4 AS VARCHAR) AS appVer,
+         'ch' || CAST(user_id % 3 AS VARCHAR) AS release_ch,
+         'pr' || CAST(event_id % 5 AS VARCHAR) AS promotion_ch,
+         CAST(user_id % 100 + 110000 AS VARCHAR) AS areacode,
+         {_lng('user_id', 'event_id')} AS longtitude,
+         {_lat('user_id', 'event_id')} AS latitude,
+         CASE WHEN event_id % 2 = 0 THEN 'cm' ELSE 'cu' END AS carrier,
+         CASE WHEN user_id % 3 = 0 THEN 'wifi' ELSE '4g' END AS netType,
+         CASE WHEN anon THEN ' ' ELSE CAST(user_id AS VARCHAR) || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) END AS sessionId,
+         CASE WHEN event_type = 'view' THEN 'pg_view' ELSE event_type END AS logType,
+         CAST(epoch_us(ts) // 1000 AS BIGINT) AS commit_time,
+         k AS event_k,
+         CASE WHEN value >= 100 THEN 'https://cdn.example.org/' || k ELSE page_url END AS event_url,
+         title AS event_title
+  FROM ev WHERE NOT bad),
+ids AS (
+  SELECT * FROM recs
+  WHERE regexp_matches(replace(concat_ws('', account, cookieid, sessionId, imei, deviceId, androidId), 'null', ''), '\\S'))"""
+
+_GEO = """
+sg AS (
+  SELECT s.s_suppkey AS sk, s.s_name, s.s_acctbal, s.s_nationkey, n.n_name, n.n_regionkey, r.r_name
+  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
+bizraw AS (
+  SELECT {gh6} AS geohash,
+         CASE WHEN s_acctbal < 0 THEN '' ELSE r_name END AS province,
+         n_name AS city, n_name || '-d' || CAST(sk % 3 AS VARCHAR) AS district, s_name AS biz
+  FROM sg),
+biz1 AS (
+  SELECT geohash, province, city, district, biz FROM (
+    SELECT *, row_number() OVER (PARTITION BY geohash ORDER BY province, city, district, biz) AS rn
+    FROM bizraw WHERE geohash IS NOT NULL) WHERE rn = 1),
+arearaw AS (
+  SELECT {gh5} AS geohash, r_name AS province, n_name AS city, 'area-' || CAST(sk AS VARCHAR) AS district FROM sg),
+area1 AS (
+  SELECT geohash, province, city, district FROM (
+    SELECT *, row_number() OVER (PARTITION BY geohash ORDER BY province, city, district) AS rn
+    FROM arearaw WHERE geohash IS NOT NULL) WHERE rn = 1),
+en AS (
+  SELECT ids.*, b.province AS b_province, b.city AS b_city, b.district AS b_district, b.biz AS b_biz,
+         a.province AS a_province, a.city AS a_city, a.district AS a_district
+  FROM ids
+  LEFT JOIN biz1 b ON b.geohash = {rec_gh6}
+  LEFT JOIN area1 a ON a.geohash = {rec_gh5}),
+en2 AS (
+  SELECT *,
+    CASE WHEN coalesce(b_province, '') <> '' THEN coalesce(b_province, '') ELSE coalesce(a_province, '') END AS province,
+    CASE WHEN coalesce(b_province, '') <> '' THEN coalesce(b_city, '') ELSE coalesce(a_city, '') END AS city,
+    CASE WHEN coalesce(b_province, '') <> '' THEN coalesce(b_district, '') ELSE coalesce(a_district, '') END AS district,
+    coalesce(b_biz, '') AS biz
+  FROM en)""".format(
+    gh6=_gh("sk", "sk", 6),
+    gh5=_gh("sk + 1", "sk", 5),
+    rec_gh6=geohash_sql("ids.latitude", "ids.longtitude", 6),
+    rec_gh5=geohash_sql("ids.latitude", "ids.longtitude", 5),
+)
+
+_URL_DIM = """
+dimraw AS (
+  SELECT regexp_extract(url, '^(https?://[^/?#]+)', 1) AS prefix,
+         'site' || CAST(page_id % 3 AS VARCHAR) AS category FROM pages
+  UNION ALL
+  SELECT regexp_extract(url, '^(https?://[^/?#]+)', 1) || '/' || regexp_extract(url, '^https?://[^/?#]+/([a-z]{2})/', 1),
+         regexp_extract(url, '^https?://[^/?#]+/([a-z]{2})/', 1) || '专栏'
+  FROM pages WHERE regexp_extract(url, '^https?://[^/?#]+/([a-z]{2})/', 1) <> ''),
+dim AS (
+  SELECT prefix, min(category) AS category FROM dimraw WHERE prefix <> '' GROUP BY prefix)"""
+
+_REC_COLS = (
+    "cookieid, account, imei, osName, osVer, resolution, androidId, manufacture, deviceId, appid, appVer, "
+    "release_ch, promotion_ch, areacode, longtitude, latitude, carrier, netType, sessionId"
+)
+
+_CC = """
+r AS (
+  SELECT 'o' || CAST(l_orderkey AS VARCHAR) AS a,
+         'ps' || CAST(l_suppkey AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) AS b FROM lineitem),
+e AS (SELECT a AS x, b AS y FROM r UNION SELECT b, a FROM r),
+v AS (SELECT DISTINCT x AS id FROM e),
+cc(id, comp) USING KEY (id) AS (
+  SELECT id, id FROM v
+  UNION
+  SELECT e.y AS id, min(cc.comp) AS comp
+  FROM cc JOIN e ON e.x = cc.id JOIN recurring.cc AS cur ON cur.id = e.y
+  GROUP BY e.y, cur.comp
+  HAVING min(cc.comp) < cur.comp)"""
+
+ORACLES.update({
+    "log_flatten": f"""WITH {_RECS}
+SELECT {_REC_COLS}, logType, commit_time, event_k, event_url, event_title FROM recs""",
+    "log_rejects": f"""WITH {_RECS}
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS line_ts FROM ev WHERE bad""",
+    "identity_filter": f"""WITH {_RECS}
+SELECT commit_time, account, cookieid, sessionId, imei, deviceId, androidId FROM ids""",
+    "geohash_points": f"""SELECT c_custkey, {_gh('c_custkey', 'c_custkey * 3', 5)} AS geohash5,
+       {_gh('c_custkey', 'c_custkey * 3', 6)} AS geohash6 FROM customer""",
+    "area_dump_parse": f"""
+SELECT CAST(r_regionkey + 100000 AS VARCHAR) AS code, r_name AS name, '0' AS parent_code, '1' AS level,
+       '0.0' AS lng, '0.0' AS lat FROM region
+UNION ALL
+SELECT CAST(n_nationkey + 200000 AS VARCHAR), n_name, CAST(n_regionkey + 100000 AS VARCHAR), '2', '0.0', '0.0' FROM nation
+UNION ALL
+SELECT CAST(s_suppkey + 300000 AS VARCHAR), 'area-' || CAST(s_suppkey AS VARCHAR), CAST(s_nationkey + 200000 AS VARCHAR), '3',
+       CAST({_lng('s_suppkey + 1', 's_suppkey')} AS VARCHAR), CAST({_lat('s_suppkey + 1', 's_suppkey')} AS VARCHAR)
+FROM supplier""",
+    "biz_dump_parse": f"""WITH {_GEO}
+SELECT CASE WHEN s_acctbal < 0 THEN '' ELSE r_name END AS province, n_name AS city,
+       n_name || '-d' || CAST(sk % 3 AS VARCHAR) AS district, s_name AS biz,
+       CAST({_lng('sk', 'sk')} AS VARCHAR) AS lng, CAST({_lat('sk', 'sk')} AS VARCHAR) AS lat FROM sg""",
+    "area_hierarchy": f"""WITH {_GEO}
+SELECT r_name AS province, n_name AS city, 'area-' || CAST(sk AS VARCHAR) AS district,
+       CAST({_lng('sk + 1', 'sk')} AS VARCHAR) AS lng, CAST({_lat('sk + 1', 'sk')} AS VARCHAR) AS lat FROM sg""",
+    "area_dictionary": f"WITH {_GEO} SELECT geohash, province, city, district FROM arearaw",
+    "biz_dictionary": f"WITH {_GEO} SELECT geohash, province, city, district, biz FROM bizraw",
+    "biz_dictionary_dedup": f"WITH {_GEO} SELECT geohash, province, city, district, biz FROM biz1",
+    "geo_enrich": f"WITH {_RECS}, {_GEO} SELECT commit_time, cookieid, province, city, district, biz FROM en2",
+    "unmatched_coordinates": f"""WITH {_RECS}, {_GEO}
+SELECT CAST(longtitude AS VARCHAR) || ',' || CAST(latitude AS VARCHAR) AS value FROM en2 WHERE province = ''""",
+    "title_keywords": f"""WITH {_RECS}, {_GEO}
+SELECT commit_time, cookieid,
+       array_to_string(list_filter(string_split_regex(coalesce(event_title, ''), '[^\\p{{L}}\\p{{N}}]+'),
+                                   lambda x: length(x) >= 2 AND NOT list_contains({_STOP_SQL}, x)), ' ') AS keyword
+FROM en2""",
+    "url_category": f"""WITH {_URL_DIM}, u AS (SELECT DISTINCT url FROM pages WHERE url IS NOT NULL)
+SELECT url, coalesce((SELECT d.category FROM dim d WHERE starts_with(u.url, d.prefix)
+                      ORDER BY length(d.prefix) DESC LIMIT 1), '其他') AS ct FROM u""",
+    "traffic_detail": f"""WITH {_RECS}, {_GEO}, {_URL_DIM},
+views AS (SELECT * FROM en2 WHERE logType = 'pg_view' AND event_url IS NOT NULL)
+SELECT {_REC_COLS}, logType AS eventType, commit_time, province, city, district, biz,
+       coalesce((SELECT d.category FROM dim d WHERE starts_with(views.event_url, d.prefix)
+                 ORDER BY length(d.prefix) DESC LIMIT 1), '其他') AS ct,
+       strftime(epoch_ms(commit_time), '%Y-%m-%d') AS dateStr
+FROM views""",
+    "geocode_parse": f"""WITH {_GEO},
+areas AS (SELECT sk, s_name, n_name, r_name, unnest(generate_series(1, sk % 4)) AS i FROM sg WHERE sk % 10 <> 0)
+SELECT {_gh('sk', 'sk + 1', 6)} AS geohash, '' AS province, '' AS city, '' AS district, '' AS biz FROM sg WHERE sk % 10 = 0
+UNION ALL
+SELECT {_gh('sk', 'sk + 1', 6)}, r_name, n_name, n_name || '-d', '' FROM sg WHERE sk % 10 <> 0 AND sk % 4 = 0
+UNION ALL
+SELECT {_gh('sk + i', 'sk * i', 6)}, r_name, n_name, n_name || '-d', s_name || '-' || CAST(i AS VARCHAR) FROM areas""",
+    "identity_components": f"WITH RECURSIVE {_CC} SELECT id, comp AS component FROM cc",
+    "component_sizes": f"WITH RECURSIVE {_CC} SELECT comp AS component, count(*) AS n_members FROM cc GROUP BY comp",
+    "stopword_anti": f"""WITH w AS (SELECT unnest(string_split_regex(text, '[^\\p{{L}}\\p{{N}}]+')) AS word FROM documents)
+SELECT word, count(*) AS n FROM w WHERE length(word) > 0 AND NOT list_contains({_STOP_SQL}, word) GROUP BY word""",
+    "roundtrip_parquet": "SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS name, c_mktsegment AS segment FROM customer",
+})
