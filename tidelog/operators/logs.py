@@ -99,17 +99,25 @@ def _parsed(lines: DataFrame, col: str, sep: str) -> DataFrame:
     return lines.select(F.col(col).alias("_line"), F.from_json(payload, LOG_JSON_SCHEMA).alias("_j"))
 
 
+# Keeping or dropping a parsed line is written as ``inline``/``explode`` of a
+# zero-or-one element array rather than a ``where``: a filter over the parsed
+# struct would be pushed below the projection and ``from_json`` copied into
+# every one of its conditions (one JSON parse per condition). A generator is
+# not pushed, so each line is parsed exactly once.
+
+
 def parse_logs(lines: DataFrame, col: str = "value", sep: str = LOG_SEPARATOR) -> DataFrame:
     """Lines -> flat records (22 columns + empty geo columns); bad lines dropped."""
-    p = _parsed(lines, col, sep)
+    j = F.col("_j")
     geo = [F.lit("").alias(c) for c in ("province", "city", "district", "biz")]
-    return p.where(_complete(F.col("_j"))).select(*_flat_columns(F.col("_j")), *geo)
+    record = F.struct(*_flat_columns(j), *geo)
+    return _parsed(lines, col, sep).select(F.inline(F.when(_complete(j), F.array(record))))
 
 
 def rejected_logs(lines: DataFrame, col: str = "value", sep: str = LOG_SEPARATOR) -> DataFrame:
     """The lines ``parse_logs`` drops, with the raw text kept for inspection."""
-    p = _parsed(lines, col, sep)
-    return p.where(~F.coalesce(_complete(F.col("_j")), F.lit(False))).select(F.col("_line").alias(col))
+    bad = ~F.coalesce(_complete(F.col("_j")), F.lit(False))
+    return _parsed(lines, col, sep).select(F.explode(F.when(bad, F.array(F.col("_line")))).alias(col))
 
 
 def identity_filter(records: DataFrame, cols: tuple[str, ...] = IDENTITY_COLUMNS) -> DataFrame:

@@ -15,6 +15,14 @@ from pyspark.sql import functions as F
 from tidelog.functions.dates import ntz_to_millis
 from tidelog.operators.joins import sized_broadcast
 from tidelog.plans.tables import table
+from tidelog.session import checkpoint_dir
+
+
+def _as_file(df: DataFrame) -> DataFrame:
+    """Materialise derived text lines in the shared checkpoint folder, as a
+    dump file would be, so parsing starts from stored lines."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
 
 
 def point(u: Column, e: Column) -> tuple[Column, Column]:
@@ -121,7 +129,7 @@ def biz_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.lit(");"),
     )
-    return g.select(line.alias("value"))
+    return _as_file(g.select(line.alias("value")))
 
 
 def area_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +174,7 @@ def area_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             lat.cast("string"),
         ).alias("value")
     )
-    return regions.unionByName(nations).unionByName(suppliers)
+    return _as_file(regions.unionByName(nations).unionByName(suppliers))
 
 
 def url_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:

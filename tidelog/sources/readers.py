@@ -70,38 +70,51 @@ def _strip(c, head: int, tail: int):
     return F.substr(c, F.lit(head + 1), F.length(c) - (head + tail))
 
 
+def _pieces(lines: DataFrame, col: str, sep: str) -> DataFrame:
+    # Split once into an array column; the pickers below read the array.
+    return lines.select(F.split(F.col(col), "\\Q" + sep + "\\E").alias("_p"))
+
+
 def parse_area_dump(lines: DataFrame, col: str = "value") -> DataFrame:
     """``INSERT INTO t VALUES (code, 'name', parent, '', level, x, lng, lat, ...);``
     lines -> (code, name, parent_code, level, lng, lat) as text.
 
     Pieces are split on comma+space: the code is the last six characters of
     piece 0, the name is unquoted, the last two pieces are lng and lat (lat
-    loses its two trailing characters ``);``)."""
-    p = F.split(F.col(col), ", ")
+    loses its two trailing characters ``);``). Lines with fewer than six
+    pieces are skipped."""
+    p = F.col("_p")
     n = F.size(p)
-    last = F.get(p, n - 1)
-    return lines.select(
-        F.right(F.get(p, 0), F.lit(6)).alias("code"),
-        _strip(F.get(p, 1), 1, 1).alias("name"),
-        F.get(p, 2).alias("parent_code"),
-        F.get(p, 4).alias("level"),
-        F.get(p, n - 2).alias("lng"),
-        _strip(last, 0, 2).alias("lat"),
-    ).where(n >= 6)
+    return (
+        _pieces(lines, col, ", ")
+        .where(n >= 6)
+        .select(
+            F.right(F.get(p, 0), F.lit(6)).alias("code"),
+            _strip(F.get(p, 1), 1, 1).alias("name"),
+            F.get(p, 2).alias("parent_code"),
+            F.get(p, 4).alias("level"),
+            F.get(p, n - 2).alias("lng"),
+            _strip(F.get(p, n - 1), 0, 2).alias("lat"),
+        )
+    )
 
 
 def parse_biz_dump(lines: DataFrame, col: str = "value") -> DataFrame:
     """``('id', 'province', 'city', 'district', 'biz', 'lng', 'lat');`` lines ->
     (province, city, district, biz, lng, lat) as text (quotes removed)."""
-    p = F.split(F.col(col), ", ")
-    return lines.select(
-        _strip(F.get(p, 1), 1, 1).alias("province"),
-        _strip(F.get(p, 2), 1, 1).alias("city"),
-        _strip(F.get(p, 3), 1, 1).alias("district"),
-        _strip(F.get(p, 4), 1, 1).alias("biz"),
-        _strip(F.get(p, 5), 1, 1).alias("lng"),
-        _strip(F.get(p, 6), 1, 3).alias("lat"),
-    ).where(F.size(p) >= 7)
+    p = F.col("_p")
+    return (
+        _pieces(lines, col, ", ")
+        .where(F.size(p) >= 7)
+        .select(
+            _strip(F.get(p, 1), 1, 1).alias("province"),
+            _strip(F.get(p, 2), 1, 1).alias("city"),
+            _strip(F.get(p, 3), 1, 1).alias("district"),
+            _strip(F.get(p, 4), 1, 1).alias("biz"),
+            _strip(F.get(p, 5), 1, 1).alias("lng"),
+            _strip(F.get(p, 6), 1, 3).alias("lat"),
+        )
+    )
 
 
 def parse_delimited(
@@ -110,9 +123,9 @@ def parse_delimited(
     """Headerless delimited text -> typed columns (``try_cast``: a bad field
     becomes null instead of failing the job)."""
     if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
-    p = F.split(F.col(col), "\\Q" + sep + "\\E")
-    return lines.select(
+        schema = T.StructType.fromDDL(schema)
+    p = F.col("_p")
+    return _pieces(lines, col, sep).select(
         *[F.get(p, i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
     )
 
