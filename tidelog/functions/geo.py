@@ -3,7 +3,9 @@
 A geohash of precision ``p`` has ``5p`` bits; longitude gets ``ceil(5p/2)`` and
 latitude ``floor(5p/2)`` of them, interleaved starting with longitude. The cell
 index along one axis is ``floor((v - lo) / span * 2^bits)`` clamped to
-``2^bits - 1``, which is exactly what repeated bisection yields.
+``2^bits - 1`` and corrected by one where rounding of ``v - lo`` crossed a
+cell edge; the edges are exact dyadic numbers, so the result equals repeated
+bisection bit for bit.
 
 Each base32 digit takes a 3-bit slice of the leading axis (longitude for even
 digits, latitude for odd ones) and a 2-bit slice of the other. The pair
@@ -75,8 +77,16 @@ def geohash(lat: Column | str, lng: Column | str, precision: int) -> Column:
     guard = F.when(lat_d.between(-90.0, 90.0) & lng_d.between(-180.0, 180.0), F.lit(0))
 
     def cell(v: Column, lo: float, span: float, bits: int) -> Column:
-        scaled = F.floor((v - F.lit(lo)) / F.lit(span) * F.lit(float(1 << bits)))
-        return F.least(scaled, F.lit((1 << bits) - 1)) + guard
+        w = span / (1 << bits)  # exact: cell edges are dyadic numbers
+        raw = F.floor((v - F.lit(lo)) / F.lit(span) * F.lit(float(1 << bits)))
+        # The subtraction may round v onto a neighbouring edge; compare with
+        # the exact edges (what bisection does) to correct by one.
+        fixed = (
+            raw
+            - (v < F.lit(lo) + raw * F.lit(w)).cast("long")
+            + (v >= F.lit(lo) + (raw + 1) * F.lit(w)).cast("long")
+        )
+        return F.least(fixed, F.lit((1 << bits) - 1)) + guard
 
     x = cell(lng_d, -180.0, 360.0, lng_bits)
     y = cell(lat_d, -90.0, 180.0, lat_bits)
@@ -97,10 +107,14 @@ def geohash_sql(lat: str, lng: str, precision: int) -> str:
     guard = f"CASE WHEN ({lat}) BETWEEN -90.0 AND 90.0 AND ({lng}) BETWEEN -180.0 AND 180.0 THEN 0 END"
 
     def cell(v: str, lo: float, span: float, bits: int) -> str:
-        return (
-            f"(least(CAST(floor((CAST({v} AS DOUBLE) - ({lo})) / {span} * {float(1 << bits)}) AS BIGINT), "
-            f"{(1 << bits) - 1}) + {guard})"
+        w = span / (1 << bits)
+        d = f"CAST({v} AS DOUBLE)"
+        raw = f"CAST(floor(({d} - ({lo})) / {span} * {float(1 << bits)}) AS BIGINT)"
+        fixed = (
+            f"({raw} - CAST({d} < ({lo}) + {raw} * {w!r} AS BIGINT) "
+            f"+ CAST({d} >= ({lo}) + ({raw} + 1) * {w!r} AS BIGINT))"
         )
+        return f"(least({fixed}, {(1 << bits) - 1}) + {guard})"
 
     x, y = cell(lng, -180.0, 360.0, lng_bits), cell(lat, -90.0, 180.0, lat_bits)
     digits = []

@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,12 +96,20 @@ def connected_components(
     """(id) vertices + (src, dst) edges -> (id, component = smallest id)."""
     spark = edges.sparkSession
     checkpoint_dir(spark)
-    e = _orient(edges).checkpoint()
+
+    def cut(df: DataFrame) -> DataFrame:
+        # Persist first: a reliable checkpoint otherwise computes the round twice.
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        return df.checkpoint()
+
+    e = cut(_orient(edges))
     last = _fingerprint(e)
     for i in range(1, max_rounds + 1):
+        prev = e
         e = _small_star(_large_star(e))
         if i % checkpoint_every == 0:
-            e = e.checkpoint()
+            e = cut(e)
+            prev.unpersist()
         now = _fingerprint(e)
         if now == last:
             break

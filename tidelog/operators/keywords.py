@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,8 +61,6 @@ def segment_with_dictionary(text: Column, dictionary: Iterable[str], max_word: i
     Vectorised pandas UDF (Arrow batches); returns ``array<string>``. Runs of
     letters/digits not in the dictionary are split into single characters.
     """
-    import pandas as pd
-
     words = frozenset(dictionary)
 
     @F.pandas_udf("array<string>")
