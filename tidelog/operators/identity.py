@@ -68,12 +68,15 @@ def _orient(edges: DataFrame) -> DataFrame:
 
 
 def _large_star(e: DataFrame) -> DataFrame:
-    # Each node u links every larger neighbour to the smallest node of N(u) ∪ {u}.
+    # Each node u links every larger neighbour to m(u), the smallest node of
+    # N(u) ∪ {u}. With edges stored as (hi, lo), the larger neighbours of u are
+    # exactly the ``hi`` of the edges whose ``lo`` is u: one output row per edge.
     both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
         e.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
     low = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("m"))
-    return both.where(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+    up = e.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
+    return up.join(low, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
@@ -98,9 +101,11 @@ def connected_components(
     checkpoint_dir(spark)
 
     def cut(df: DataFrame) -> DataFrame:
-        # Persist first: a reliable checkpoint otherwise computes the round twice.
+        # Persist first: a reliable checkpoint otherwise computes the round
+        # twice. The checkpoint is lazy: the fingerprint job that follows
+        # materialises it, then the files are written from the cache.
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        return df.checkpoint()
+        return df.checkpoint(eager=False)
 
     e = cut(_orient(edges))
     last = _fingerprint(e)

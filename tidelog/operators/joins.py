@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +15,15 @@ def sized_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> D
     """Broadcast hint only when the dimension is proven small.
 
     Counts at most ``max_rows + 1`` rows of ``dim``. Within the bound the
-    result carries a broadcast hint (hash join without shuffling the facts);
-    beyond it the DataFrame is returned as is and Spark plans a shuffle join,
-    which AQE may still convert or split for skew at run time.
+    dimension is kept cached (the count fills the cache, so the broadcast
+    does not compute it again) and carries a broadcast hint: a hash join
+    without shuffling the facts. Beyond the bound the cache is dropped and
+    the DataFrame is returned as is; Spark then plans a shuffle join, which
+    AQE may still convert, or split where one key is hot.
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    cached = dim.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(cached)
+    cached.unpersist()
+    return dim
