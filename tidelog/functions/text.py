@@ -32,8 +32,12 @@ def any_identifier(cols: Iterable[Column | str], null_text: str = "null") -> Col
 
 
 def non_blank_array(cols: Iterable[Column | str]) -> Column:
-    """Array of the non-blank values among ``cols``, in column order."""
-    return F.filter(F.array(*[_col(c).cast("string") for c in cols]), lambda x: x.rlike(r"\S"))
+    """Array of the non-blank values among ``cols``, in column order.
+
+    The blank test runs per column (code-generated); only the null removal
+    is left to ``array_compact``."""
+    vals = [_col(c).cast("string") for c in cols]
+    return F.array_compact(F.array(*[F.when(v.rlike(r"\S"), v) for v in vals]))
 
 
 # The interval label reads "gap of <n> days" as 隔<n>天.

@@ -53,6 +53,21 @@ def activity_intervals_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.interval_histogram(_zipper(spark, sf_dir), AS_OF, per_user=True, user_col="user_id")
 
 
+def _to_csv(spark: SparkSession, df: DataFrame, name: str) -> str:
+    """Write ``df`` as header CSV (all text) in the shared checkpoint folder."""
+    path = _scratch(spark, name)
+    df.select(*[F.col(c).cast("string") for c in df.columns]).write.option("header", True).csv(path)
+    return path
+
+
+def activity_intervals_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The original job's path: the interval table as a header CSV of text
+    columns (open end 9999-12-31) -> per-user histogram."""
+    z = _zipper(spark, sf_dir).withColumnRenamed("user_id", "user")
+    intervals = readers.read_csv(spark, _to_csv(spark, z, "intervals-csv"))
+    return activity.interval_histogram(intervals, AS_OF, per_user=True, user_col="user")
+
+
 # --- version upgrades (C6) ---------------------------------------------------
 
 
@@ -65,6 +80,16 @@ def version_upgrades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.version_upgrades(installs)
 
 
+def version_upgrades_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The original job's path: installs as a header CSV of text columns."""
+    installs = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("app_name"),
+        F.to_date("o_orderdate").alias("app_date"),
+        F.col("o_orderpriority").alias("app_ver"),
+    )
+    return versions.version_upgrades(readers.read_csv(spark, _to_csv(spark, installs, "installs-csv")))
+
+
 # --- word count (C8) ---------------------------------------------------------
 
 
@@ -231,6 +256,8 @@ QUERIES: dict[str, Query] = {
     "activity_intervals_all": activity_intervals_all,
     "activity_intervals_per_user": activity_intervals_per_user,
     "version_upgrades": version_upgrades,
+    "activity_intervals_csv": activity_intervals_csv,
+    "version_upgrades_csv": version_upgrades_csv,
     "word_count": word_count,
     "word_count_top10": word_count_top10,
     "word_count_first10": word_count_first10,

@@ -57,6 +57,18 @@ WITH t AS (
   FROM orders),
 o AS (
   SELECT *, lead(app_ver) OVER (PARTITION BY app_name ORDER BY app_ver, app_date) AS next_ver FROM t)
+SELECT app_name, app_date, app_ver, next_ver FROM o WHERE next_ver IS NOT NULL""",
+    "activity_intervals_csv": f"""WITH {_ZIPPER}, {_HISTOGRAM_ROWS}
+SELECT CAST(user_id AS VARCHAR) AS "user", '隔' || gap_days || '天' AS interval, gap_days,
+       CAST(sum(days) AS BIGINT) AS days
+FROM u GROUP BY user_id, gap_days""",
+    "version_upgrades_csv": """
+WITH t AS (
+  SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS app_name, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS app_date,
+         o_orderpriority AS app_ver
+  FROM orders),
+o AS (
+  SELECT *, lead(app_ver) OVER (PARTITION BY app_name ORDER BY app_ver, app_date) AS next_ver FROM t)
 SELECT app_name, app_date, app_ver, next_ver FROM o WHERE next_ver IS NOT NULL""",
     "word_count": f"WITH {_WORDS} SELECT word, n FROM cnt ORDER BY word",
     "word_count_top10": f"WITH {_WORDS} SELECT word, n FROM cnt ORDER BY n DESC, word LIMIT 10",
