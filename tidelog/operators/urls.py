@@ -9,9 +9,9 @@ Longest prefix match without a nested-loop join:
    list bounded by the longest prefix — and the cuts are equi-joined to the
    dimension (a hash join; broadcast behind a size check);
 4. the longest hit per URL wins (``max_by``), on data still partitioned by URL;
-5. the per-URL answer joins back to the facts, broadcast when the number of
-   distinct URLs is proven small, otherwise a shuffle join that AQE splits
-   when one URL dominates.
+5. the URLs that matched join back to the facts, broadcast when their number
+   is proven small, otherwise a shuffle join that AQE splits when one URL
+   dominates; unmatched URLs get the default category.
 
 The result equals ``startsWith`` over all prefixes keeping the longest match.
 """
@@ -48,6 +48,24 @@ def _prefix_lengths(dim: DataFrame) -> list[int]:
     return lengths
 
 
+def _distinct_urls(urls: DataFrame, url_col: str) -> DataFrame:
+    return urls.select(F.col(url_col).alias("_url")).where(F.col("_url").isNotNull()).distinct()
+
+
+def _best_hits(distinct_urls: DataFrame, dim: DataFrame, max_broadcast_rows: int) -> DataFrame | None:
+    """(_url, _ct) for the URLs that match some prefix (longest prefix wins)."""
+    d = url_dimension(dim)
+    lengths = _prefix_lengths(d)
+    if not lengths:
+        return None
+    cut_lengths = F.array(*[F.lit(n) for n in lengths])
+    cuts = distinct_urls.select(
+        "_url", F.explode(F.filter(cut_lengths, lambda n: n <= F.length("_url"))).alias("_len")
+    ).select("_url", "_len", F.substr("_url", F.lit(1), F.col("_len")).alias("prefix"))
+    hits = cuts.join(sized_broadcast(d, max_broadcast_rows), "prefix")
+    return hits.groupBy("_url").agg(F.max_by("category", "_len").alias("_ct"))
+
+
 def url_categories(
     urls: DataFrame,
     dim: DataFrame,
@@ -56,20 +74,13 @@ def url_categories(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Distinct URLs of ``urls`` -> (url, ct) with the longest matching prefix."""
-    d = url_dimension(dim)
-    lengths = _prefix_lengths(d)
-    distinct_urls = urls.select(F.col(url_col).alias("_url")).where(F.col("_url").isNotNull()).distinct()
-    if not lengths:
+    distinct_urls = _distinct_urls(urls, url_col)
+    best = _best_hits(distinct_urls, dim, max_broadcast_rows)
+    if best is None:
         return distinct_urls.select(F.col("_url").alias(url_col), F.lit(default).alias("ct"))
-    cut_lengths = F.array(*[F.lit(n) for n in lengths])
-    cuts = distinct_urls.select(
-        "_url", F.explode(F.filter(cut_lengths, lambda n: n <= F.length("_url"))).alias("_len")
-    ).select("_url", "_len", F.substr("_url", F.lit(1), F.col("_len")).alias("prefix"))
-    hits = cuts.join(sized_broadcast(d, max_broadcast_rows), "prefix")
-    best = hits.groupBy("_url").agg(F.max_by("category", "_len").alias("_ct"))
-    return (
-        distinct_urls.join(best, "_url", "left")
-        .select(F.col("_url").alias(url_col), F.coalesce("_ct", F.lit(default)).alias("ct"))
+    # Both sides come out of the URL shuffle, so this join needs no new exchange.
+    return distinct_urls.join(best, "_url", "left").select(
+        F.col("_url").alias(url_col), F.coalesce("_ct", F.lit(default)).alias("ct")
     )
 
 
@@ -80,10 +91,17 @@ def categorize(
     default: str = DEFAULT_CATEGORY,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Facts + ``ct`` column (longest matching prefix's category, else default)."""
-    cats = url_categories(facts.select(F.col(url).alias("_u")), dim, "_u", default, max_broadcast_rows)
-    joined = facts.join(sized_broadcast(cats, max_broadcast_rows), facts[url] == cats["_u"], "left")
-    return joined.select(*[facts[c] for c in facts.columns], F.coalesce(cats["ct"], F.lit(default)).alias("ct"))
+    """Facts + ``ct`` column (longest matching prefix's category, else default).
+
+    Only URLs that match some prefix come back from the lookup; the facts
+    join them (broadcast when their number is proven small) and the default
+    fills the rest."""
+    best = _best_hits(_distinct_urls(facts, url), dim, max_broadcast_rows)
+    if best is None:
+        return facts.withColumn("ct", F.lit(default))
+    best = sized_broadcast(best, max_broadcast_rows)
+    joined = facts.join(best, facts[url] == best["_url"], "left")
+    return joined.select(*[facts[c] for c in facts.columns], F.coalesce(best["_ct"], F.lit(default)).alias("ct"))
 
 
 DWD_COLUMNS = (
