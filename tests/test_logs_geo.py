@@ -41,6 +41,12 @@ def test_parse_accepts_quoted_numbers_and_stringifies_event(spark):
     assert (out["province"], out["biz"]) == ("", "")
 
 
+def test_commit_time_forms(spark):
+    docs = [_doc(commit_time=1.5605568e12), _doc(commit_time="1560556800000"), _doc(commit_time="soon")]
+    out = logs.parse_logs(_lines(spark, ["t --> " + json.dumps(d) for d in docs]))
+    assert sorted(r["commit_time"] for r in out.collect()) == [1560556800000, 1560556800000]
+
+
 def test_bad_lines_are_rejected_not_fatal(spark):
     good = "t --> " + json.dumps(_doc())
     no_loc = _doc()

@@ -58,6 +58,12 @@ def log_payload(line: Column, sep: str = LOG_SEPARATOR) -> Column:
     return F.get(F.split(line, "\\Q" + sep + "\\E"), 1)
 
 
+def _millis(text: Column) -> Column:
+    """Integer text as is; a decimal or exponent form (``1.5605568E12``) is
+    truncated like a lenient JSON ``getLong`` (exact below 2^53)."""
+    return F.coalesce(text.try_cast("long"), text.try_cast("double").try_cast("long"))
+
+
 def _flat_columns(j: Column) -> list[Column]:
     u = j["u"]
     phone, app, loc = u["phone"], u["app"], u["loc"]
@@ -73,7 +79,7 @@ def _flat_columns(j: Column) -> list[Column]:
         loc["netType"].alias("netType"),
         u["sessionId"].alias("sessionId"),
         j["logType"].alias("logType"),
-        j["commit_time"].try_cast("long").alias("commit_time"),
+        _millis(j["commit_time"]).alias("commit_time"),
         j["event"].alias("event"),
     ]
 
@@ -90,7 +96,7 @@ def _complete(j: Column) -> Column:
         & j["event"].isNotNull()
         & u["loc"]["longtitude"].try_cast("double").isNotNull()
         & u["loc"]["latitude"].try_cast("double").isNotNull()
-        & j["commit_time"].try_cast("long").isNotNull()
+        & _millis(j["commit_time"]).isNotNull()
     )
 
 
