@@ -250,6 +250,17 @@ def roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_parquet(spark, parquet_dir)
 
 
+def unmatched_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unmatched coordinates written as text (S14) and read back by the
+    geocoding step (S2): split ``lng,lat`` and key the point by geohash-6."""
+    path = _scratch(spark, "unmatched")
+    sinks.write_lines(_preprocessed(spark, sf_dir).unmatched, path)
+    back = readers.read_lines(spark, path)
+    parts = F.split("value", ",")
+    lng, lat = F.get(parts, 0).try_cast("double"), F.get(parts, 1).try_cast("double")
+    return back.select("value", geohash(lat, lng, 6).alias("geohash"))
+
+
 QUERIES: dict[str, Query] = {
     "activity_zipper": activity_zipper,
     "open_interval_close": open_interval_close,
@@ -281,4 +292,5 @@ QUERIES: dict[str, Query] = {
     "component_sizes": component_sizes,
     "stopword_anti": stopword_anti,
     "roundtrip_parquet": roundtrip_parquet,
+    "unmatched_roundtrip": unmatched_roundtrip,
 }

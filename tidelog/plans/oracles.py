@@ -261,5 +261,9 @@ SELECT {_gh('sk + i', 'sk * i', 6)}, r_name, n_name, n_name || '-d', s_name || '
     "component_sizes": f"WITH RECURSIVE {_CC} SELECT comp AS component, count(*) AS n_members FROM cc GROUP BY comp",
     "stopword_anti": f"""WITH w AS (SELECT unnest(string_split_regex(text, '[^\\p{{L}}\\p{{N}}]+')) AS word FROM documents)
 SELECT word, count(*) AS n FROM w WHERE length(word) > 0 AND NOT list_contains({_STOP_SQL}, word) GROUP BY word""",
+    "unmatched_roundtrip": f"""WITH {_RECS}, {_GEO}
+SELECT CAST(longtitude AS VARCHAR) || ',' || CAST(latitude AS VARCHAR) AS value,
+       {geohash_sql('latitude', 'longtitude', 6)} AS geohash
+FROM en2 WHERE province = ''""",
     "roundtrip_parquet": "SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS name, c_mktsegment AS segment FROM customer",
 })
