@@ -57,7 +57,8 @@ def test_url_lookup_with_a_hot_url(spark):
         out = urls.categorize(
             spark.createDataFrame(facts, "id int, url string"),
             spark.createDataFrame(dim, "prefix string, category string"),
-            max_broadcast_rows=10,  # force the shuffle-join path
+            max_broadcast_rows=10,
+            max_lengths_chained=0,  # force the distinct-URL shuffle path
         )
         got = dict(rows(out, "id", "ct"))
     assert len(got) == 3000

@@ -24,10 +24,11 @@ def test_longest_prefix_matches_brute_force(spark):
     facts = spark.createDataFrame([(i, u) for i, u in enumerate(url_list)], "id int, url string")
     dim_df = spark.createDataFrame(dim, "prefix string, category string")
     reduced = {p: min(c for q, c in dim if q == p) for p in prefixes}
-    got = dict(rows(urls.categorize(facts, dim_df, "url", default="其他"), "id", "ct"))
-    for i, u in enumerate(url_list):
-        expect = "其他" if u is None else _brute(u, reduced.items(), "其他")
-        assert got[i] == expect, (u, got[i], expect)
+    for chained in (64, 0):  # broadcast chain, then the distinct-URL path
+        got = dict(rows(urls.categorize(facts, dim_df, "url", default="其他", max_lengths_chained=chained), "id", "ct"))
+        for i, u in enumerate(url_list):
+            expect = "其他" if u is None else _brute(u, reduced.items(), "其他")
+            assert got[i] == expect, (chained, u, got[i], expect)
 
 
 def test_traffic_detail(spark):

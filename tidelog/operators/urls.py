@@ -14,6 +14,10 @@ Longest prefix match without a nested-loop join:
    dominates; unmatched URLs get the default category.
 
 The result equals ``startsWith`` over all prefixes keeping the longest match.
+
+``categorize`` (facts + category) avoids reading the facts twice when the
+dimension is small: one broadcast hash join per distinct prefix length,
+longest first, in a single codegen'd pass with no shuffle.
 """
 
 from __future__ import annotations
@@ -30,6 +34,10 @@ DEFAULT_CATEGORY = "其他"
 # Longest prefix the cut list accepts; the list of lengths stays this short.
 MAX_PREFIX_LENGTH = 4096
 
+# Up to this many distinct prefix lengths, a small dimension is applied as a
+# chain of broadcast joins (one per length) in a single pass over the facts.
+MAX_CHAINED_LENGTHS = 64
+
 
 def url_dimension(dim: DataFrame, prefix: str = "prefix", category: str = "category") -> DataFrame:
     """A9: one category per prefix (the smallest), blank prefixes dropped."""
@@ -90,15 +98,33 @@ def categorize(
     url: str = "url",
     default: str = DEFAULT_CATEGORY,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_lengths_chained: int = MAX_CHAINED_LENGTHS,
 ) -> DataFrame:
     """Facts + ``ct`` column (longest matching prefix's category, else default).
 
-    Only URLs that match some prefix come back from the lookup; the facts
-    join them (broadcast when their number is proven small) and the default
-    fills the rest."""
-    best = _best_hits(_distinct_urls(facts, url), dim, max_broadcast_rows)
-    if best is None:
+    When the dimension is proven small and has at most ``max_lengths_chained``
+    distinct prefix lengths, each length becomes one left broadcast hash join
+    on ``substr(url, 1, L)``, longest first, and ``coalesce`` keeps the first
+    hit: one pass over the facts, no shuffle, no aggregation, and every fact
+    row joins at most one prefix per length (A9 made prefixes unique).
+    Otherwise the distinct URLs are categorised (see module notes) and joined
+    back; unmatched URLs get the default.
+    """
+    d = url_dimension(dim)
+    lengths = _prefix_lengths(d)
+    if not lengths:
         return facts.withColumn("ct", F.lit(default))
+    small = sized_broadcast(d, max_broadcast_rows)
+    if len(lengths) <= max_lengths_chained and small is not d:
+        out, hits = facts, []
+        for i, n in enumerate(sorted(lengths, reverse=True)):
+            sub = small.where(F.length("prefix") == n).select(
+                F.col("prefix").alias(f"_p{i}"), F.col("category").alias(f"_c{i}")
+            )
+            out = out.join(F.broadcast(sub), F.substr(out[url], F.lit(1), F.lit(n)) == sub[f"_p{i}"], "left")
+            hits.append(F.col(f"_c{i}"))
+        return out.select(*[F.col(c) for c in facts.columns], F.coalesce(*hits, F.lit(default)).alias("ct"))
+    best = _best_hits(_distinct_urls(facts, url), dim, max_broadcast_rows)
     best = sized_broadcast(best, max_broadcast_rows)
     joined = facts.join(best, facts[url] == best["_url"], "left")
     return joined.select(*[facts[c] for c in facts.columns], F.coalesce(best["_ct"], F.lit(default)).alias("ct"))
