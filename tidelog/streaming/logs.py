@@ -50,13 +50,15 @@ def start_traffic_detail(
     checkpoint_location: str | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Append each micro-batch's page-view detail rows to parquet, partitioned
-    by day. The stream's checkpoint lives in the shared checkpoint folder
-    unless given."""
+    """Write each micro-batch's page-view detail rows to parquet under
+    ``batch_id=<epoch>/dateStr=<day>``. A micro-batch that is run again after a
+    failure overwrites its own folder, so replays never duplicate rows. The
+    stream's checkpoint lives in the shared checkpoint folder unless given."""
     spark = records.sparkSession
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        urls.traffic_detail(batch, url_dim).write.mode("append").partitionBy("dateStr").parquet(out_path)
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        detail = urls.traffic_detail(batch, url_dim)
+        detail.write.mode("overwrite").partitionBy("dateStr").parquet(f"{out_path.rstrip('/')}/batch_id={epoch}")
 
     writer = records.writeStream.foreachBatch(write_batch).option(
         "checkpointLocation", _location(spark, "traffic-detail", checkpoint_location)
