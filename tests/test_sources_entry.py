@@ -50,3 +50,22 @@ def test_entry_contract(spark):
     qs, oracles = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(oracles) <= set(qs)
     assert len(qs) >= 25
+
+
+def test_area_dic_from_location_table(spark):
+    from tidelog.plans.pipelines import build_area_dic_from_locations
+
+    locations = spark.createDataFrame(
+        [("P", "C", "D", 105.58117092708984, 34.344448280621755), ("Q", "R", "S", 0.0, 0.0)],
+        "province string, city string, distract string, lng double, lat double",
+    )
+    assert rows(build_area_dic_from_locations(locations)) == [("s0000", "Q", "R", "S"), ("wq556", "P", "C", "D")]
+
+
+def test_text_to_parquet_pipeline(spark, tmp_path):
+    from tidelog.plans.pipelines import text_to_parquet
+
+    src = tmp_path / "person.txt"
+    src.write_text("1,zhang,m\n2,li,f\n")
+    back = text_to_parquet(spark, str(src), "id int, name string, gender string", str(tmp_path / "out"))
+    assert rows(back) == [(1, "zhang", "m"), (2, "li", "f")]
