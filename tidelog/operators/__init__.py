@@ -1,0 +1,2 @@
+"""DataFrame -> DataFrame operators: ``logs``, ``geo``, ``urls``, ``keywords``,
+``activity``, ``versions``, ``identity``, ``wordcount``, ``joins``."""
