@@ -50,3 +50,25 @@ def test_read_lines_multi_path_and_gzip(spark, tmp_path):
     df = readers.read_lines(spark, [str(plain), str(gz)], partitions=3)
     assert sorted(r[0] for r in df.collect()) == ["x", "y", "z"]
     assert df.rdd.getNumPartitions() == 3
+
+
+def test_oversized_dictionary_falls_back_to_shuffle_join(spark):
+    docs = [_doc(cookie=f"c{i}", lng=116.4 + i * 0.01, lat=39.9) for i in range(5)]
+    lines = spark.createDataFrame([("t --> " + json.dumps(d),) for d in docs], "value string")
+    dic = spark.createDataFrame([(39.9, 116.4 + i * 0.01, "P", "C", f"D{i}", "B") for i in range(0, 5, 2)],
+                                "lat double, lng double, province string, city string, district string, biz string")
+    biz = dic.select(geohash("lat", "lng", 6).alias("geohash"), "province", "city", "district", "biz")
+    area = dic.select(geohash("lat", "lng", 5).alias("geohash"), "province", "city", "district")
+    recs = logs.parse_logs(lines)
+    small = geo.enrich_location(recs, area, biz)
+    big = geo.enrich_location(recs, area, biz, max_broadcast_rows=0)
+    assert "BroadcastHashJoin" in _plan(small)
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(big)
+        got_big = sorted(tuple(r) for r in big.select("cookieid", "district").collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert got_big == sorted(tuple(r) for r in small.select("cookieid", "district").collect())
