@@ -91,3 +91,19 @@ def test_labels_and_days(spark):
     assert r["l"] == "隔3天"
     assert r["d"] == "2019-06-15"
     assert dt.date.fromisoformat(r["d"])
+
+
+def test_day_helpers_ignore_session_time_zone(spark):
+    from tidelog.functions.dates import ntz_to_millis
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Shanghai"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            r = spark.createDataFrame([("2019-06-15 23:59:59.999",)], "s string").select(
+                ntz_to_millis(F.col("s").cast("timestamp_ntz")).alias("ms"),
+                millis_to_day(F.lit(1560643199999)).alias("d"),
+            ).first()
+            assert (r["ms"], r["d"]) == (1560643199999, "2019-06-15"), tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
