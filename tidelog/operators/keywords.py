@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.text import WORD_SEPARATOR, map_put, tokens
+from tidelog.operators.joins import sized_broadcast
 
 # The stop-word list shipped with the reference's keyword job,
 # in file order (words and punctuation; the ASCII comma is itself an entry).
@@ -47,11 +48,12 @@ def add_title_keywords(
 def remove_stopwords(words: DataFrame, stop_words: DataFrame, word_col: str = "word", stop_col: str = "word") -> DataFrame:
     """J6 as a join: rows of ``words`` whose word is not a stop word.
 
-    ``left_anti`` against the stop list; the list is broadcast by the planner
-    when small, and it holds distinct words only, so the join never multiplies
-    rows.
+    ``left_anti`` against the distinct stop list, broadcast behind a row-count
+    check (a list built in memory carries no size statistics, so the planner
+    would otherwise shuffle every token for a sort-merge join).
     """
     stops = stop_words.select(F.col(stop_col).alias("_stop")).distinct()
+    stops = sized_broadcast(stops)
     return words.join(stops, words[word_col] == stops["_stop"], "left_anti")
 
 
