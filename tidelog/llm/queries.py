@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, toxicity
+from . import langid, setsketch, toxicity
 from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,9 +30,46 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "offending")
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.85)
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op3_toxicity": op3_toxicity,
+    "op6_near_duplicates": op6_near_duplicates,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_near_duplicates": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                      WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words
+),
+shingles AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingles x JOIN shingles y USING (shingle) WHERE x.doc_id < y.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM shared JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+  WHERE 100 * n >= 85 * (len(x.s) + len(y.s) - n)
+),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION
+  SELECT reach.doc_id, edges.b FROM reach JOIN edges ON edges.a = reach.other
+),
+components AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN components USING (doc_id)
+""",
+}
