@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import langid, setsketch, toxicity
+from . import langid, pii, secrets, setsketch, toxicity
 from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,10 +34,33 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.85)
 
 
+def _listed(spans: Column) -> Column:
+    """kind:start:end of spans, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _digest(spans: DataFrame, base: dict[str, str]) -> DataFrame:
+    """Counts of the base kinds, the digest of their spans, and all spans."""
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [F.size(F.array_remove(F.transform(kinds, lambda k: F.when(k == kind, 1).otherwise(0)), 0)).cast("long").alias(column) for kind, column in base.items()]
+    of_base = F.filter("spans", lambda s: s["kind"].isin(*base))
+    return spans.select("doc_id", *counts, F.sha2(_listed(of_base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(secrets.find_secrets(table(spark, sf_dir, "documents")), {"assign": "n_assign", "access": "n_access", "hex": "n_hex"})
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(pii.find_pii(table(spark, sf_dir, "documents")), {k: f"n_{k}" for k in ("email", "ip", "card", "phone")})
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op3_toxicity": op3_toxicity,
     "op6_near_duplicates": op6_near_duplicates,
+    "op8_secrets": op8_secrets,
+    "op10_pii": op10_pii,
 }
 
 ORACLES: dict[str, str] = {
