@@ -14,9 +14,10 @@ the register-wise maximum, and equal sets agree in every register. Steps:
    registers and the known set sizes, is not clearly below the threshold, and
    links if the full sets say so.
 4. After components of these links, only buckets that still hold several
-   components matter. There, every pair of classes of different components is
-   tested too, so no link is lost by meeting leaders first, and a large group of
-   copies, one component by then, emits no pairs among its members.
+   components matter. Their classes meet once more, by an exact prefix filter and
+   across components only: no link is lost by meeting leaders first, and neither
+   a large group of copies, one component by then, nor a large family of texts
+   that are not similar enough makes pairs among its members.
 
 Defined results: null text or text without words has an empty set, size 0, and
 is linked with nothing. Rows with null doc_id are returned with a null component.
@@ -29,7 +30,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import digest, map_batches, materialize
 from .components import connected_components
@@ -150,6 +151,44 @@ def _confirmed(pairs: DataFrame, documents: DataFrame, threshold: float, shingle
     return map_batches(joined, run, "a long, b long")
 
 
+def _several(labelled: DataFrame, key: str) -> DataFrame:
+    """Keys whose rows are of more than one component, with the smallest one."""
+    ends = labelled.groupBy(key).agg(F.min("component").alias("main"), F.max("component").alias("other"))
+    return ends.where("main != other").select(key, "main")
+
+
+def _crossing(unsettled: DataFrame, documents: DataFrame, threshold: float, shingle: int) -> DataFrame:
+    """Pairs (a, b) of different components that may reach the threshold.
+
+    Exact prefix filter: let every set be sorted by how many of the unsettled
+    sets hold a shingle, rarest first. Two sets whose overlap must be o or more
+    share a shingle among the first |x| - o + 1 of x and |y| - o + 1 of y, where
+    o is t/(1+t) of both sizes together. Variants of one text that differ too much have enough shingles of their
+    own to share none there, however many variants there are.
+    """
+    percent = round(100 * threshold)
+    texts = documents.select(F.col("doc_id").cast("long").alias("rep"), "text").join(unsettled, "rep").select("rep", "component", "text")
+
+    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shingle_set(t, shingle) for t in batch.column("text").to_pylist()]
+        sizes = np.array([len(f) for f in found])
+        rep, component = (np.repeat(np.array(batch.column(c).to_pylist(), dtype=np.int64), sizes) for c in ("rep", "component"))
+        return pa.RecordBatch.from_arrays([pa.array(rep), pa.array(component), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate(found).view(np.int64))], names=["rep", "component", "n", "shingle"])
+
+    rows = materialize(map_batches(texts, sets, "rep long, component long, n long, shingle long"))
+    held = materialize(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).where("held > 1"))
+    place = F.row_number().over(Window.partitionBy("rep", "n").orderBy(F.coalesce("held", F.lit(1)), "shingle"))
+    ranked = rows.join(held, "shingle", "left").withColumn("place", place).where("held is not null")
+    # Among the first |x| - o + 1 for any partner; the pair's own o decides below.
+    prefixes = materialize(ranked.where(f"place <= n - (({percent} * n + 99) div 100) + 1").select("shingle", "rep", "component", "n", "place"))
+    open_rows = materialize(prefixes.join(materialize(_several(prefixes, "shingle")), "shingle"))
+    a, b = (open_rows.select("shingle", "main", *[F.col(c).alias(f"{side}_{c}") for c in ("rep", "component", "n", "place")]) for side in "ab")
+    overlap = f"(({percent} * (a_n + b_n) + {99 + percent}) div {100 + percent})"
+    fits = F.expr(f"a_component != b_component and a_place <= a_n - {overlap} + 1 and b_place <= b_n - {overlap} + 1")
+    met = a.where("a_component != main").drop("main").join(b.drop("main"), "shingle")
+    return met.where(fits).select(F.greatest("a_rep", "b_rep").alias("a"), F.least("a_rep", "b_rep").alias("b")).distinct()
+
+
 def near_duplicates(documents: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``documents``.
 
@@ -175,12 +214,9 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, shingle: int =
     labels = connected_components(links)
 
     labelled = materialize(shared.join(labels, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component")))
-    split = materialize(labelled.groupBy("bucket").agg(F.min("component").alias("main"), F.max("component").alias("other")).where("main != other").select("bucket", "main"))
-    open_members = materialize(labelled.join(split, "bucket"))
-    rest = open_members.where("component != main").select("bucket", F.col("rep").alias("a"), F.col("component").alias("a_component"))
-    every = open_members.select("bucket", F.col("rep").alias("b"), F.col("component").alias("b_component"))
-    crossing = rest.join(every, "bucket").where("a_component != b_component").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    untested = materialize(crossing.join(first, ["a", "b"], "left_anti"))
+    split = materialize(_several(labelled, "bucket"))
+    unsettled = materialize(labelled.join(split, "bucket").select("rep", "component").distinct())
+    untested = materialize(_crossing(unsettled, documents, threshold, shingle))
     second = materialize(_plausible(untested, classes, threshold))
     more = materialize(_confirmed(second, documents, threshold, shingle))
     final = labels if more.isEmpty() else connected_components(links.unionByName(more))
