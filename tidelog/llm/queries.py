@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import langid, pii, secrets, setsketch, topk, toxicity
+from . import langid, pieces, pii, secrets, setsketch, tiling, topk, toxicity
 from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = in_fold("doc_id", 5, 0)
@@ -56,16 +60,22 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(secrets.find_secrets(table(spark, sf_dir, "documents")), {"assign": "n_assign", "access": "n_access", "hex": "n_hex"})
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.with_pieces(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_tokens", "ids", "round_trip")
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(pii.find_pii(table(spark, sf_dir, "documents")), {k: f"n_{k}" for k in ("email", "ip", "card", "phone")})
 
 
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
+    "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
     "op5_top_k": op5_top_k,
     "op6_near_duplicates": op6_near_duplicates,
     "op8_secrets": op8_secrets,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_pii": op10_pii,
 }
 

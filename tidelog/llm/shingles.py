@@ -15,6 +15,8 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Separators of tokens: every ASCII byte but letters and digits.
+_NOT_TOKEN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -34,8 +36,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _hash_chunk(data: np.ndarray) -> np.ndarray:
-    word = ~_SPACE[data]
+def _hash_chunk(data: np.ndarray, separators: np.ndarray) -> np.ndarray:
+    word = ~separators[data]
     edges = np.diff(np.concatenate(([False], word, [False])).astype(np.int8))
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     if not len(starts):
@@ -49,14 +51,24 @@ def _hash_chunk(data: np.ndarray) -> np.ndarray:
 
 def word_hashes(text: str) -> np.ndarray:
     """One 64-bit hash per word, in order."""
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), dtype=np.uint8)
+    return _hashes(text.encode("utf-8", "surrogatepass").lower(), _SPACE)
+
+
+def token_hashes(text: str) -> np.ndarray:
+    """One 64-bit hash per token, in order: lower-case runs of letters and
+    digits (and of anything beyond ASCII)."""
+    return _hashes(text.lower().encode("utf-8", "surrogatepass"), _NOT_TOKEN)
+
+
+def _hashes(text: bytes, separators: np.ndarray) -> np.ndarray:
+    data = np.frombuffer(text, dtype=np.uint8)
     parts, at = [], 0
     while at < len(data):
         end = at + CHUNK
-        while end < len(data) and not _SPACE[data[end]]:
-            ahead = np.flatnonzero(_SPACE[data[end : end + CHUNK]])
+        while end < len(data) and not separators[data[end]]:
+            ahead = np.flatnonzero(separators[data[end : end + CHUNK]])
             end += int(ahead[0]) if len(ahead) else CHUNK
-        parts.append(_hash_chunk(data[at:end]))
+        parts.append(_hash_chunk(data[at:end], separators))
         at = end
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
