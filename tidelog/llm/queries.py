@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import langid, pieces, pii, secrets, setsketch, tiling, topk, toxicity
+from . import langid, lm, pieces, pii, secrets, setsketch, tiling, topk, toxicity
 from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def _digest(spans: DataFrame, base: dict[str, str]) -> DataFrame:
     return spans.select("doc_id", *counts, F.sha2(_listed(of_base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), in_fold("doc_id", 7, 2))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(secrets.find_secrets(table(spark, sf_dir, "documents")), {"assign": "n_assign", "access": "n_access", "hex": "n_hex"})
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op3_toxicity": op3_toxicity,
     "op5_top_k": op5_top_k,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_language_model": op7_language_model,
     "op8_secrets": op8_secrets,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_pii": op10_pii,
