@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import langid, lm, pieces, pii, secrets, setsketch, tiling, topk, toxicity
+from . import html, langid, lm, pieces, pii, secrets, setsketch, tiling, topk, toxicity
 from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "offending")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html.main_text(pages, html.train(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantized(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
@@ -76,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
+    "op4_html_text": op4_html_text,
     "op5_top_k": op5_top_k,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_language_model": op7_language_model,
