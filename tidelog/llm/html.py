@@ -24,7 +24,6 @@ import html as references
 import re
 import zlib
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -142,9 +141,16 @@ def leaves(html: str | None) -> list[Leaf]:
     return out
 
 
-@lru_cache(maxsize=200_000)
+_buckets: dict[tuple[str, int], int] = {}
+
+
 def _bucket(token: str, size: int) -> int:
-    return zlib.crc32(token.encode("utf-8", "surrogatepass")) % size
+    known = _buckets.get((token, size))
+    if known is None:
+        if len(_buckets) >= 200_000:
+            _buckets.clear()
+        known = _buckets[token, size] = zlib.crc32(token.encode("utf-8", "surrogatepass")) % size
+    return known
 
 
 def vectors(blocks: list[Leaf]) -> np.ndarray:
