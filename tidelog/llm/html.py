@@ -357,7 +357,9 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> BiLstm:
     if not total:
         return fit([])
     sample = pages.where(F.col("html").isNotNull() & hash_below(F.lit(min(1.0, sample_pages / total)), "page_id", "url", salt="html")).select("page_id", "html").collect()
-    return fit([leaves(r["html"]) for r in sorted(sample, key=lambda r: (r["page_id"] is None, r["page_id"], r["html"]))])
+    model = fit([leaves(r["html"]) for r in sorted(sample, key=lambda r: (r["page_id"] is None, r["page_id"] or 0, r["html"]))])
+    _buckets.clear()  # it would travel with the functions sent to the workers
+    return model
 
 
 def label(model: BiLstm, pages: list[list[Leaf]]) -> list[np.ndarray]:
