@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 import uuid
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -72,6 +74,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def of_this_process(name: str) -> dict:
+    """A dict that lives as long as the Python process: tasks that run one after
+    another in a worker share it, and it never travels with a function."""
+    return sys.modules.setdefault(f"_tidelog_{name}", ModuleType(f"_tidelog_{name}")).__dict__
+
+
 def digest(data: bytes) -> bytes:
     """128-bit digest that names a value across tasks."""
     return hashlib.blake2b(data, digest_size=16).digest()

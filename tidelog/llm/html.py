@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import hash_below, map_batches
+from .common import hash_below, map_batches, of_this_process
 
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>""")
 NAMES = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
@@ -141,26 +141,24 @@ def leaves(html: str | None) -> list[Leaf]:
     return out
 
 
-_buckets: dict[tuple[str, int], int] = {}
-
-
-def _bucket(token: str, size: int) -> int:
-    known = _buckets.get((token, size))
+def _bucket(token: str, size: int, held: dict) -> int:
+    known = held.get((token, size))
     if known is None:
-        if len(_buckets) >= 200_000:
-            _buckets.clear()
-        known = _buckets[token, size] = zlib.crc32(token.encode("utf-8", "surrogatepass")) % size
+        if len(held) >= 200_000:
+            held.clear()
+        known = held[token, size] = zlib.crc32(token.encode("utf-8", "surrogatepass")) % size
     return known
 
 
 def vectors(blocks: list[Leaf]) -> np.ndarray:
     x = np.zeros((len(blocks), INPUT), np.float32)
+    held = of_this_process("buckets").setdefault("held", {})
     for i, (row, leaf) in enumerate(zip(x, blocks)):
         for token in leaf.path:
-            row[_bucket(token, PATH_DIM)] += 1
+            row[_bucket(token, PATH_DIM, held)] += 1
         words = WORD.findall(leaf.text)
         if words:
-            hashed = np.bincount([_bucket(w.lower(), WORD_DIM) for w in words], minlength=WORD_DIM)
+            hashed = np.bincount([_bucket(w.lower(), WORD_DIM, held) for w in words], minlength=WORD_DIM)
             row[PATH_DIM : PATH_DIM + WORD_DIM] = np.sqrt(hashed / len(words))
         size = len(leaf.text)
         row[PATH_DIM + WORD_DIM :] = (np.log1p(size) / 5, min(1.0, leaf.linked / size), np.log1p(len(words)) / 4, sum(map(leaf.text.count, ".!?,;")) / size * 10, i / len(blocks), 1.0 if len(blocks) == 1 else 0.0)
@@ -357,9 +355,7 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> BiLstm:
     if not total:
         return fit([])
     sample = pages.where(F.col("html").isNotNull() & hash_below(F.lit(min(1.0, sample_pages / total)), "page_id", "url", salt="html")).select("page_id", "html").collect()
-    model = fit([leaves(r["html"]) for r in sorted(sample, key=lambda r: (r["page_id"] is None, r["page_id"] or 0, r["html"]))])
-    _buckets.clear()  # it would travel with the functions sent to the workers
-    return model
+    return fit([leaves(r["html"]) for r in sorted(sample, key=lambda r: (r["page_id"] is None, r["page_id"] or 0, r["html"]))])
 
 
 def label(model: BiLstm, pages: list[list[Leaf]]) -> list[np.ndarray]:

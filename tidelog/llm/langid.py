@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import hash_below, map_batches
+from .common import hash_below, map_batches, of_this_process
 
 UNDETERMINED = "und"
 BITS_OF_TABLE = 13
@@ -32,14 +32,12 @@ ROWS_PER_LANGUAGE = 500
 MAX_EXHAUSTIVE = 6
 AMBIGUOUS_LEAD = 0.2
 
-_letters: np.ndarray | None = None
-
 
 def _letter_table() -> np.ndarray:
-    global _letters
-    if _letters is None:
-        _letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
-    return _letters
+    held = of_this_process("letters")
+    if "letters" not in held:
+        held["letters"] = np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
+    return held["letters"]
 
 
 def ngram_counts(text: str) -> np.ndarray | None:

@@ -18,16 +18,14 @@ rows are encoded alike; extra columns pass through ``with_pieces``.
 from __future__ import annotations
 
 import re
-import sys
 from dataclasses import dataclass, field
 from functools import lru_cache
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from .common import map_batches
+from .common import map_batches, of_this_process
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -199,11 +197,10 @@ def load(path: str = MODEL_PATH) -> Pieces:
     return Pieces(Trie.build(keys), scores, texts, byte_ids, min(scores[i] for i in keys.values()) - UNKNOWN_PENALTY, f"{path}:{len(scores)}")
 
 
-def _of_this_process(pieces: Pieces) -> Pieces:
+def _shared(pieces: Pieces) -> Pieces:
     """The copy that this Python process already has, with the words it knows:
     tasks that run one after another in a worker share it."""
-    held = sys.modules.setdefault("_tidelog_pieces", ModuleType("_tidelog_pieces")).__dict__
-    return held.setdefault(pieces.name, pieces)
+    return of_this_process("pieces").setdefault(pieces.name, pieces)
 
 
 def with_pieces(documents: DataFrame, path: str = MODEL_PATH) -> DataFrame:
@@ -213,7 +210,7 @@ def with_pieces(documents: DataFrame, path: str = MODEL_PATH) -> DataFrame:
     df = documents.drop("ids", "n_tokens", "round_trip")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = _of_this_process(pieces)
+        own = _shared(pieces)
         flat, offsets, exact = [], [0], []
         total = 0
         for text in batch.column("text").to_pylist():

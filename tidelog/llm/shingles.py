@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from .common import of_this_process
+
 #: Bytes hashed at a time (longer only for a single word that is longer).
 CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -17,16 +19,15 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 #: Separators of tokens: every ASCII byte but letters and digits.
 _NOT_TOKEN = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
 
-def _power_tables(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        for i, base in enumerate((_BASE, _BASE_INVERSE)):
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    held = of_this_process("powers")
+    if len(held.get("of_base", ())) < n:
+        for name, base in (("of_base", _BASE), ("of_inverse", _BASE_INVERSE)):
             steps = np.full(max(n, 1 << 16), base, dtype=np.uint64)
             steps[0] = 1
-            _powers[i] = np.multiply.accumulate(steps)
-    return _powers
+            held[name] = np.multiply.accumulate(steps)
+    return held["of_base"], held["of_inverse"]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
