@@ -98,7 +98,9 @@ def test_toxicity_points_at_sentences(spark):
 
 
 def test_noisy_or():
-    model = toxicity.Model({"bad$": 3.0}, -2.0)
+    weights = np.zeros(toxicity.WEIGHTS)
+    weights[toxicity.word_features("bad")[0]] = 3.0
+    model = toxicity.Model(weights, -2.0)
     p = [1 / (1 + math.exp(2)), 1 / (1 + math.exp(-1))]
     assert math.isclose(model.score("good. bad one."), 1 - (1 - p[0]) * (1 - p[1]))
 

@@ -17,7 +17,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+import zlib
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,7 +32,7 @@ TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]")
 ENDS = frozenset(".!?\n")
 PREFIXES = (3, 4, 5, 6)
 #: Learned from about this many labelled rows of each class (whole texts).
-ROWS_PER_CLASS = {1: 4000, 0: 6000}
+ROWS_PER_CLASS = {1: 3000, 0: 5000}
 #: A feature counts if it is in so many sampled documents.
 MIN_DOCUMENTS = 4
 #: A sentence this likely is reported, and always the likeliest of a rejected text.
@@ -39,8 +40,13 @@ OFFENDING = 0.5
 CACHE_WORDS = 400_000
 
 
-def word_features(word: str) -> list[str]:
-    return [word + "$", *(word[:n] for n in PREFIXES if len(word) >= n)]
+#: Features are hashed into so many weights.
+WEIGHTS = 1 << 20
+
+
+def word_features(word: str) -> list[int]:
+    names = {word + "$", *(word[:n] for n in PREFIXES if len(word) >= n)}
+    return sorted(zlib.crc32(f.encode("utf-8", "surrogatepass")) & (WEIGHTS - 1) for f in names)
 
 
 def sentences(text: str) -> list[list[str]]:
@@ -59,7 +65,7 @@ def sentences(text: str) -> list[list[str]]:
 
 @dataclass
 class Model:
-    weights: dict[str, float]
+    weights: np.ndarray  # one per hashed feature
     bias: float
     cache: dict[str, float] = field(default_factory=dict, repr=False)
 
@@ -68,8 +74,7 @@ class Model:
         if known is None:
             if len(self.cache) >= CACHE_WORDS:
                 self.cache.clear()
-            get = self.weights.get
-            known = self.cache[word] = sum(get(f, 0.0) for f in word_features(word))
+            known = self.cache[word] = float(sum(self.weights[f] for f in word_features(word)))
         return known
 
     def logits(self, text: str) -> list[float]:
@@ -115,39 +120,51 @@ class Model:
         return [s for s in found if s[2] >= least]
 
 
-def fit(bags: list[list[np.ndarray]], words: list[str], labels: np.ndarray, weights: np.ndarray, steps: int = 120, l2: float = 1e-5) -> Model:
-    """bags: for each document its sentences as arrays of indexes into words."""
-    in_documents: Counter[str] = Counter()
-    features = [word_features(w) for w in words]
+def fit(bags: list[tuple[np.ndarray, np.ndarray]], words: list[str], labels: np.ndarray, weights: np.ndarray, steps: int = 120, l2: float = 1e-5) -> Model:
+    """bags: for each document its words, as indexes into ``words``, and the
+    lengths of its sentences. Arrays throughout: the driver holds a few numbers
+    per sampled word."""
+    of_feature = array("i")
+    counts = array("i")
+    for w in words:
+        features = word_features(w)
+        of_feature.extend(features)
+        counts.append(len(features))
+    of_feature, counts = np.array(of_feature, dtype=np.int32), np.array(counts, dtype=np.int32)
+    starts = np.cumsum(counts) - counts
+    in_documents = np.zeros(WEIGHTS, np.int32)
     for bag in bags:
-        in_documents.update({f for i in {int(i) for s in bag for i in s} for f in features[i]})
-    names = [f for f, n in in_documents.items() if n >= MIN_DOCUMENTS]
-    number = {f: i for i, f in enumerate(names)}
-    pairs = [(i, number[f]) for i, fs in enumerate(features) for f in fs if f in number]
-    of_word, of_feature = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
-    sentence_list = [s for bag in bags for s in bag]
-    flat = np.concatenate(sentence_list) if sentence_list else np.zeros(0, np.int32)
-    of_sentence = np.repeat(np.arange(len(sentence_list)), [len(s) for s in sentence_list])
-    of_bag = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
-    theta, bias = np.zeros(len(names)), -5.0
-    m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
+        held = np.unique(bag[0])
+        in_documents[np.unique(np.concatenate([of_feature[starts[i] : starts[i] + counts[i]] for i in held]))] += 1
+    of_word = np.repeat(np.arange(len(words), dtype=np.int32), counts)
+    common = in_documents[of_feature] >= MIN_DOCUMENTS
+    of_word, of_feature = of_word[common], of_feature[common]
+    used, of_feature = np.unique(of_feature, return_inverse=True)
+    flat = np.concatenate([b[0] for b in bags])
+    lengths = np.concatenate([b[1] for b in bags])
+    of_sentence = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    of_bag = np.repeat(np.arange(len(bags), dtype=np.int32), [len(b[1]) for b in bags])
+    theta, bias = np.zeros(len(used)), -5.0
+    m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     share = weights / weights.sum()
     for t in range(1, steps + 1):
         per_word = np.bincount(of_word, theta[of_feature], len(words))
-        z = bias + np.bincount(of_sentence, per_word[flat], len(sentence_list))
+        z = bias + np.bincount(of_sentence, per_word[flat], len(lengths))
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         clean = np.bincount(of_bag, np.logaddexp(0, z), len(bags))  # -log of the chance that no sentence offends
         # d loglik / dz = p * (1 - p_doc) / p_doc for a toxic bag, -p for a clean one
         odds = np.where(labels == 1, 1 / np.expm1(np.clip(clean, 1e-6, 30)), -1.0)
         pull = p * (odds * share)[of_bag]
         by_word = np.bincount(flat, pull[of_sentence], len(words))
-        g = np.append(-np.bincount(of_feature, by_word[of_word], len(names)) + l2 * theta, -pull.sum())
+        g = np.append(-np.bincount(of_feature, by_word[of_word], len(used)) + l2 * theta, -pull.sum())
         m += 0.1 * (g - m)
         v += 0.01 * (g * g - v)
         step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
         theta -= step[:-1]
         bias -= step[-1]
-    return Model({f: float(w) for f, w in zip(names, theta) if abs(w) > 1e-3}, float(bias))
+    learned = np.zeros(WEIGHTS, np.float32)
+    learned[used] = theta
+    return Model(learned, float(bias))
 
 
 def train(documents: DataFrame, labels: DataFrame, trainable: Column, rows_per_class: dict[int, int] | None = None) -> Model | None:
@@ -171,9 +188,10 @@ def train(documents: DataFrame, labels: DataFrame, trainable: Column, rows_per_c
     number: dict[str, int] = {}
     rows = []
     for r in map_batches(joined, words, "doc_id long, toxic int, words string").toLocalIterator():
-        bag = [np.array([number.setdefault(w, len(number)) for w in line.split(" ")], dtype=np.int32) for line in r["words"].split("\n")] if r["words"] else []
-        rows.append((r["doc_id"], r["toxic"], bag))
-    rows = [r for r in rows if r[2]]
+        if r["words"]:
+            found = [line.split(" ") for line in r["words"].split("\n")]
+            ids = np.fromiter((number.setdefault(w, len(number)) for line in found for w in line), dtype=np.int32)
+            rows.append((r["doc_id"], r["toxic"], (ids, np.array([len(line) for line in found], dtype=np.int32))))
     if len({r[1] for r in rows}) < 2:
         return None
     y = np.array([r[1] for r in rows])
