@@ -1,19 +1,17 @@
-from tidelog.operators.activity import activity_runs, interval_histogram, zipper_table
+from tidelog.operators.activity import activity_runs, bad_intervals, interval_histogram, zipper_table
 from tidelog.plans.pipelines import activity_intervals
 
 from conftest import rows
 
-# The reference's interval fixture: user, first login, start, end (open end 9999-12-31).
+# user, first login, start, end (open end 9999-12-31); the expected days are worked out by hand.
 ACTIVE = [
-    ("a", "2019-06-01", "2019-06-01", "2019-06-04"),
-    ("a", "2019-06-01", "2019-06-06", "2019-06-06"),
-    ("a", "2019-06-01", "2019-06-08", "2019-06-08"),
-    ("a", "2019-06-01", "2019-06-10", "9999-12-31"),
-    ("b", "2019-06-12", "2019-06-02", "2019-06-06"),
-    ("b", "2019-06-12", "2019-06-08", "2019-06-10"),
-    ("b", "2019-06-12", "2019-06-13", "9999-12-31"),
-    ("c", "2019-06-13", "2019-06-13", "9999-12-31"),
-    ("d", "2019-06-09", "2019-06-09", "2019-06-09"),
+    ("kim", "2021-03-01", "2021-03-01", "2021-03-03"),
+    ("kim", "2021-03-01", "2021-03-07", "2021-03-07"),
+    ("kim", "2021-03-01", "2021-03-09", "9999-12-31"),
+    ("lou", "2021-03-02", "2021-03-02", "2021-03-05"),
+    ("lou", "2021-03-02", "2021-03-06", "2021-03-08"),
+    ("max", "2021-03-11", "2021-03-11", "9999-12-31"),
+    ("ned", "2021-03-04", "2021-03-04", "2021-03-04"),
 ]
 
 
@@ -22,23 +20,30 @@ def _intervals(spark):
 
 
 def test_population_histogram(spark):
-    out = activity_intervals(_intervals(spark), "2019-06-14")
-    assert rows(out, "gap_days", "days") == [(1, 15), (2, 4), (3, 1)]
+    out = activity_intervals(_intervals(spark), "2021-03-12")
+    assert rows(out, "gap_days", "days") == [(1, 12), (2, 1), (4, 1)]
     assert rows(out, "interval")[0] == ("隔1天",)
 
 
 def test_per_user_histogram(spark):
-    out = activity_intervals(_intervals(spark), "2019-06-15", per_user=True)
+    out = activity_intervals(_intervals(spark), "2021-03-12", per_user=True)
     assert rows(out, "user", "gap_days", "days") == [
-        ("a", 1, 8), ("a", 2, 3), ("b", 1, 8), ("b", 2, 1), ("b", 3, 1), ("c", 1, 2), ("d", 1, 0)
+        ("kim", 1, 5), ("kim", 2, 1), ("kim", 4, 1), ("lou", 1, 6), ("max", 1, 1), ("ned", 1, 0)
     ]
 
 
 def test_unsorted_input_is_ordered_by_start(spark):
     shuffled = list(reversed(ACTIVE))
     df = spark.createDataFrame(shuffled, "user string, first_lg string, start_dt string, end_dt string")
-    out = interval_histogram(df, "2019-06-14")
-    assert rows(out, "gap_days", "days") == [(1, 15), (2, 4), (3, 1)]
+    out = interval_histogram(df, "2021-03-12")
+    assert rows(out, "gap_days", "days") == [(1, 12), (2, 1), (4, 1)]
+
+
+def test_bad_dates_are_returned_not_counted(spark):
+    bad = [("kim", None, "2021-03-20", "soon"), ("lou", None, None, "2021-03-20")]
+    df = spark.createDataFrame(ACTIVE + bad, "user string, first_lg string, start_dt string, end_dt string")
+    assert rows(interval_histogram(df, "2021-03-12"), "gap_days", "days") == [(1, 12), (2, 1), (4, 1)]
+    assert rows(bad_intervals(df), "user", "end_dt") == [("kim", "soon"), ("lou", "2021-03-20")]
 
 
 def test_runs_and_zipper_from_events(spark):

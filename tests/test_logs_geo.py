@@ -3,14 +3,16 @@ import json
 from pyspark.sql import functions as F
 
 from tidelog.functions import geohash
+from tidelog.functions.dates import millis_to_day
 from tidelog.operators import geo, logs
+from tidelog.operators.keywords import add_title_keywords
 from tidelog.plans.pipelines import build_area_dic, build_biz_dic, preprocess_logs
-from tidelog.sources.readers import parse_area_dump, parse_biz_dump
+from tidelog.sources.readers import parse_area_dump, parse_biz_dump, short_lines
 
 from conftest import rows
 
 
-def _doc(cookie="c1", account="acc", lng=116.412987, lat=39.908416, event=None, **over):
+def _doc(cookie="c1", account="acc", lng=13.405, lat=52.52, event=None, **over):
     d = {
         "u": {
             "cookieid": cookie, "account": account, "sessionId": "s1",
@@ -34,13 +36,33 @@ def _lines(spark, items):
 def test_parse_accepts_quoted_numbers_and_stringifies_event(spark):
     doc = _doc(lng="116.5", event={"n": 87, "flag": True, "obj": {"a": 1}, "none": None})
     out = logs.parse_logs(_lines(spark, ["2019 --> " + json.dumps(doc)])).first()
-    assert out["longtitude"] == 116.5 and out["latitude"] == 39.908416
+    assert out["longtitude"] == 116.5 and out["latitude"] == 52.52
     assert out["commit_time"] == 1560556800000
     assert out["event"]["n"] == "87" and out["event"]["flag"] == "true"
     assert json.loads(out["event"]["obj"]) == {"a": 1} and out["event"]["none"] is None
     assert (out["province"], out["biz"]) == ("", "")
 
 
+def test_repeated_event_keys_are_not_fatal(spark):
+    text = json.dumps(_doc()).replace('"event": {', '"event": {"url": "first", "title": "gone", ')
+    out = add_title_keywords(logs.parse_logs(_lines(spark, ["t --> " + text]))).first()["event"]
+    assert out == {"url": "http://x.example.com/a", "title": "Hello big world", "keyword": "Hello big world"}
+
+
+def test_far_commit_time_is_not_fatal(spark):
+    out = logs.parse_logs(_lines(spark, ["t --> " + json.dumps(_doc(commit_time=t)) for t in (1560556800000000000, 0)]))
+    assert sorted(str(r[0]) for r in out.select(millis_to_day("commit_time")).collect()) == ["1970-01-01", "None"]
+
+
+def test_one_parse_for_three_outputs(spark, tmp_path):
+    area_dic, biz_dic = _dics(spark)
+    lines = _lines(spark, ["t --> " + json.dumps(_doc(lng=10.0, lat=10.0)), "broken"])
+    pre = preprocess_logs(lines, area_dic, biz_dic, store=str(tmp_path / "parsed"))
+    assert pre.records.count() == 1 and [r[0] for r in pre.rejects.collect()] == ["broken"]
+    assert [r[0] for r in pre.unmatched.collect()] == ["10.0,10.0"]
+    assert "from_json" not in pre.records._jdf.queryExecution().executedPlan().toString()
+
+
 def test_commit_time_forms(spark):
     docs = [_doc(commit_time=1.5605568e12), _doc(commit_time="1560556800000"), _doc(commit_time="soon")]
     out = logs.parse_logs(_lines(spark, ["t --> " + json.dumps(d) for d in docs]))
@@ -74,15 +96,15 @@ def test_identity_filter_treats_null_text_as_empty(spark):
 def _dics(spark):
     biz = spark.createDataFrame(
         [
-            ("116.412987", "39.908416", "北京市", "北京市", "东城区", "王府井"),
-            ("116.412987", "39.908416", "北京市", "北京市", "东城区", "A-first"),  # duplicate cell
-            ("121.47", "31.23", "", "上海市", "黄浦区", "外滩"),                    # hit without province
-            ("bad", "31.0", "x", "x", "x", "x"),                                   # null key
+            ("13.405", "52.52", "Berlin", "Berlin", "Mitte", "Markt"),
+            ("13.405", "52.52", "Berlin", "Berlin", "Mitte", "A-first"),  # duplicate cell
+            ("2.2945", "48.8584", "", "Paris", "Quai", "Tour"),                    # hit without province
+            ("bad", "48.0", "x", "x", "x", "x"),                                   # null key
         ],
         "lng string, lat string, province string, city string, district string, biz string",
     )
     area = spark.createDataFrame(
-        [("121.47", "31.23", "上海市", "上海市", "黄浦区"), ("113.26", "23.13", "广东省", "广州市", "越秀区")],
+        [("2.2945", "48.8584", "Paris", "Paris", "Quai"), ("-0.1276", "51.5072", "England", "London", "Soho")],
         "lng string, lat string, province string, city string, district string",
     )
     biz_dic = geo.build_biz_dic(biz)
@@ -94,16 +116,16 @@ def _dics(spark):
 def test_enrichment_rules(spark):
     area_dic, biz_dic = _dics(spark)
     docs = [
-        _doc(cookie="biz", lng=116.412987, lat=39.908416),
-        _doc(cookie="fallback", lng=121.47, lat=31.23),
-        _doc(cookie="area", lng=113.26, lat=23.13),
+        _doc(cookie="biz", lng=13.405, lat=52.52),
+        _doc(cookie="fallback", lng=2.2945, lat=48.8584),
+        _doc(cookie="area", lng=-0.1276, lat=51.5072),
         _doc(cookie="none", lng=10.0, lat=10.0),
     ]
     pre = preprocess_logs(_lines(spark, ["t --> " + json.dumps(d) for d in docs]), area_dic, biz_dic)
     got = {r["cookieid"]: (r["province"], r["city"], r["district"], r["biz"]) for r in pre.records.collect()}
-    assert got["biz"] == ("北京市", "北京市", "东城区", "A-first")       # smallest tuple of the duplicates
-    assert got["fallback"] == ("上海市", "上海市", "黄浦区", "外滩")      # empty province -> area, biz kept
-    assert got["area"] == ("广东省", "广州市", "越秀区", "")
+    assert got["biz"] == ("Berlin", "Berlin", "Mitte", "A-first")       # smallest tuple of the duplicates
+    assert got["fallback"] == ("Paris", "Paris", "Quai", "Tour")      # empty province -> area, biz kept
+    assert got["area"] == ("England", "London", "Soho", "")
     assert got["none"] == ("", "", "", "")
     assert [r[0] for r in pre.unmatched.collect()] == ["10.0,10.0"]
     kw = {r["cookieid"]: r["event"]["keyword"] for r in pre.records.collect()}
@@ -118,40 +140,44 @@ def test_dictionary_dedupe_is_deterministic(spark):
 
 
 def test_area_dump_hierarchy(spark):
+    def line(code, name, parent, level, lng, lat):
+        return f"INSERT INTO `areas` VALUES ({code}, '{name}', {parent}, '', {level}, 9, 0.5, 0.5, 0.5, 0.5, {lng}, {lat});"
+
     lines = [
-        "INSERT INTO `t_md_areas` VALUES (110000, '北京市', 0, '', 1, 1, 1.0, 1.0, 1.0, 1.0, 116.40, 39.90);",
-        "INSERT INTO `t_md_areas` VALUES (110100, '北京城区', 110000, '', 2, 1, 1.0, 1.0, 1.0, 1.0, 116.40, 39.90);",
-        "INSERT INTO `t_md_areas` VALUES (110101, '东城区', 110100, '', 3, 1, 1.0, 1.0, 1.0, 1.0, 116.41, 39.91);",
-        "INSERT INTO `t_md_areas` VALUES (110102, '西城区', 110100, '', 3, 1, 1.0, 1.0, 1.0, 1.0, oops, 39.91);",
+        line(510000, "Nord", 0, 1, 13.0, 52.0),
+        line(510100, "Stadt", 510000, 2, 13.1, 52.1),
+        line(510101, "Hafen", 510100, 3, 13.2, 52.2),
+        line(510102, "Heide", 510100, 3, "oops", 52.3),
         "garbage",
     ]
     df = _lines(spark, lines)
     parsed = rows(parse_area_dump(df), "code", "name", "parent_code", "level", "lng", "lat")
-    assert parsed[2] == ("110101", "东城区", "110100", "3", "116.41", "39.91")
+    assert parsed[2] == ("510101", "Hafen", "510100", "3", "13.2", "52.2")
     assert len(parsed) == 4
     dic = rows(build_area_dic(df), "province", "city", "district")
-    assert dic == [("北京市", "北京城区", "东城区")]
+    assert dic == [("Nord", "Stadt", "Hafen")]
+    assert rows(short_lines(df, 6)) == [("garbage",)]
     zero = rows(build_area_dic(df, on_bad="zero"), "geohash", "district")
-    assert ("s0000", "西城区") in zero
+    assert ("s0000", "Heide") in zero
 
 
 def test_biz_dump_parse(spark):
-    df = _lines(spark, ["('1', '北京市', '北京市', '东城区', '王府井', '116.412987', '39.908416');"])
-    assert rows(parse_biz_dump(df)) == [("北京市", "北京市", "东城区", "王府井", "116.412987", "39.908416")]
-    assert rows(build_biz_dic(df), "geohash") == [("wx4g11",)]
+    df = _lines(spark, ["('7', 'Berlin', 'Berlin', 'Mitte', 'Markt', '13.405', '52.52');"])
+    assert rows(parse_biz_dump(df)) == [("Berlin", "Berlin", "Mitte", "Markt", "13.405", "52.52")]
+    assert rows(build_biz_dic(df), "geohash") == [("u33dc0",)]
 
 
 def test_geocode_dictionary(spark):
     ok = {"status": "1", "regeocode": {"addressComponent": {"province": "P", "city": "C", "district": "D",
-          "businessAreas": [{"location": "116.412987,39.908416", "name": "王府井"}, {"location": "0,0", "name": "Z"}]}}}
+          "businessAreas": [{"location": "13.405,52.52", "name": "Markt"}, {"location": "0,0", "name": "Z"}]}}}
     empty = {"status": "1", "regeocode": {"addressComponent": {"province": "P", "city": "C", "district": "D",
              "businessAreas": []}}}
     fail = {"status": "0"}
     df = spark.createDataFrame(
-        [("116.412987,39.908416", json.dumps(ok)), ("116.412987,39.908416", json.dumps(empty)), ("0,0", json.dumps(fail))],
+        [("13.405,52.52", json.dumps(ok)), ("13.405,52.52", json.dumps(empty)), ("0,0", json.dumps(fail))],
         "location string, response string",
     )
     assert rows(geo.geocode_dictionary(df)) == [
         ("s00000", "", "", "", ""), ("s00000", "P", "C", "D", "Z"),
-        ("wx4g11", "P", "C", "D", ""), ("wx4g11", "P", "C", "D", "王府井"),
+        ("u33dc0", "P", "C", "D", ""), ("u33dc0", "P", "C", "D", "Markt"),
     ]

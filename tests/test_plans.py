@@ -6,6 +6,7 @@ import re
 
 from tidelog.functions import geohash
 from tidelog.operators import activity, geo, logs
+from tidelog.session import stored
 from tidelog.sources import readers
 
 from test_logs_geo import _doc
@@ -21,12 +22,14 @@ def test_each_log_line_is_parsed_once(spark):
         assert _plan(df).count("from_json(") == 1
 
 
-def test_enrichment_broadcasts_dictionaries(spark):
+def test_enrichment_broadcasts_dictionaries(spark, tmp_path):
     lines = spark.createDataFrame([("t --> " + json.dumps(_doc()),)], "value string")
-    dic = spark.createDataFrame([(39.9, 116.4, "P", "C", "D", "B")],
+    dic = spark.createDataFrame([(52.5, 13.4, "P", "C", "D", "B")],
                                 "lat double, lng double, province string, city string, district string, biz string")
     biz = dic.select(geohash("lat", "lng", 6).alias("geohash"), "province", "city", "district", "biz")
     area = dic.select(geohash("lat", "lng", 5).alias("geohash"), "province", "city", "district")
+    # From files the planner knows the sizes.
+    biz, area = stored(biz, str(tmp_path / "biz")), stored(area, str(tmp_path / "area"))
     plan = _plan(geo.enrich_location(logs.parse_logs(lines), area, biz))
     assert plan.count("BroadcastHashJoin") == 2
     assert "SortMergeJoin" not in plan
@@ -53,15 +56,15 @@ def test_read_lines_multi_path_and_gzip(spark, tmp_path):
 
 
 def test_oversized_dictionary_falls_back_to_shuffle_join(spark):
-    docs = [_doc(cookie=f"c{i}", lng=116.4 + i * 0.01, lat=39.9) for i in range(5)]
+    docs = [_doc(cookie=f"c{i}", lng=13.4 + i * 0.01, lat=52.5) for i in range(5)]
     lines = spark.createDataFrame([("t --> " + json.dumps(d),) for d in docs], "value string")
-    dic = spark.createDataFrame([(39.9, 116.4 + i * 0.01, "P", "C", f"D{i}", "B") for i in range(0, 5, 2)],
+    dic = spark.createDataFrame([(52.5, 13.4 + i * 0.01, "P", "C", f"D{i}", "B") for i in range(0, 5, 2)],
                                 "lat double, lng double, province string, city string, district string, biz string")
     biz = dic.select(geohash("lat", "lng", 6).alias("geohash"), "province", "city", "district", "biz")
     area = dic.select(geohash("lat", "lng", 5).alias("geohash"), "province", "city", "district")
     recs = logs.parse_logs(lines)
-    small = geo.enrich_location(recs, area, biz)
-    big = geo.enrich_location(recs, area, biz, max_broadcast_rows=0)
+    small = geo.enrich_location(recs, area, biz, max_bytes=1 << 70)
+    big = geo.enrich_location(recs, area, biz, max_bytes=0)
     assert "BroadcastHashJoin" in _plan(small)
     saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

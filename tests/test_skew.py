@@ -1,9 +1,11 @@
-"""Hot keys: one key holds a third of the rows. AQE's skew thresholds are
-lowered so hot partitions really are split; results must stay whole."""
+"""Hot keys: one key holds a third of the rows. The executed plans must deal it
+over several tasks, and results must stay whole."""
 
 import contextlib
 
-from tidelog.operators import identity, urls
+from pyspark.sql import functions as F
+
+from tidelog.operators import identity, joins, urls
 
 from conftest import rows
 
@@ -57,9 +59,46 @@ def test_url_lookup_with_a_hot_url(spark):
         out = urls.categorize(
             spark.createDataFrame(facts, "id int, url string"),
             spark.createDataFrame(dim, "prefix string, category string"),
-            max_broadcast_rows=10,
-            max_lengths_chained=0,  # force the distinct-URL shuffle path
+            max_bytes=0,
         )
         got = dict(rows(out, "id", "ct"))
     assert len(got) == 3000
     assert all(got[i] == ("sku" if i % 3 == 0 else "home") for i in range(3000))
+
+
+def _largest_share(joined, total):
+    parts = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    return max(r["count"] for r in parts) / total
+
+
+def test_lookup_join_deals_a_hot_key_over_tasks(spark):
+    """The join of hot URLs and hot cells (lookup_join): no task gets the key whole."""
+    n = 6000
+    facts = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("key"))
+    dim = facts.groupBy("key").agg(F.max("id").alias("top"))
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        spread = joins.lookup_join(facts, dim, "key", max_bytes=0)
+        assert _largest_share(spread, n) < 0.15
+        assert spread.where("top is null").count() == 0 and spread.count() == n
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_component_rounds_join_plain_scans(spark, tmp_path):
+    """The round's join of edges with labels is one that Spark splits at a hub."""
+    from tidelog.session import stored
+
+    edges = spark.range(30000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("src"), F.col("id").alias("dst"))
+    e = stored(edges, str(tmp_path / "e"))
+    labels = stored(edges.select(F.col("dst").alias("id"), F.col("dst").alias("component")).distinct(), str(tmp_path / "l"))
+    with skew_conf(spark):
+        heard = e.join(labels, e["src"] == labels["id"]).groupBy("dst").agg(F.min("component").alias("heard"))
+        heard.collect()
+        plan = heard._jdf.queryExecution().executedPlan().toString()
+    assert "skew" in plan.lower()

@@ -24,11 +24,11 @@ def test_longest_prefix_matches_brute_force(spark):
     facts = spark.createDataFrame([(i, u) for i, u in enumerate(url_list)], "id int, url string")
     dim_df = spark.createDataFrame(dim, "prefix string, category string")
     reduced = {p: min(c for q, c in dim if q == p) for p in prefixes}
-    for chained in (64, 0):  # broadcast chain, then the distinct-URL path
-        got = dict(rows(urls.categorize(facts, dim_df, "url", default="其他", max_lengths_chained=chained), "id", "ct"))
+    for max_bytes in (1 << 70, 0):  # broadcast lookup, then the salted one
+        got = dict(rows(urls.categorize(facts, dim_df, "url", default="其他", max_bytes=max_bytes), "id", "ct"))
         for i, u in enumerate(url_list):
             expect = "其他" if u is None else _brute(u, reduced.items(), "其他")
-            assert got[i] == expect, (chained, u, got[i], expect)
+            assert got[i] == expect, (max_bytes, u, got[i], expect)
 
 
 def test_traffic_detail(spark):
@@ -46,28 +46,37 @@ def test_traffic_detail(spark):
         [("https://s.example.com", "home"), ("https://s.example.com/hive", "hive"),
          ("https://s.example.com/hive/sku", "hive-sku")], "prefix string, category string")
     out = urls.traffic_detail(recs, dim)
-    assert out.columns == urls.DWD_COLUMNS
+    assert tuple(out.columns) == urls.DWD_COLUMNS
     assert rows(out, "ct", "dateStr") == [("hive-sku", "2019-06-15"), ("其他", "2019-06-15")]
 
 
 def test_keywords_and_stopwords(spark):
-    df = spark.createDataFrame([("is the 北京 a, sale! 就要 ok",)], "t string")
+    df = spark.createDataFrame([("is the 天气 a, sale! 就要 ok",)], "t string")
     got = df.select(keywords.keywords(F.col("t")).alias("k")).first()["k"]
-    assert got == "the 北京 sale ok"
+    assert got == "the 天气 sale ok"
     words = spark.createDataFrame([("is",), ("x",), ("yes",), (",",)], "word string")
     stops = spark.createDataFrame([(w,) for w in keywords.STOP_WORDS], "word string")
     assert rows(keywords.remove_stopwords(words, stops)) == [("x",), ("yes",)]
-    seg = spark.createDataFrame([("北京王府井",)], "t string").select(
-        keywords.segment_with_dictionary(F.col("t"), ["北京", "王府井"]).alias("s")).first()["s"]
-    assert seg == ["北京", "王府井"]
+    # Longest word first, of any length; other letters one by one; the rest skipped.
+    seg = spark.createDataFrame([("天气公园里, abcdefghijk",)], "t string").select(
+        keywords.segment_with_dictionary(F.col("t"), ["天气", "公园", "天", "abcdefghi"]).alias("s")).first()["s"]
+    assert seg == ["天气", "公园", "里", "abcdefghi", "j", "k"]
 
 
-# The reference's identity fixture (phone, name, wx, income); one phone is blank.
+def test_stop_words_from_a_file_and_a_segmenter(spark, tmp_path):
+    from tidelog.sources import readers
+
+    (tmp_path / "stop.txt").write_text("公园\n,\n")
+    stops = readers.read_stopwords(spark, str(tmp_path / "stop.txt"))
+    recs = spark.createDataFrame([({"title": "天气公园里天气"},), ({"url": "x"},)], "event map<string,string>")
+    out = keywords.add_title_keywords(recs, stops, segmenter=keywords.dictionary_segmenter(["天气", "公园"]))
+    assert [r["event"].get("keyword") for r in out.collect()] == ["天气 天气", None]
+
+
+# phone, name, chat id, income; one phone is blank.
 PEOPLE = [
-    ("13866778899", "刘德华", "wx_hz", "2000"), ("13877669988", "华仔", "wx_hz", "3000"),
-    (None, "刘德华", "wx_ldh", "5000"), ("13912344321", "马德华", "wx_mdh", "12000"),
-    ("13912344321", "二师兄", "wx_bj", "3500"), ("13912664321", "猪八戒", "wx_bj", "5600"),
-    (" ", None, "", "1"),
+    ("555-1", "Ana", "wx-a", "1"), ("555-2", "Ben", "wx-a", "2"), (None, "Ana", "wx-b", "3"), ("555-3", "Cyd", "wx-c", "4"),
+    ("555-3", "Dov", "wx-d", "5"), ("555-4", "Eli", "wx-d", "6"), (" ", None, "", "7"),
 ]
 
 
@@ -78,8 +87,8 @@ def test_components_fixture(spark):
     for member, comp in rows(comps.labels, "id", "component"):
         groups.setdefault(comp, set()).add(member)
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, [
-        {"13866778899", "13877669988", "wx_hz", "wx_ldh", "刘德华", "华仔"},
-        {"13912344321", "13912664321", "wx_bj", "wx_mdh", "二师兄", "猪八戒", "马德华"},
+        {"555-1", "555-2", "Ana", "Ben", "wx-a", "wx-b"},
+        {"555-3", "555-4", "Cyd", "Dov", "Eli", "wx-c", "wx-d"},
     ]))
     for comp, members in groups.items():
         assert comp == min(members)

@@ -28,9 +28,13 @@ def millis_to_day(ms: Column | str, time_zone: str | None = "UTC") -> Column:
     """Epoch milliseconds to a ``yyyy-MM-dd`` string.
 
     ``time_zone="UTC"`` (default) is zone-free integer arithmetic; ``None``
-    uses the session time zone, like formatting a ``java.util.Date``.
+    uses the session time zone, like formatting a ``java.util.Date``. Times
+    outside the years 1 to 9999 (say, nanoseconds given as milliseconds) have no
+    such day and give null.
     """
     millis = _col(ms).cast("long")
+    # The first and the last millisecond of the years 1 to 9999.
+    millis = F.when(millis.between(-62_135_596_800_000, 253_402_300_799_999), millis)
     if time_zone == "UTC":
         return F.date_from_unix_date(F.floor(millis / F.lit(86_400_000)).cast("int")).cast("string")
     if time_zone is None:

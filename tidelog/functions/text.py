@@ -45,10 +45,19 @@ def interval_label(n: Column | str) -> Column:
     return F.concat(F.lit(INTERVAL_LABEL_PREFIX), _col(n).cast("string"), F.lit(INTERVAL_LABEL_SUFFIX))
 
 
+def last_of_each_key(m: Column | str) -> Column:
+    """``m`` with one entry per key, the last one given. A JSON object may repeat
+    a key; map functions fail on that under the default policy."""
+    entries = F.map_entries(_col(m))
+    # A filter's lambda may take the element's place as its second argument.
+    kept = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
+    return F.map_from_entries(kept)
+
+
 def map_put(m: Column | str, key: str, value: Column) -> Column:
     """``m + (key -> value)`` with overwrite semantics (``map_concat`` alone
     raises on a duplicate key under the default dedup policy)."""
-    kept = F.map_filter(_col(m), lambda k, _v: k != F.lit(key))
+    kept = F.map_filter(last_of_each_key(m), lambda k, _v: k != F.lit(key))
     return F.map_concat(kept, F.create_map(F.lit(key), value))
 
 

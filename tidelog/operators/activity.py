@@ -88,9 +88,11 @@ def interval_histogram(
 ) -> DataFrame:
     """Days per gap bucket, for the whole population or per user.
 
-    Output: ``[user,] interval (label), gap_days int, days bigint``.
+    Output: ``[user,] interval (label), gap_days int, days bigint``. Intervals
+    whose dates do not convert take no part; ``bad_intervals`` returns them.
     """
     iv = close_intervals(intervals, as_of, user_col, start_col, end_col, sentinel)
+    iv = iv.where(F.col("start_dt").isNotNull() & F.col("end_dt").isNotNull())
     w = Window.partitionBy(user_col).orderBy("start_dt", "end_dt")
     iv = iv.withColumn("_next_start", F.lead("start_dt").over(w))
     span = F.struct(
@@ -107,9 +109,6 @@ def interval_histogram(
     return out.select(*cols)
 
 
-def activity_intervals(
-    intervals: DataFrame, as_of: str | _dt.date, per_user: bool = False, user_col: str = "user"
-) -> DataFrame:
-    """Pipeline form: the reference's interval CSV (user, first_lg, start_dt,
-    end_dt) -> histogram."""
-    return interval_histogram(intervals, as_of, per_user=per_user, user_col=user_col)
+def bad_intervals(intervals: DataFrame, start_col: str = "start_dt", end_col: str = "end_dt") -> DataFrame:
+    """The intervals with a start or end that is no date, as they were given."""
+    return intervals.where(_as_date(intervals, start_col).isNull() | _as_date(intervals, end_col).isNull())

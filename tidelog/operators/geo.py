@@ -8,9 +8,9 @@
 * P14 ``unmatched_coordinates``; E1 ``geocode_dictionary``.
 
 Dictionaries are bounded by geography (cells that hold a district or a
-business area), so the lookups are broadcast hash joins behind a row-count
-check; the facts are never shuffled for enrichment. Past the bound the joins
-fall back to shuffle joins, where AQE splits a hot cell.
+business area). One that the planner's estimate proves small is broadcast and
+the facts are not shuffled; beyond that the lookup deals a hot cell's facts
+over several tasks (``joins.lookup_join``).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.geo import geohash
-from tidelog.operators.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
+from tidelog.operators.joins import MAX_BROADCAST_BYTES, lookup_join
 
 AREA_DIC_COLUMNS = ("geohash", "province", "city", "district")
 BIZ_DIC_COLUMNS = ("geohash", "province", "city", "district", "biz")
@@ -97,7 +97,7 @@ def enrich_location(
     biz_dic: DataFrame,
     lat: str = "latitude",
     lng: str = "longtitude",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Fill province/city/district/biz (``""`` when unknown), keeping the
     record's column order."""
@@ -108,9 +108,7 @@ def enrich_location(
         F.col("geohash").alias("_g5"), *[F.col(c).alias("_a_" + c) for c in AREA_DIC_COLUMNS[1:]]
     )
     keyed = records.withColumn("_g6", geohash(lat, lng, 6)).withColumn("_g5", geohash(lat, lng, 5))
-    joined = keyed.join(sized_broadcast(biz, max_broadcast_rows), "_g6", "left").join(
-        sized_broadcast(area, max_broadcast_rows), "_g5", "left"
-    )
+    joined = lookup_join(lookup_join(keyed, biz, "_g6", max_bytes), area, "_g5", max_bytes)
     hit = F.coalesce(F.col("_b_province"), F.lit("")) != ""
     geo = {
         c: F.when(hit, F.coalesce(F.col("_b_" + c), F.lit(""))).otherwise(F.coalesce(F.col("_a_" + c), F.lit("")))

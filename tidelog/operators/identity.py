@@ -1,21 +1,18 @@
 """Identity resolution by connected components (G1–G4, J5).
 
 G1 vertices: the non-blank identifiers of every row. G2 edges: the row's first
-identifier to each of the others. G3 components: alternating large-star /
-small-star rounds (Kiveris et al., "Connected Components in MapReduce and
-Beyond", SoCC 2014) on an edge DataFrame, until the edge set stops changing;
-each component then is a star around its smallest identifier, which is the
-component label.
-
-Scale notes: every round is two ``groupBy(node).min`` aggregations (partial
-aggregation first, so a hub identifier shared by a third of all rows costs one
-row per task before the shuffle) and two equi-joins of edges with one row per
-node (AQE splits a hub's partition). No step collects a component into one
-row or one task; labels are assigned per vertex. Lineage is cut every round
-with a reliable ``checkpoint()`` in the session's checkpoint folder, so a lost
-executor costs at most one round. Rounds stop as soon as the edge set is a
-star forest (a degree check with one partial-aggregated ``groupBy``), so no
-confirming round is run.
+identifier to each of the others. G3 components: every vertex starts with the
+smallest identifier among itself and its neighbours; in each round it takes the
+smallest label of its neighbours, then the label of its label (pointer
+jumping), until no label changes. A component's label is its smallest
+identifier, and rounds grow with the logarithm of its width.
+
+Scale notes: labels and edges are stored in the shared checkpoint folder, each
+round once, and the round before is deleted; nothing stays in storage memory,
+and a lost executor costs at most one round. Both joins that meet a hot key (the
+edges of a hub, the vertices of a giant component) are between two plain scans,
+the case that Spark's skew join splits; the groupings by vertex aggregate before
+their shuffle. No step collects a component into one row or one task.
 """
 
 from __future__ import annotations
@@ -23,14 +20,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.text import non_blank_array
-from tidelog.session import checkpoint_dir
-
-MAX_ROUNDS = 100
+from tidelog.session import remove_path, scratch_path, stored
 
 
 class Components(NamedTuple):
@@ -59,81 +53,38 @@ def star_edges(id_arrays: DataFrame) -> DataFrame:
     )
 
 
-def _orient(edges: DataFrame) -> DataFrame:
-    """Undirected edges as (hi, lo) with hi > lo; loops and repeats removed."""
-    return (
-        edges.select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo"))
-        .where(F.col("hi") != F.col("lo"))
-        .distinct()
-    )
+def _both_ways(edges: DataFrame) -> DataFrame:
+    """Edges as (src, dst) and (dst, src); loops and repeats removed."""
+    ends = edges.where(F.col("src") != F.col("dst")).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+    return ends.unionByName(ends.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
 
 
-def _large_star(e: DataFrame) -> DataFrame:
-    # Each node u links every larger neighbour to m(u), the smallest node of
-    # N(u) ∪ {u}. With edges stored as (hi, lo), the larger neighbours of u are
-    # exactly the ``hi`` of the edges whose ``lo`` is u: one output row per edge.
-    both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
-        e.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
-    )
-    low = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("m"))
-    up = e.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
-    return up.join(low, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-
-
-def _small_star(e: DataFrame) -> DataFrame:
-    # Each node u links itself and its smaller neighbours to the smallest of them.
-    low = e.groupBy("hi").agg(F.min("lo").alias("m"))
-    j = e.join(low, "hi")
-    moved = j.where(F.col("lo") != F.col("m")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-    centre = low.select("hi", F.col("m").alias("lo"))
-    return moved.unionByName(centre).distinct()
-
-
-def _is_star_forest(e: DataFrame) -> bool:
-    """True when every node has at most one outgoing edge and no node has both
-    an outgoing and an incoming one. Edges always point from the larger to the
-    smaller id and every round keeps the components connected, so such an
-    edge set is one star per component, centred on its smallest id. One
-    ``groupBy(node)`` with partial aggregation; stops at the first offender."""
-    out_deg = e.select(F.col("hi").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i"))
-    in_deg = e.select(F.col("lo").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i"))
-    deg = out_deg.unionByName(in_deg).groupBy("node").agg(F.sum("o").alias("o"), F.sum("i").alias("i"))
-    offenders = deg.where((F.col("o") > 1) | ((F.col("o") >= 1) & (F.col("i") >= 1)))
-    return offenders.limit(1).count() == 0
-
-
-def connected_components(
-    vertex_ids: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUNDS, checkpoint_every: int = 1
-) -> DataFrame:
+def connected_components(vertex_ids: DataFrame, edges: DataFrame) -> DataFrame:
     """(id) vertices + (src, dst) edges -> (id, component = smallest id)."""
     spark = edges.sparkSession
-    checkpoint_dir(spark)
-
-    def cut(df: DataFrame) -> DataFrame:
-        # Persist first: a reliable checkpoint otherwise computes the round
-        # twice. The checkpoint is lazy: the degree check that follows
-        # materialises it, then the files are written from the cache.
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        return df.checkpoint(eager=False)
-
-    e = cut(_orient(edges))
-    prev = None
-    rounds = 0
-    while not _is_star_forest(e):  # this action also materialises e
-        if prev is not None:
-            prev.unpersist()  # e is built now; the previous round can go
-        rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
-        prev = e
-        e = _small_star(_large_star(e))
-        if rounds % checkpoint_every == 0:
-            e = cut(e)
-    if prev is not None:
-        prev.unpersist()
-    # Converged: every non-root vertex has exactly one edge, to its root.
-    labels = e.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
-    return vertex_ids.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    base = scratch_path(spark, "components")
+    e = stored(_both_ways(edges), f"{base}/edges")
+    labels = stored(e.groupBy("src").agg(F.min("dst").alias("low")).select(F.col("src").alias("id"), F.least("src", "low").alias("component")), f"{base}/0")
+    step = 0
+    while True:
+        step += 1
+        heard = e.join(labels, e["src"] == labels["id"]).groupBy("dst").agg(F.min("component").alias("heard"))
+        lowered = stored(
+            labels.join(heard, labels["id"] == heard["dst"]).select("id", F.col("component").alias("before"), F.least("component", "heard").alias("component")),
+            f"{base}/{step}-lowered",
+        )
+        target = lowered.select(F.col("id").alias("target"), F.col("component").alias("further"))
+        jumped = stored(
+            lowered.join(target, lowered["component"] == target["target"]).select("id", "before", F.least("component", "further").alias("component")),
+            f"{base}/{step}",
+        )
+        labels = jumped.select("id", "component")
+        done = jumped.where(F.col("before") != F.col("component")).isEmpty()
+        remove_path(spark, f"{base}/{step - 1}")
+        remove_path(spark, f"{base}/{step}-lowered")
+        if done:
+            remove_path(spark, f"{base}/edges")
+            return vertex_ids.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
 def resolve_identities(rows: DataFrame, id_cols: Sequence[str], typed: bool = False) -> Components:

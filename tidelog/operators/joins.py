@@ -2,28 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows a dimension may have and still be shipped to every task. Dictionary rows
-# are a handful of short strings, so this stays well under executor memory.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# A dimension may be sent to every task up to this size.
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
+# Parts that a key's rows are dealt into when the dimension is not broadcast.
+SALTS = 16
 
-def sized_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the dimension is proven small.
 
-    Counts at most ``max_rows + 1`` rows of ``dim``. Within the bound the
-    dimension is kept cached (the count fills the cache, so the broadcast
-    does not compute it again) and carries a broadcast hint: a hash join
-    without shuffling the facts. Beyond the bound the cache is dropped and
-    the DataFrame is returned as is; Spark then plans a shuffle join, which
-    AQE may still convert, or split where one key is hot.
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's upper estimate of the size of ``df``; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def proven_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    return estimated_bytes(df) <= max_bytes
+
+
+def sized_broadcast(dim: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """A broadcast hint only where the planner's estimate proves the size."""
+    return F.broadcast(dim) if proven_small(dim, max_bytes) else dim
+
+
+def lookup_join(facts: DataFrame, dim: DataFrame, key: str, max_bytes: int = MAX_BROADCAST_BYTES, salts: int = SALTS) -> DataFrame:
+    """Left join of facts to a dimension of one row per ``key``.
+
+    A dimension proven small is broadcast. Otherwise the facts of every key are
+    dealt into ``salts`` parts by a hash of the whole row, and the dimension's
+    rows are copied into each part: a key that holds a third of all facts is
+    spread over that many tasks. (Skew splitting at run time would not help, as
+    the dimension comes out of an aggregation by the key.) The hash, unlike a
+    random number, stays the same when a task runs again.
     """
-    cached = dim.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(cached)
-    cached.unpersist()
-    return dim
+    if proven_small(dim, max_bytes):
+        return facts.join(F.broadcast(dim), key, "left")
+    hashed = [F.col(f.name) for f in facts.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
+    copies = dim.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+    return salted.join(copies, [key, "_salt"], "left").drop("_salt")

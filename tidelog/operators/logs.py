@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.functions.text import any_identifier
+from tidelog.functions.text import any_identifier, last_of_each_key
 
 LOG_SEPARATOR = " --> "
 
@@ -43,13 +43,6 @@ LOG_JSON_SCHEMA = T.StructType(
     ]
 )
 
-# Column order of a flat record (the LogBean layout).
-RECORD_COLUMNS = (
-    "cookieid account imei osName osVer resolution androidId manufacture deviceId "
-    "appid appVer release_ch promotion_ch areacode longtitude latitude carrier netType "
-    "sessionId logType commit_time event province city district biz"
-).split()
-
 IDENTITY_COLUMNS = ("account", "cookieid", "sessionId", "imei", "deviceId", "androidId")
 
 
@@ -80,7 +73,7 @@ def _flat_columns(j: Column) -> list[Column]:
         u["sessionId"].alias("sessionId"),
         j["logType"].alias("logType"),
         _millis(j["commit_time"]).alias("commit_time"),
-        j["event"].alias("event"),
+        last_of_each_key(j["event"]).alias("event"),
     ]
 
 
@@ -126,6 +119,15 @@ def rejected_logs(lines: DataFrame, col: str = "value", sep: str = LOG_SEPARATOR
     return _parsed(lines, col, sep).select(F.explode(F.when(bad, F.array(F.col("_line")))).alias(col))
 
 
+def tagged_logs(lines: DataFrame, col: str = "value", sep: str = LOG_SEPARATOR) -> DataFrame:
+    """Every line as (line, record): the record is null if the line is rejected.
+    Stored once, it gives records and rejects from a single parse."""
+    j = F.col("_j")
+    geo = [F.lit("").alias(c) for c in ("province", "city", "district", "biz")]
+    record = F.struct(*_flat_columns(j), *geo)
+    return _parsed(lines, col, sep).select(F.col("_line").alias("line"), F.when(_complete(j), record).alias("record"))
+
+
 def identity_filter(records: DataFrame, cols: tuple[str, ...] = IDENTITY_COLUMNS) -> DataFrame:
     """Keep records with at least one usable identifier; the text ``null``
     counts as empty."""

@@ -1,23 +1,18 @@
 """URL categories (J4 longest-prefix lookup, A9) and the traffic detail table (C4).
 
-Longest prefix match without a nested-loop join:
+Longest prefix match without a nested-loop join, one plan for any dimension:
 
 1. the dimension is reduced to one category per prefix (A9);
 2. the distinct URLs of the facts are taken (a partial-aggregated shuffle of
    one column: a URL that makes up a third of all rows costs one row per task);
-3. every URL is cut at each distinct prefix length of the dimension — a short
-   list bounded by the longest prefix — and the cuts are equi-joined to the
-   dimension (a hash join; broadcast behind a size check);
-4. the longest hit per URL wins (``max_by``), on data still partitioned by URL;
-5. the URLs that matched join back to the facts, broadcast when their number
-   is proven small, otherwise a shuffle join that AQE splits when one URL
-   dominates; unmatched URLs get the default category.
+3. every URL is cut at each distinct prefix length of the dimension (a scalar
+   subquery; no job while the plan is built, no bound on the lengths) and the
+   cuts are equi-joined to the dimension;
+4. the longest hit per URL wins (``max_by``);
+5. the URLs that matched join back to the facts by ``lookup_join``, which deals
+   a hot URL's rows over several tasks; unmatched URLs get the default.
 
 The result equals ``startsWith`` over all prefixes keeping the longest match.
-
-``categorize`` (facts + category) avoids reading the facts twice when the
-dimension is small: one broadcast hash join per distinct prefix length,
-longest first, in a single codegen'd pass with no shuffle.
 """
 
 from __future__ import annotations
@@ -26,17 +21,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.dates import millis_to_day
-from tidelog.operators.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
+from tidelog.operators.joins import MAX_BROADCAST_BYTES, lookup_join, sized_broadcast
 
 # Fixed value: the category of a URL no prefix matches ("other").
 DEFAULT_CATEGORY = "其他"
 
-# Longest prefix the cut list accepts; the list of lengths stays this short.
-MAX_PREFIX_LENGTH = 4096
-
-# Up to this many distinct prefix lengths, a small dimension is applied as a
-# chain of broadcast joins (one per length) in a single pass over the facts.
-MAX_CHAINED_LENGTHS = 64
+# The columns of a detail row, in order.
+DWD_COLUMNS = (
+    "cookieid", "account", "imei", "osName", "osVer", "resolution", "androidId", "manufacture", "deviceId",
+    "appid", "appVer", "release_ch", "promotion_ch", "areacode", "longtitude", "latitude", "carrier", "netType",
+    "sessionId", "eventType", "commit_time", "province", "city", "district", "biz", "ct", "dateStr",
+)
 
 
 def url_dimension(dim: DataFrame, prefix: str = "prefix", category: str = "category") -> DataFrame:
@@ -48,93 +43,36 @@ def url_dimension(dim: DataFrame, prefix: str = "prefix", category: str = "categ
     )
 
 
-def _prefix_lengths(dim: DataFrame) -> list[int]:
-    rows = dim.select(F.length("prefix").alias("n")).distinct().limit(MAX_PREFIX_LENGTH + 1).collect()
-    lengths = sorted(r["n"] for r in rows)
-    if len(lengths) > MAX_PREFIX_LENGTH:
-        raise ValueError("prefix dimension has more distinct lengths than MAX_PREFIX_LENGTH")
-    return lengths
-
-
 def _distinct_urls(urls: DataFrame, url_col: str) -> DataFrame:
     return urls.select(F.col(url_col).alias("_url")).where(F.col("_url").isNotNull()).distinct()
 
 
-def _best_hits(distinct_urls: DataFrame, dim: DataFrame, max_broadcast_rows: int) -> DataFrame | None:
+def _best_hits(distinct_urls: DataFrame, dim: DataFrame, max_bytes: int) -> DataFrame:
     """(_url, _ct) for the URLs that match some prefix (longest prefix wins)."""
     d = url_dimension(dim)
-    lengths = _prefix_lengths(d)
-    if not lengths:
-        return None
-    cut_lengths = F.array(*[F.lit(n) for n in lengths])
-    cuts = distinct_urls.select(
-        "_url", F.explode(F.filter(cut_lengths, lambda n: n <= F.length("_url"))).alias("_len")
-    ).select("_url", "_len", F.substr("_url", F.lit(1), F.col("_len")).alias("prefix"))
-    hits = cuts.join(sized_broadcast(d, max_broadcast_rows), "prefix")
+    lengths = d.agg(F.collect_set(F.length("prefix")).alias("n")).scalar()
+    every = distinct_urls.withColumn("_lengths", lengths).select("_url", F.explode("_lengths").alias("_len"))
+    cuts = every.where(F.col("_len") <= F.length("_url")).withColumn("prefix", F.substr("_url", F.lit(1), F.col("_len")))
+    hits = cuts.join(sized_broadcast(d, max_bytes), "prefix")
     return hits.groupBy("_url").agg(F.max_by("category", "_len").alias("_ct"))
 
 
 def url_categories(
-    urls: DataFrame,
-    dim: DataFrame,
-    url_col: str = "url",
-    default: str = DEFAULT_CATEGORY,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    urls: DataFrame, dim: DataFrame, url_col: str = "url", default: str = DEFAULT_CATEGORY, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
     """Distinct URLs of ``urls`` -> (url, ct) with the longest matching prefix."""
     distinct_urls = _distinct_urls(urls, url_col)
-    best = _best_hits(distinct_urls, dim, max_broadcast_rows)
-    if best is None:
-        return distinct_urls.select(F.col("_url").alias(url_col), F.lit(default).alias("ct"))
-    # Both sides come out of the URL shuffle, so this join needs no new exchange.
-    return distinct_urls.join(best, "_url", "left").select(
-        F.col("_url").alias(url_col), F.coalesce("_ct", F.lit(default)).alias("ct")
-    )
+    best = _best_hits(distinct_urls, dim, max_bytes)
+    return distinct_urls.join(best, "_url", "left").select(F.col("_url").alias(url_col), F.coalesce("_ct", F.lit(default)).alias("ct"))
 
 
 def categorize(
-    facts: DataFrame,
-    dim: DataFrame,
-    url: str = "url",
-    default: str = DEFAULT_CATEGORY,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    max_lengths_chained: int = MAX_CHAINED_LENGTHS,
+    facts: DataFrame, dim: DataFrame, url: str = "url", default: str = DEFAULT_CATEGORY, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
-    """Facts + ``ct`` column (longest matching prefix's category, else default).
-
-    When the dimension is proven small and has at most ``max_lengths_chained``
-    distinct prefix lengths, each length becomes one left broadcast hash join
-    on ``substr(url, 1, L)``, longest first, and ``coalesce`` keeps the first
-    hit: one pass over the facts, no shuffle, no aggregation, and every fact
-    row joins at most one prefix per length (A9 made prefixes unique).
-    Otherwise the distinct URLs are categorised (see module notes) and joined
-    back; unmatched URLs get the default.
-    """
-    d = url_dimension(dim)
-    lengths = _prefix_lengths(d)
-    if not lengths:
-        return facts.withColumn("ct", F.lit(default))
-    small = sized_broadcast(d, max_broadcast_rows)
-    if len(lengths) <= max_lengths_chained and small is not d:
-        out, hits = facts, []
-        for i, n in enumerate(sorted(lengths, reverse=True)):
-            sub = small.where(F.length("prefix") == n).select(
-                F.col("prefix").alias(f"_p{i}"), F.col("category").alias(f"_c{i}")
-            )
-            out = out.join(F.broadcast(sub), F.substr(out[url], F.lit(1), F.lit(n)) == sub[f"_p{i}"], "left")
-            hits.append(F.col(f"_c{i}"))
-        return out.select(*[F.col(c) for c in facts.columns], F.coalesce(*hits, F.lit(default)).alias("ct"))
-    best = _best_hits(_distinct_urls(facts, url), dim, max_broadcast_rows)
-    best = sized_broadcast(best, max_broadcast_rows)
-    joined = facts.join(best, facts[url] == best["_url"], "left")
-    return joined.select(*[facts[c] for c in facts.columns], F.coalesce(best["_ct"], F.lit(default)).alias("ct"))
-
-
-DWD_COLUMNS = (
-    "cookieid account imei osName osVer resolution androidId manufacture deviceId appid appVer "
-    "release_ch promotion_ch areacode longtitude latitude carrier netType sessionId eventType "
-    "commit_time province city district biz ct dateStr"
-).split()
+    """Facts + ``ct`` column (longest matching prefix's category, else default)."""
+    best = _best_hits(_distinct_urls(facts, url), dim, max_bytes).withColumnRenamed("_url", url)
+    joined = lookup_join(facts, best, url, max_bytes)
+    return joined.select(*[F.col(c) for c in facts.columns], F.coalesce("_ct", F.lit(default)).alias("ct"))
 
 
 def traffic_detail(
@@ -142,7 +80,7 @@ def traffic_detail(
     url_dim: DataFrame,
     default: str = DEFAULT_CATEGORY,
     time_zone: str | None = "UTC",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Pre-processed records -> page-view detail rows (27 columns).
 
@@ -150,8 +88,7 @@ def traffic_detail(
     day (F3), drops the event map (P15) and names the type ``eventType``.
     """
     views = records.withColumnRenamed("logType", "eventType") if "logType" in records.columns else records
-    views = views.where(
-        (F.col("eventType") == "pg_view") & F.try_element_at("event", F.lit("url")).isNotNull()
-    ).withColumn("_url", F.try_element_at("event", F.lit("url")))
-    tagged = categorize(views, url_dim, "_url", default, max_broadcast_rows)
+    views = views.withColumn("_url", F.try_element_at("event", F.lit("url"))).drop("event")
+    views = views.where((F.col("eventType") == "pg_view") & F.col("_url").isNotNull())
+    tagged = categorize(views, url_dim, "_url", default, max_bytes)
     return tagged.withColumn("dateStr", millis_to_day("commit_time", time_zone)).select(*DWD_COLUMNS)

@@ -19,12 +19,14 @@ from tidelog.operators import activity, geo, identity, keywords, logs, urls, ver
 from tidelog.plans import derive
 from tidelog.plans.pipelines import preprocess_logs
 from tidelog.plans.tables import table
-from tidelog.session import checkpoint_dir
+from tidelog.session import scratch_path
 from tidelog.sources import readers, sinks
 
 # Parameters shared with the oracles (fixed by the bindings, not by the data).
 AS_OF = "2024-01-31"
 WHITESPACE = r"[ \t\n\r]+"
+# The dictionary of the segmenter's query, shared with its oracle.
+SYLLABLES = ("tion", "ing", "the", "that", "ble", "and", "heit", "keit", "lich", "ment", "elle", "ción", "mente")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,23 +73,21 @@ def activity_intervals_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- version upgrades (C6) ---------------------------------------------------
 
 
-def version_upgrades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    installs = table(spark, sf_dir, "orders").select(
+def _installs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("app_name"),
         F.to_date("o_orderdate").alias("app_date"),
         F.col("o_orderpriority").alias("app_ver"),
     )
-    return versions.version_upgrades(installs)
+
+
+def version_upgrades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return versions.version_upgrades(_installs(spark, sf_dir))
 
 
 def version_upgrades_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The original job's path: installs as a header CSV of text columns."""
-    installs = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("app_name"),
-        F.to_date("o_orderdate").alias("app_date"),
-        F.col("o_orderpriority").alias("app_ver"),
-    )
-    return versions.version_upgrades(readers.read_csv(spark, _to_csv(spark, installs, "installs-csv")))
+    return versions.version_upgrades(readers.read_csv(spark, _to_csv(spark, _installs(spark, sf_dir), "installs-csv")))
 
 
 # --- word count (C8) ---------------------------------------------------------
@@ -124,8 +124,7 @@ def log_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rejects = logs.rejected_logs(derive.log_lines(spark, sf_dir))
-    return rejects.select(F.substr("value", F.lit(1), F.lit(23)).alias("line_ts"))
+    return logs.rejected_logs(derive.log_lines(spark, sf_dir)).select(F.col("value").alias("line"))
 
 
 def identity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,6 +140,28 @@ def _biz_dic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.build_biz_dic(readers.parse_biz_dump(derive.biz_dump_lines(spark, sf_dir)))
 
 
+def area_dic_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dictionary of a location table (C2b), written (S12) and read back."""
+    lng, lat = derive.point(F.col("s_suppkey"), F.col("s_suppkey") + 2)
+    located = table(spark, sf_dir, "supplier").select(
+        F.lit("P").alias("province"), F.col("s_nationkey").cast("string").alias("city"), F.col("s_name").alias("distract"), lng.alias("lng"), lat.alias("lat")
+    )
+    path = _scratch(spark, "area-dic")
+    sinks.write_dictionary(geo.area_dic_from_locations(located), path)
+    return readers.read_parquet(spark, path)
+
+
+def url_category_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The URL dimension as prefix,category text in two folders, one of them
+    compressed (S11, S2, U2), applied to the pages' URLs."""
+    plain, packed = _scratch(spark, "dim-plain"), _scratch(spark, "dim-gz")
+    dim = derive.url_dimension(spark, sf_dir).select(F.concat_ws(",", "prefix", "category").alias("value"))
+    dim.where(F.col("value").like("%,site%")).write.text(plain)
+    dim.where(~F.col("value").like("%,site%")).write.option("compression", "gzip").text(packed)
+    pages = table(spark, sf_dir, "pages").select("url")
+    return urls.url_categories(pages, readers.read_url_dimension(spark, [plain, packed]), "url")
+
+
 def _preprocessed(spark: SparkSession, sf_dir: str):
     return preprocess_logs(derive.log_lines(spark, sf_dir), _area_dic(spark, sf_dir), _biz_dic(spark, sf_dir))
 
@@ -154,13 +175,34 @@ def unmatched_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def title_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recs = _preprocessed(spark, sf_dir).records
+    """Title keywords of the identified records; the location steps take no part."""
+    recs = keywords.add_title_keywords(logs.identity_filter(logs.parse_logs(derive.log_lines(spark, sf_dir))))
     return recs.select("commit_time", "cookieid", F.try_element_at("event", F.lit("keyword")).alias("keyword"))
 
 
+def title_keywords_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts segmented by a dictionary of fixed syllables (T1); the stop words
+    are read from a file."""
+    path = _scratch(spark, "stop-words")
+    stops = spark.createDataFrame([(w,) for w in keywords.STOP_WORDS], "word string")
+    sinks.write_lines(stops, path)
+    segmenter = keywords.dictionary_segmenter(SYLLABLES)
+    documents = table(spark, sf_dir, "documents").withColumn("_stop_words", keywords.stop_word_array(readers.read_stopwords(spark, path)))
+    return documents.select("doc_id", keywords.keywords(F.col("text"), F.col("_stop_words"), segmenter=segmenter).alias("keyword"))
+
+
 def traffic_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recs = _preprocessed(spark, sf_dir).records
-    return urls.traffic_detail(recs, derive.url_dimension(spark, sf_dir))
+    """Keywords are left out: the detail rows do not carry the event map."""
+    records = logs.identity_filter(logs.parse_logs(derive.log_lines(spark, sf_dir)))
+    enriched = geo.enrich_location(records, _area_dic(spark, sf_dir), _biz_dic(spark, sf_dir))
+    return urls.traffic_detail(enriched, derive.url_dimension(spark, sf_dir))
+
+
+def traffic_detail_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail rows written by day (S13) and read back from those folders."""
+    path = _scratch(spark, "detail")
+    sinks.write_parquet(traffic_detail(spark, sf_dir), path, partition_by=["dateStr"])
+    return readers.read_parquet(spark, path).withColumn("dateStr", F.col("dateStr").cast("string")).select(*urls.DWD_COLUMNS)
 
 
 def url_category(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +268,7 @@ def component_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stopword_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     words = wordcount.split_words(docs, "text", r"[^\p{L}\p{N}]+")
-    stops = spark.createDataFrame([(w,) for w in keywords.STOP_WORDS], "word string")
+    stops = spark.range(1).select(F.explode(F.array(*[F.lit(w) for w in keywords.STOP_WORDS])).alias("word"))
     kept = keywords.remove_stopwords(words, stops)
     return kept.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
@@ -234,15 +276,17 @@ def stopword_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- text file -> typed parquet and back (C9) --------------------------------
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    return f"{checkpoint_dir(spark).rstrip('/')}/tidelog-{name}-{uuid.uuid4().hex}"
+_scratch = scratch_path
 
 
 def roundtrip_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer -> comma text (S14) -> typed columns (S10) -> parquet (S13) -> read (S4)."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    key = F.col("c_custkey")
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(key % 5 == 0, F.concat("c_name", F.lit(', "x"'))).when(key % 5 == 1, F.lit("")).otherwise(F.col("c_name")).alias("c_name"),
+        F.when(key % 7 != 0, F.col("c_mktsegment")).alias("c_mktsegment"),
+    )
     text_dir, parquet_dir = _scratch(spark, "text"), _scratch(spark, "parquet")
     sinks.write_lines(c, text_dir)
     typed = readers.read_delimited(spark, text_dir, "id int, name string, segment string")
@@ -287,6 +331,10 @@ QUERIES: dict[str, Query] = {
     "title_keywords": title_keywords,
     "url_category": url_category,
     "traffic_detail": traffic_detail,
+    "traffic_detail_by_day": traffic_detail_by_day,
+    "title_keywords_dictionary": title_keywords_dictionary,
+    "area_dic_file": area_dic_file,
+    "url_category_files": url_category_files,
     "geocode_parse": geocode_parse,
     "identity_components": identity_components,
     "component_sizes": component_sizes,

@@ -13,16 +13,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.dates import ntz_to_millis
-from tidelog.operators.joins import sized_broadcast
 from tidelog.plans.tables import table
-from tidelog.session import checkpoint_dir
+from tidelog.session import scratch_path
+from tidelog.sources.readers import read_lines
 
 
-def _as_file(df: DataFrame) -> DataFrame:
-    """Materialise derived text lines in the shared checkpoint folder, as a
-    dump file would be, so parsing starts from stored lines."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def _as_file(lines: DataFrame, name: str) -> DataFrame:
+    """Write derived text lines to the shared folder, as the dump file that they
+    stand for, and read them from there: parsing starts from stored lines, whose
+    size the planner knows."""
+    spark = lines.sparkSession
+    path = scratch_path(spark, name)
+    lines.write.text(path)
+    return read_lines(spark, path)
 
 
 def point(u: Column, e: Column) -> tuple[Column, Column]:
@@ -41,15 +44,16 @@ def pages_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events (+ page url/title by ``props.k``) -> ``<ts> --> <json>`` lines.
 
-    Error events with value < 10 carry no usable identifier; error and signup
-    events with value >= 150 are damaged (truncated JSON / no separator). The
-    longitude is written as a quoted number, the latitude as a bare one.
+    Error events with value < 10 carry no usable identifier, in each blank form;
+    error and signup events with value >= 150 are damaged (cut off / no
+    separator). The longitude is written as a quoted number, the latitude as a
+    bare one. Every eleventh line repeats an event key; the last one counts.
     """
     ev = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k")
     ev = ev.withColumn("_k", k).withColumn("_kid", k.try_cast("long"))
     pg = pages_lookup(spark, sf_dir)
-    ev = ev.join(sized_broadcast(pg), ev["_kid"] == pg["page_id"], "left")
+    ev = ev.join(pg, ev["_kid"] == pg["page_id"], "left")
     uid, eid = F.col("user_id"), F.col("event_id")
     anon = (F.col("event_type") == "error") & (F.col("value") < 10)
     lng, lat = point(uid, eid)
@@ -57,7 +61,11 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = F.when(F.col("value") >= 100, F.concat(F.lit("https://cdn.example.org/"), F.col("_k"))).otherwise(F.col("url"))
     doc = F.struct(
         F.struct(
-            F.concat(F.lit("ck"), uid_s).alias("cookieid"),
+            F.when(~F.coalesce(anon, F.lit(False)), F.concat(F.lit("ck"), uid_s))
+            .when(eid % 4 == 1, F.lit(""))
+            .when(eid % 4 == 2, F.lit(" "))
+            .when(eid % 4 == 3, F.lit("null"))
+            .alias("cookieid"),
             F.when(anon, F.lit("null")).otherwise(F.concat(F.lit("acct"), uid_s)).alias("account"),
             F.when(anon, F.lit(" ")).otherwise(F.concat(uid_s, F.lit("-"), F.to_date("ts").cast("string"))).alias("sessionId"),
             F.struct(
@@ -90,12 +98,14 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("event"),
     )
     js = F.to_json(doc)
+    repeated = (eid % 11 == 0) & F.col("_k").isNotNull()
+    js = F.when(repeated, F.replace(js, F.lit('"event":{'), F.lit('"event":{"k":"first",'))).otherwise(js)
     stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS")
     broken = (F.col("event_type") == "error") & (F.col("value") >= 150)
     nosep = (F.col("event_type") == "signup") & (F.col("value") >= 150)
     line = (
-        F.when(broken, F.concat(stamp, F.lit(" --> "), F.substr(js, F.lit(1), (F.length(js) / 2).cast("int"))))
-        .when(nosep, F.concat(stamp, F.lit(" "), js))
+        F.when(broken, F.concat(stamp, F.lit(' --> {"u":{"cookieid":"ck'), uid_s))
+        .when(nosep, F.concat(stamp, F.lit(' {"u":{"cookieid":"ck'), uid_s, F.lit('"}}')))
         .otherwise(F.concat(stamp, F.lit(" --> "), js))
     )
     return ev.select(line.alias("value"))
@@ -129,7 +139,7 @@ def biz_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.lit(");"),
     )
-    return _as_file(g.select(line.alias("value")))
+    return _as_file(g.select(line.alias("value")), "districts")
 
 
 def area_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +147,7 @@ def area_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     (level 2), suppliers (level 3, at the point next to their business area)."""
     def ins(code, name, parent, level, lng, lat):
         return F.concat(
-            F.lit("INSERT INTO `t_md_areas` VALUES ("),
+            F.lit("INSERT INTO `areas` VALUES ("),
             F.concat_ws(
                 ", ",
                 code.cast("string"),
@@ -174,7 +184,7 @@ def area_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             lat.cast("string"),
         ).alias("value")
     )
-    return _as_file(regions.unionByName(nations).unionByName(suppliers))
+    return _as_file(regions.unionByName(nations).unionByName(suppliers), "areas")
 
 
 def url_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:

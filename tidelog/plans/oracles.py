@@ -7,6 +7,8 @@ input derivation of ``tidelog.plans.bindings`` step for step.
 from __future__ import annotations
 
 from tidelog.functions.geo import geohash_sql
+from tidelog.operators.keywords import STOP_WORDS
+from tidelog.plans.bindings import SYLLABLES
 
 _ZIPPER = """
 d AS (
@@ -93,9 +95,8 @@ def _gh(u: str, e: str, p: int) -> str:
     return geohash_sql(_lat(u, e), _lng(u, e), p)
 
 
-_STOP_SQL = "[" + ", ".join("'" + w + "'" for w in (
-    "了", "是", "is", "are", "的", "地", "得", "使", "要", "啦", "，", ",", "。", ".", "！", "!", "、", "？", "就要"
-)) + "]"
+_STOP_SQL = "[" + ", ".join(f"'{w}'" for w in STOP_WORDS) + "]"
+_SYLLABLES_SQL = "|".join(sorted(SYLLABLES, key=lambda w: (-len(w), w)))
 
 _RECS = f"""
 pg AS (
@@ -107,7 +108,8 @@ ev AS (
          coalesce((e.event_type = 'error' AND e.value >= 150) OR (e.event_type = 'signup' AND e.value >= 150), false) AS bad
   FROM events e LEFT JOIN pg ON pg.page_id = TRY_CAST(json_extract_string(e.props, '$.k') AS BIGINT)),
 recs AS (
-  SELECT 'ck' || CAST(user_id AS VARCHAR) AS cookieid,
+  SELECT CASE WHEN NOT anon THEN 'ck' || CAST(user_id AS VARCHAR)
+              WHEN event_id % 4 = 1 THEN '' WHEN event_id % 4 = 2 THEN ' ' WHEN event_id % 4 = 3 THEN 'null' END AS cookieid,
          CASE WHEN anon THEN 'null' ELSE 'acct' || CAST(user_id AS VARCHAR) END AS account,
          CASE WHEN anon THEN NULL ELSE 'im' || CAST(user_id AS VARCHAR) END AS imei,
          CASE WHEN user_id % 2 = 0 THEN 'android' ELSE 'ios' END AS osName,
@@ -208,7 +210,10 @@ ORACLES.update({
     "log_flatten": f"""WITH {_RECS}
 SELECT {_REC_COLS}, logType, commit_time, event_k, event_url, event_title FROM recs""",
     "log_rejects": f"""WITH {_RECS}
-SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS line_ts FROM ev WHERE bad""",
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%g') || CASE WHEN event_type = 'error' THEN ' -->' ELSE '' END
+       || ' {{"u":{{"cookieid":"ck' || CAST(user_id AS VARCHAR)
+       || CASE WHEN event_type = 'error' THEN '' ELSE '"}}}}' END AS line
+FROM ev WHERE bad""",
     "identity_filter": f"""WITH {_RECS}
 SELECT commit_time, account, cookieid, sessionId, imei, deviceId, androidId FROM ids""",
     "geohash_points": f"""SELECT c_custkey, {_gh('c_custkey', 'c_custkey * 3', 5)} AS geohash5,
@@ -239,7 +244,7 @@ SELECT CAST(longtitude AS VARCHAR) || ',' || CAST(latitude AS VARCHAR) AS value
 SELECT commit_time, cookieid,
        array_to_string(list_filter(string_split_regex(coalesce(event_title, ''), '[^\\p{{L}}\\p{{N}}]+'),
                                    lambda x: length(x) >= 2 AND NOT list_contains({_STOP_SQL}, x)), ' ') AS keyword
-FROM en2""",
+FROM ids""",
     "url_category": f"""WITH {_URL_DIM}, u AS (SELECT DISTINCT url FROM pages WHERE url IS NOT NULL)
 SELECT url, coalesce((SELECT d.category FROM dim d WHERE starts_with(u.url, d.prefix)
                       ORDER BY length(d.prefix) DESC LIMIT 1), '其他') AS ct FROM u""",
@@ -265,5 +270,18 @@ SELECT word, count(*) AS n FROM w WHERE length(word) > 0 AND NOT list_contains({
 SELECT CAST(longtitude AS VARCHAR) || ',' || CAST(latitude AS VARCHAR) AS value,
        {geohash_sql('latitude', 'longtitude', 6)} AS geohash
 FROM en2 WHERE province = ''""",
-    "roundtrip_parquet": "SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS name, c_mktsegment AS segment FROM customer",
+    "roundtrip_parquet": """
+SELECT CAST(c_custkey AS INTEGER) AS id,
+       CASE c_custkey % 5 WHEN 0 THEN c_name || ', "x"' WHEN 1 THEN '' ELSE c_name END AS name,
+       CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS segment
+FROM customer""",
+    "title_keywords_dictionary": f"""
+SELECT doc_id, array_to_string(list_filter(regexp_extract_all(text, '{_SYLLABLES_SQL}|[\\p{{L}}\\p{{N}}]'),
+                                           lambda x: length(x) >= 2 AND NOT list_contains({_STOP_SQL}, x)), ' ') AS keyword
+FROM documents""",
+    "area_dic_file": f"""
+SELECT {_gh('s_suppkey', 's_suppkey + 2', 5)} AS geohash, 'P' AS province, CAST(s_nationkey AS VARCHAR) AS city, s_name AS district
+FROM supplier""",
 })
+ORACLES["traffic_detail_by_day"] = ORACLES["traffic_detail"]
+ORACLES["url_category_files"] = ORACLES["url_category"]

@@ -1,7 +1,8 @@
 """Composite pipelines (the user-level API of SURVEY §2.13).
 
-Each returns DataFrames; nothing here triggers an action except the
-size checks that decide whether a dimension may be broadcast.
+Each returns DataFrames. Only what writes or iterates runs jobs while the plan
+is built: ``resolve_identities``, ``text_to_parquet`` and ``preprocess_logs``
+with a folder to store in.
 """
 
 from __future__ import annotations
@@ -11,9 +12,11 @@ from collections.abc import Iterable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.operators import activity, geo, identity, keywords, logs, urls, versions, wordcount
+from tidelog.session import stored
 from tidelog.sources import readers, sinks
 
 
@@ -27,20 +30,28 @@ def preprocess_logs(
     lines: DataFrame,
     area_dic: DataFrame,
     biz_dic: DataFrame,
-    stop_words: Iterable[str] | None = keywords.STOP_WORDS,
+    stop_words: Iterable[str] | DataFrame | None = keywords.STOP_WORDS,
     col: str = "value",
+    segmenter: keywords.Segmenter | None = None,
+    store: str | None = None,
 ) -> Preprocessed:
     """Raw log lines -> enriched records with title keywords, the unmatched
     coordinates, and the rejected lines.
 
-    ``records`` feeds two outputs; callers that materialise both should
-    ``persist()`` it once so the text is parsed a single time.
+    ``stop_words`` may be a list or a DataFrame (``readers.read_stopwords``);
+    ``segmenter`` splits titles into words. With ``store``, a folder, the lines
+    are parsed once: parsed rows are written there and all three outputs read
+    them. Without it each output is a plan of its own over the lines.
     """
-    parsed = logs.identity_filter(logs.parse_logs(lines, col))
-    enriched = geo.enrich_location(parsed, area_dic, biz_dic)
-    unmatched = geo.unmatched_coordinates(enriched)
-    with_keywords = keywords.add_title_keywords(enriched, stop_words or ())
-    return Preprocessed(with_keywords, unmatched, logs.rejected_logs(lines, col))
+    if store is None:
+        parsed, rejects = logs.parse_logs(lines, col), logs.rejected_logs(lines, col)
+    else:
+        tagged = stored(logs.tagged_logs(lines, col), store)
+        parsed = tagged.where("record is not null").select("record.*")
+        rejects = tagged.where("record is null").select(F.col("line").alias(col))
+    enriched = geo.enrich_location(logs.identity_filter(parsed), area_dic, biz_dic)
+    with_keywords = keywords.add_title_keywords(enriched, stop_words, segmenter=segmenter)
+    return Preprocessed(with_keywords, geo.unmatched_coordinates(enriched), rejects)
 
 
 def build_area_dic(dump_lines: DataFrame, on_bad: str = "drop") -> DataFrame:

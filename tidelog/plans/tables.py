@@ -5,25 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
-    "region nation customer supplier part orders lineitem events documents "
-    "embeddings pages benchmark labels conversations"
-).split()
-
-
-# Tables whose rows carry the heavy per-row work of the bindings.
-FACT_TABLES = frozenset({"events", "lineitem", "documents", "orders", "pages", "conversations"})
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's default parallelism when the
-    scan yields fewer splits than that (a small or unsplittable file). On a
-    large input with many splits this is a no-op."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+    "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in FACT_TABLES else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -1,16 +1,17 @@
 """Session helpers.
 
 Operators never create sessions; they take DataFrames. These helpers exist for
-tests, the bench and the command line, and for the one place that needs a
-reliable checkpoint folder (iterative connected components).
+tests, the bench and the command line, and for the places that keep
+intermediate rows in the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every local run uses; on a cluster the submitter's config wins
 # because ``getOrCreate`` keeps an existing session's static settings.
@@ -50,7 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Folder for reliable checkpoints.
 
     Uses the cluster's shared ``spark.checkpoint.dir`` when the session names
-    one. Only when it is unset (local tests) is a fresh scratch folder created.
+    one. A fresh scratch folder is made only on a local master; elsewhere a
+    folder of one machine would lose rows, so an unset setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +62,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir"
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tidelog-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tidelog-{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and read it back. Lineage is cut, the rows are
+    computed once and survive a lost executor, and nothing stays in storage
+    memory."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, on whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

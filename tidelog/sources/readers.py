@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.sources.sinks import NULL_TEXT
+
 
 def read_csv(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None, header: bool = True
@@ -82,7 +84,7 @@ def parse_area_dump(lines: DataFrame, col: str = "value") -> DataFrame:
     Pieces are split on comma+space: the code is the last six characters of
     piece 0, the name is unquoted, the last two pieces are lng and lat (lat
     loses its two trailing characters ``);``). Lines with fewer than six
-    pieces are skipped."""
+    pieces are left to ``short_lines``."""
     p = F.col("_p")
     n = F.size(p)
     return (
@@ -117,6 +119,13 @@ def parse_biz_dump(lines: DataFrame, col: str = "value") -> DataFrame:
     )
 
 
+def short_lines(lines: DataFrame, least: int, col: str = "value", sep: str = ", ") -> DataFrame:
+    """The lines that a dump parser leaves out: null, or of fewer than ``least``
+    pieces (6 for areas, 7 for districts)."""
+    pieces = F.size(F.split(F.col(col), "\\Q" + sep + "\\E"))
+    return lines.where(F.col(col).isNull() | (pieces < least)).select(col)
+
+
 def parse_delimited(
     lines: DataFrame, schema: T.StructType | str, sep: str = ",", col: str = "value"
 ) -> DataFrame:
@@ -133,7 +142,14 @@ def parse_delimited(
 def read_delimited(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, sep: str = ","
 ) -> DataFrame:
-    return parse_delimited(read_lines(spark, path), schema, sep)
+    """Headerless delimited files, quoted where a value needs it, to typed
+    columns; a field that does not convert becomes null."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    paths = [path] if isinstance(path, str) else list(path)
+    rows = spark.read.schema(texts).option("sep", sep).option("escape", '"').option("multiLine", True).option("nullValue", NULL_TEXT).csv(paths)
+    return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_url_dimension(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -7,11 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.operators.joins import proven_small
+
+# Fixed value: how a null is written in delimited text.
+NULL_TEXT = "\\N"
+
 
 def write_dictionary(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Small dictionary -> one parquet file. Only for bounded tables: a single
-    task writes everything."""
-    df.coalesce(1).write.mode(mode).parquet(path)
+    """Dictionary -> parquet: one file if the planner's estimate proves that a
+    single task can write it, else as many as there are partitions."""
+    (df.coalesce(1) if proven_small(df) else df).write.mode(mode).parquet(path)
 
 
 def write_parquet(
@@ -26,9 +31,12 @@ def write_parquet(
 
 
 def write_lines(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> None:
-    """Text sink: one line per row (columns joined with ``sep``)."""
-    if len(df.columns) == 1:
-        out = df.select(F.col(df.columns[0]).cast("string").alias("value"))
+    """Text sink: one line per row. A single column is written as it is; several
+    go through the CSV writer, which quotes separators and line breaks; a null is
+    written as ``NULL_TEXT``, apart from empty text (``readers.read_delimited``
+    reads them back)."""
+    texts = [F.col(c).cast("string").alias(c) for c in df.columns]
+    if len(texts) == 1:
+        df.select(texts[0].alias("value")).write.mode(mode).text(path)
     else:
-        out = df.select(F.concat_ws(sep, *[F.col(c).cast("string") for c in df.columns]).alias("value"))
-    out.write.mode(mode).text(path)
+        df.select(*texts).write.mode(mode).option("sep", sep).option("escape", '"').option("nullValue", NULL_TEXT).csv(path)
