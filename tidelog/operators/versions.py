@@ -26,7 +26,7 @@ def version_upgrades(
 ) -> DataFrame:
     """-> (app_name, app_date, app_ver, next_ver), last version of each app dropped.
 
-    ``version_order="lexical"`` compares versions as strings (the reference's
+    ``version_order="lexical"`` compares versions as strings (the original job's
     behaviour); ``"numeric"`` compares dot-separated parts as integers. Ties on
     the version are broken by date so the pairing is deterministic.
     """

@@ -24,7 +24,7 @@ def word_count(
     top: int | None = None,
     order: str = "word",
 ) -> DataFrame:
-    """-> (word, n). ``order="word"`` sorts by word (the reference's SQL and
+    """-> (word, n). ``order="word"`` sorts by word (the original job's SQL and
     ``sortByKey``); ``order="count"`` sorts by count desc, then word. ``top``
     keeps the first rows of that order (planned as TakeOrderedAndProject)."""
     counts = split_words(lines, col, sep).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
