@@ -150,10 +150,12 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
     are (item_at, text_at, length) in tokens."""
     items = materialize(_items(benchmark, seed, coverage))
     seeds = items.select("item_id", "needed", F.explode("seeds").alias("seed"))
-    # At most 2^25 distinct bits, whatever the benchmark's size.
-    bits = np.array([r[0] for r in seeds.select(F.col("seed").bitwiseAND((1 << BITMAP_BITS) - 1).cast("int").alias("bit")).distinct().collect()], dtype=np.int64)
+    # One binary of 4 KB for each 2^15 bits: 4 MB in all, whatever the benchmark's size.
+    bit = F.col("seed").bitwiseAND((1 << BITMAP_BITS) - 1) + 1
+    words = seeds.groupBy(F.bitmap_bucket_number(bit).alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
     bitmap = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-    np.bitwise_or.at(bitmap, bits >> 3, (1 << (bits & 7)).astype(np.uint8))
+    for r in words.collect():
+        bitmap[(r["at"] - 1) * len(r["bits"]) : r["at"] * len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
     met = materialize(_met(documents, bitmap, seed))
     shared = met.select("doc_id", "row", F.explode("seeds").alias("seed")).join(seeds, "seed")
     pairs = materialize(shared.groupBy("doc_id", "row", "item_id").agg(F.count(F.lit(1)).alias("n"), F.max("needed").alias("needed")).where("n >= needed").select("doc_id", "row", "item_id"))
