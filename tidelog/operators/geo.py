@@ -56,7 +56,7 @@ def build_area_dic(areas: DataFrame, on_bad: str = "drop") -> DataFrame:
     """Area rows -> (geohash5, province, city, district).
 
     ``on_bad="drop"`` drops rows whose coordinates do not convert;
-    ``"zero"`` reproduces the reference: a bad longitude zeroes both, a bad
+    ``"zero"`` is the original job's way: a bad longitude zeroes both, a bad
     latitude zeroes only the latitude.
     """
     h = area_hierarchy(areas)

@@ -78,7 +78,7 @@ def _flat_columns(j: Column) -> list[Column]:
 
 
 def _complete(j: Column) -> Column:
-    """What the reference needs to build a record: the sub-objects exist and
+    """What a record needs: the sub-objects exist and
     the three numbers convert."""
     u = j["u"]
     return (

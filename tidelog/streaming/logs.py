@@ -1,6 +1,6 @@
 """The access-log pipeline over a directory that keeps receiving files.
 
-The reference processes one day's directory per batch run. Here the same
+The original job processes one day's directory per batch run. Here the same
 operators run incrementally: the stateless steps (parse, reject, identity
 filter, stream-static geo lookup, keywords)
 apply to the streaming DataFrame directly; the traffic-detail step, whose
