@@ -251,7 +251,7 @@ def geocode_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _components(spark: SparkSession, sf_dir: str):
-    return identity.resolve_identities(derive.identity_rows(spark, sf_dir), ["order_id", "offer_id"])
+    return identity.resolve_identities(derive.identity_rows(spark, sf_dir), ["order_id", "offer_id", "part_id"])
 
 
 def identity_components(spark: SparkSession, sf_dir: str) -> DataFrame:

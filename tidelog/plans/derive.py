@@ -120,7 +120,8 @@ def _supplier_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def biz_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One quoted 7-tuple per supplier: district = its nation, business area =
-    its name; suppliers with a negative balance have no province."""
+    its name; suppliers with a negative balance have no province, and the
+    longitude of every fifth is no number."""
     g = _supplier_geo(spark, sf_dir)
     lng, lat = point(F.col("s_suppkey"), F.col("s_suppkey"))
     province = F.when(F.col("s_acctbal") < 0, F.lit("")).otherwise(F.col("r_name"))
@@ -134,7 +135,7 @@ def biz_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             q(F.col("n_name")),
             q(F.concat(F.col("n_name"), F.lit("-d"), (F.col("s_suppkey") % 3).cast("string"))),
             q(F.col("s_name")),
-            q(lng.cast("string")),
+            q(F.when(F.col("s_suppkey") % 5 == 2, F.lit("n/a")).otherwise(lng.cast("string"))),
             q(lat.cast("string")),
         ),
         F.lit(");"),
@@ -144,7 +145,8 @@ def biz_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def area_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-level area table as SQL insert lines: regions (level 1), nations
-    (level 2), suppliers (level 3, at the point next to their business area)."""
+    (level 2), suppliers (level 3, at the point next to their business area; the
+    longitude of every fourth is no number), and remarks that are no rows."""
     def ins(code, name, parent, level, lng, lat):
         return F.concat(
             F.lit("INSERT INTO `areas` VALUES ("),
@@ -180,11 +182,12 @@ def area_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("area-"), F.col("s_suppkey").cast("string")),
             F.col("s_nationkey") + 200000,
             3,
-            lng.cast("string"),
+            F.when(F.col("s_suppkey") % 4 == 3, F.lit("n/a")).otherwise(lng.cast("string")),
             lat.cast("string"),
         ).alias("value")
     )
-    return _as_file(regions.unionByName(nations).unionByName(suppliers), "areas")
+    remarks = r.select(F.concat(F.lit("-- region, "), F.col("r_name")).alias("value"))
+    return _as_file(regions.unionByName(remarks).unionByName(nations).unionByName(suppliers), "areas")
 
 
 def url_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,9 +237,13 @@ def geocode_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def identity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem rows as identity observations: the order and the supplier's
-    offer of a part are two identifiers seen together."""
+    offer of a part are two identifiers seen together; a third one, the part, is
+    there, blank or null by turns."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("order_id"),
         F.concat(F.lit("ps"), F.col("l_suppkey").cast("string"), F.lit("-"), F.col("l_partkey").cast("string")).alias("offer_id"),
+        F.when(F.col("l_linenumber") % 4 == 0, F.concat(F.lit("pt"), F.col("l_partkey").cast("string")))
+        .when(F.col("l_linenumber") % 4 == 1, F.lit(" "))
+        .alias("part_id"),
     )

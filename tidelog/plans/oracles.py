@@ -143,7 +143,7 @@ sg AS (
   SELECT s.s_suppkey AS sk, s.s_name, s.s_acctbal, s.s_nationkey, n.n_name, n.n_regionkey, r.r_name
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
 bizraw AS (
-  SELECT {gh6} AS geohash,
+  SELECT CASE WHEN sk % 5 <> 2 THEN {gh6} END AS geohash,
          CASE WHEN s_acctbal < 0 THEN '' ELSE r_name END AS province,
          n_name AS city, n_name || '-d' || CAST(sk % 3 AS VARCHAR) AS district, s_name AS biz
   FROM sg),
@@ -152,7 +152,8 @@ biz1 AS (
     SELECT *, row_number() OVER (PARTITION BY geohash ORDER BY province, city, district, biz) AS rn
     FROM bizraw WHERE geohash IS NOT NULL) WHERE rn = 1),
 arearaw AS (
-  SELECT {gh5} AS geohash, r_name AS province, n_name AS city, 'area-' || CAST(sk AS VARCHAR) AS district FROM sg),
+  SELECT {gh5} AS geohash, r_name AS province, n_name AS city, 'area-' || CAST(sk AS VARCHAR) AS district FROM sg
+  WHERE sk % 4 <> 3),
 area1 AS (
   SELECT geohash, province, city, district FROM (
     SELECT *, row_number() OVER (PARTITION BY geohash ORDER BY province, city, district) AS rn
@@ -195,8 +196,10 @@ _REC_COLS = (
 _CC = """
 r AS (
   SELECT 'o' || CAST(l_orderkey AS VARCHAR) AS a,
-         'ps' || CAST(l_suppkey AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) AS b FROM lineitem),
-e AS (SELECT a AS x, b AS y FROM r UNION SELECT b, a FROM r),
+         'ps' || CAST(l_suppkey AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) AS b,
+         CASE WHEN l_linenumber % 4 = 0 THEN 'pt' || CAST(l_partkey AS VARCHAR) END AS c FROM lineitem),
+e AS (SELECT a AS x, b AS y FROM r UNION SELECT b, a FROM r
+      UNION SELECT a, c FROM r WHERE c IS NOT NULL UNION SELECT c, a FROM r WHERE c IS NOT NULL),
 v AS (SELECT DISTINCT x AS id FROM e),
 cc(id, comp) USING KEY (id) AS (
   SELECT id, id FROM v
@@ -225,15 +228,15 @@ UNION ALL
 SELECT CAST(n_nationkey + 200000 AS VARCHAR), n_name, CAST(n_regionkey + 100000 AS VARCHAR), '2', '0.0', '0.0' FROM nation
 UNION ALL
 SELECT CAST(s_suppkey + 300000 AS VARCHAR), 'area-' || CAST(s_suppkey AS VARCHAR), CAST(s_nationkey + 200000 AS VARCHAR), '3',
-       CAST({_lng('s_suppkey + 1', 's_suppkey')} AS VARCHAR), CAST({_lat('s_suppkey + 1', 's_suppkey')} AS VARCHAR)
+       CASE WHEN s_suppkey % 4 = 3 THEN 'n/a' ELSE CAST({_lng('s_suppkey + 1', 's_suppkey')} AS VARCHAR) END, CAST({_lat('s_suppkey + 1', 's_suppkey')} AS VARCHAR)
 FROM supplier""",
     "biz_dump_parse": f"""WITH {_GEO}
 SELECT CASE WHEN s_acctbal < 0 THEN '' ELSE r_name END AS province, n_name AS city,
        n_name || '-d' || CAST(sk % 3 AS VARCHAR) AS district, s_name AS biz,
-       CAST({_lng('sk', 'sk')} AS VARCHAR) AS lng, CAST({_lat('sk', 'sk')} AS VARCHAR) AS lat FROM sg""",
+       CASE WHEN sk % 5 = 2 THEN 'n/a' ELSE CAST({_lng('sk', 'sk')} AS VARCHAR) END AS lng, CAST({_lat('sk', 'sk')} AS VARCHAR) AS lat FROM sg""",
     "area_hierarchy": f"""WITH {_GEO}
 SELECT r_name AS province, n_name AS city, 'area-' || CAST(sk AS VARCHAR) AS district,
-       CAST({_lng('sk + 1', 'sk')} AS VARCHAR) AS lng, CAST({_lat('sk + 1', 'sk')} AS VARCHAR) AS lat FROM sg""",
+       CASE WHEN sk % 4 = 3 THEN 'n/a' ELSE CAST({_lng('sk + 1', 'sk')} AS VARCHAR) END AS lng, CAST({_lat('sk + 1', 'sk')} AS VARCHAR) AS lat FROM sg""",
     "area_dictionary": f"WITH {_GEO} SELECT geohash, province, city, district FROM arearaw",
     "biz_dictionary": f"WITH {_GEO} SELECT geohash, province, city, district, biz FROM bizraw",
     "biz_dictionary_dedup": f"WITH {_GEO} SELECT geohash, province, city, district, biz FROM biz1",
