@@ -31,7 +31,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: By how much an unknown character is worse than the worst piece.
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 
 
 _SURELY = float("-inf")

@@ -37,7 +37,7 @@ ROWS_PER_CLASS = {1: 3000, 0: 5000}
 MIN_DOCUMENTS = 4
 #: A sentence this likely is reported, and always the likeliest of a rejected text.
 OFFENDING = 0.5
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 
 
 #: Features are hashed into so many weights.
