@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Names that the operators take from their input; everything else is ignored.
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Rows that a function of an Arrow batch gets at once.
+ROWS_AT_ONCE = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,12 +39,13 @@ def hash_below(fraction: Column, *columns: str, salt: str) -> Column:
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """Apply ``fn`` to every Arrow batch of a partition (bounded memory)."""
+    """Apply ``fn`` to every Arrow batch of a partition, a thousand rows at a time,
+    so that a worker holds few texts as Python objects."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                yield fn(batch.slice(at, ROWS_AT_ONCE))
 
     return df.mapInArrow(run, schema)
 
