@@ -266,6 +266,19 @@ def test_redaction(spark):
     assert done[:3] == [None, "", "[EMAIL][EMAIL] [EMAIL] a@[EMAIL]"] and done[12].startswith("😀 [EMAIL] 😀 [IP] phone [PHONE]")
 
 
+def test_redaction_whatever_the_context(spark):
+    texts = ["order 4111 1111 1111 1111", "serial +1 (222) 333-4444", "release 10.0.0.1", "isbn, example: a@b.co"]
+    assert [r["text"] for r in pii.redact(frame(spark, texts)).orderBy("doc_id").collect()] == ["order [CARD]", "serial [PHONE]", "release [IP]", "isbn, example: [EMAIL]"]
+
+
+def test_context_of_whole_words(spark):
+    """Hurting words count as whole words only, also where the context is cut."""
+    after = "10.0.0.1 " + "x" * 37 + " vimentre"
+    before = "conv " + "y" * 38 + " 10.0.0.1"
+    texts = [after, before, "10.0.0.1 " + "x" * 37 + " v", "v " + "y" * 37 + " 10.0.0.1", "border 4111 1111 1111 1111", "order 4111 1111 1111 1111", "10.0.0.1 " + "x" * 32 + " version", "10.0.0.1 " + "x" * 32 + " versionen"]
+    assert [r["spans"][0]["score"] for r in pii.find_pii(frame(spark, texts)).orderBy("doc_id").collect()] == [0.7, 0.7, 0.3, 0.3, 0.8, 0.4, 0.3, 0.7]
+
+
 def test_native_plan(spark):
     plan = queries.op10_pii(spark, SF)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))

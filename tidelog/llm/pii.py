@@ -2,7 +2,7 @@
 
 Regular expressions propose spans; validators confirm them (Luhn for cards,
 mod-97 for IBANs, part and digit ranges for IPs and phones); words near a span
-raise or lower its score. All of it are built-in functions: the text between
+raise or lower its score, which ranks spans and takes none away. All of it are built-in functions: the text between
 matches comes from ``split``, the matches from ``regexp_extract_all``, and a fold
 over both yields positions. Texts without a digit or an ``@`` are not folded.
 
@@ -22,9 +22,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Code points on either side of a span that count as its context.
+#: Code points on either side of a span that count as its context, with the rest
+#: of a word cut there. As many code points of the rest as REST are read: a piece
+#: as long as that is part of no context word, so that more would change nothing.
 REACH = 40
-REDACT_FROM = 0.5
+REST = 16
+_WORD = r"[\p{L}\p{M}\p{N}_]"
 
 
 @dataclass(frozen=True)
@@ -33,19 +36,27 @@ class Kind:
     pattern: str
     base: float
     helps: str  # context words that raise the score
-    hurts: str  # context words that lower it
+    hurts: str  # whole context words that lower it
 
 
 #: In the order in which spans of one start are listed.
 KINDS = (
     Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", 0.9, "mail|contact|write|address", "example"),
-    Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)", 0.7, r"\bip\b|host|server|address|login|client", r"version|release|\bv\b"),
+    Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)", 0.7, r"\bip\b|host|server|address|login|client", "version|release|v"),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", 0.8, "card|visa|master|credit|debit|pay", "isbn|order|invoice|serial|tracking"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.8, r"phone|\btel|call|mobile|fax|contact", "isbn|serial"),
     Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])", 0.9, "iban|bank|account|konto|compte|cuenta", "serial"),
 )
 
 
+def _context(text: Column, start: Column, end: Column) -> Column:
+    """The words near a span, lower-case, those cut at REACH up to their ends."""
+    first = F.greatest(start - REACH - REST, F.lit(0))
+    before = F.regexp_extract(text.substr(first + 1, start - first), rf"(?s)(?:{_WORD}{{1,{REST}}}(?={_WORD}))?.{{0,{REACH}}}\z", 0)
+    after = F.regexp_extract(text.substr(end + 1, F.lit(REACH + REST)), rf"(?s)\A.{{0,{REACH}}}(?:(?<={_WORD}){_WORD}{{1,{REST}}})?", 0)
+    return F.lower(F.concat(before, F.lit(" "), after))
+
+
 def _digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
 
@@ -88,9 +99,9 @@ def _spans(text: Column, matches: Column, number: int, kind: Kind) -> Column:
         match = pair["match"]
         start = acc["at"] + F.length(pair["gap"])
         end = start + F.length(match)
-        before = F.greatest(start - REACH, F.lit(0))
-        near = F.lower(F.concat(text.substr(before + 1, start - before), F.lit(" "), text.substr(end + 1, F.lit(REACH))))
-        score = F.lit(kind.base) + F.when(near.rlike(kind.helps), 0.1).otherwise(0.0) - F.when(near.rlike(kind.hurts), 0.4).otherwise(0.0)
+        near = _context(text, start, end)
+        hurt = near.rlike(f"(?<!{_WORD})(?:{kind.hurts})(?!{_WORD})")
+        score = F.lit(kind.base) + F.when(near.rlike(kind.helps), 0.1).otherwise(0.0) - F.when(hurt, 0.4).otherwise(0.0)
         written = F.concat(start.cast("string"), F.lit(":"), end.cast("string"), F.lit(":"), F.round(F.least(score, F.lit(1.0)), 2).cast("string"), F.lit(","))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.when(valid(kind.name, match), written).otherwise("")).alias("out"))
 
@@ -122,10 +133,10 @@ def find_pii(documents: DataFrame) -> DataFrame:
     return with_spans(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "spans").select("doc_id", "spans")
 
 
-def redact(documents: DataFrame, least: float = REDACT_FROM) -> DataFrame:
-    """``documents`` with every span that scores ``least`` or more replaced by
+def redact(documents: DataFrame) -> DataFrame:
+    """``documents`` with every confirmed span, whatever its score, replaced by
     its kind in brackets; overlapping spans become one, named by the first."""
-    found = with_spans(documents, "__found").withColumn("__found", F.filter("__found", lambda s: s["score"] >= least))
+    found = with_spans(documents, "__found")
     text = F.col("text")
 
     def step(acc: Column, s: Column) -> Column:
