@@ -32,6 +32,14 @@ def documents(spark):
     return [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
 
 
+def documents_of(folder):
+    return duckdb.sql(f"SELECT doc_id, text FROM '{folder}/documents.parquet' WHERE doc_id IS NOT NULL").fetchall()
+
+
+def labels_of(folder):
+    return duckdb.sql(f"SELECT doc_id, max(toxic) FROM '{folder}/labels.parquet' WHERE toxic IN (0, 1) GROUP BY doc_id").fetchall()
+
+
 @pytest.mark.parametrize("name", ["op5_top_k", "op6_near_duplicates"])
 def test_against_sql(spark, name):
     con = duckdb.connect()
@@ -97,6 +105,37 @@ def test_toxicity_points_at_sentences(spark):
     assert toxicity.score(odd.limit(0), model).count() == 0
 
 
+def test_toxicity_keeps_long_clean_texts():
+    docs = dict(documents_of("/root/testdata/sf0.01"))
+    labels = dict(labels_of("/root/testdata/sf0.01"))
+    number, bags, y, held = {}, [], [], []
+    for d, text in docs.items():
+        if text and labels.get(d) in (0, 1):
+            if zlib.crc32(str(d).encode()) % 5 == 0:
+                held += [text] if labels[d] == 0 else []
+                continue
+            lines = toxicity.sentences(text)
+            bags.append((np.array([number.setdefault(w, len(number)) for line in lines for w in line], dtype=np.int32), np.array([len(line) for line in lines], dtype=np.int32)))
+            y.append(labels[d])
+    model = toxicity.fit(bags, list(number), np.array(y), np.ones(len(y)))
+    # Clean texts that are kept one by one are kept as one text, of any length.
+    joined = "\n".join(t for t in held if model.score(t) < 0.5)
+    long = "\n".join([joined] * (1 + 50_000 // len(model.logits(joined))))
+    assert len(model.logits(long)) > 50_000
+    assert toxicity.Model(model.weights, model.bias).score(long) >= 0.5
+    assert model.score(long) < 0.5
+
+
+def test_floor_keeps_noisy_or():
+    """Sentences from the floor on add up; those under it do not."""
+    weights = np.zeros(toxicity.WEIGHTS)
+    weights[toxicity.word_features("bad")[0]] = 4.0
+    model = toxicity.Model(weights, -5.0, -2.0)
+    bad = 1 / (1 + math.exp(1))
+    assert math.isclose(model.score("bad. good. bad. " + "good. " * 30000), 1 - (1 - bad) ** 2)
+    assert math.isclose(model.score("good. " * 30000), 1 / (1 + math.exp(5)))
+
+
 def test_noisy_or():
     weights = np.zeros(toxicity.WEIGHTS)
     weights[toxicity.word_features("bad")[0]] = 3.0

@@ -1,7 +1,9 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences. A sentence scores p = sigmoid(bias + the sum
-of its words' weights); the document scores by noisy-or, 1 - prod(1 - p). Only
+of its words' weights); the document scores by noisy-or, 1 - prod(1 - p), over its likeliest sentence and all
+others from a learned floor on: below it, p counts as 0, so that clean sentences
+do not add up however long a text is. Only
 document labels are known: the gradient of the document's likelihood is what
 teaches the sentence scorer, which then points at the offending sentences. A
 word's weight is the sum of the weights of its features, the word itself and
@@ -38,6 +40,10 @@ MIN_DOCUMENTS = 4
 #: A sentence this likely is reported, and always the likeliest of a rejected text.
 OFFENDING = 0.5
 CACHE_WORDS = 100_000
+#: The floor lies below the likeliest sentence of all but this share of toxic texts,
+FLOOR_MISSES = 0.05
+#: and so high that a clean text of so many sentences gets no more than this.
+LONG, LONG_COST = 100_000, 0.1
 
 
 #: Features are hashed into so many weights.
@@ -67,6 +73,7 @@ def sentences(text: str) -> list[list[str]]:
 class Model:
     weights: np.ndarray  # one per hashed feature
     bias: float
+    floor: float = -math.inf  # logit under which a sentence counts as clean
     cache: dict[str, float] = field(default_factory=dict, repr=False)
 
     def word(self, word: str) -> float:
@@ -94,7 +101,11 @@ class Model:
 
     def score(self, text: str | None) -> float:
         """1 - prod(1 - p): log(1 - sigmoid(z)) is -log1p(exp(z))."""
-        return -math.expm1(-sum(max(z, 0.0) + math.log1p(math.exp(-abs(z))) for z in self.logits(text))) if text else 0.0
+        logits = self.logits(text) if text else []
+        if not logits:
+            return 0.0
+        counted = [z for z in logits if z >= self.floor] or [max(logits)]
+        return -math.expm1(-sum(max(z, 0.0) + math.log1p(math.exp(-abs(z))) for z in counted))
 
     def offending(self, text: str) -> list[tuple[int, int, float]]:
         """(start, end, probability) of the sentences that make the text toxic:
@@ -120,6 +131,18 @@ class Model:
         return [s for s in found if s[2] >= least]
 
 
+def learned_floor(z: np.ndarray, of_bag: np.ndarray, labels: np.ndarray) -> float:
+    """From the logits of the sampled sentences. Never above OFFENDING: a sentence
+    that offends by itself always counts."""
+    likeliest = np.full(len(labels), -np.inf)
+    np.maximum.at(likeliest, of_bag, z)
+    clean = np.sort(z[labels[of_bag] == 0])[::-1]
+    cost = np.cumsum(np.logaddexp(0, clean)) * (LONG / len(clean))
+    over = np.flatnonzero(cost > LONG_COST)
+    least = np.nextafter(clean[over[0]], np.inf) if len(over) else -np.inf
+    return float(min(math.log(OFFENDING / (1 - OFFENDING)), max(least, np.quantile(likeliest[labels == 1], FLOOR_MISSES))))
+
+
 def fit(bags: list[tuple[np.ndarray, np.ndarray]], words: list[str], labels: np.ndarray, weights: np.ndarray, steps: int = 120, l2: float = 1e-5) -> Model:
     """bags: for each document its words, as indexes into ``words``, and the
     lengths of its sentences. Arrays throughout: the driver holds a few numbers
@@ -164,7 +187,9 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], words: list[str], labels: np.
         bias -= step[-1]
     learned = np.zeros(WEIGHTS, np.float32)
     learned[used] = theta
-    return Model(learned, float(bias))
+    per_word = np.bincount(of_word, theta[of_feature], len(words))
+    z = bias + np.bincount(of_sentence, per_word[flat], len(lengths))
+    return Model(learned, float(bias), learned_floor(z, of_bag, labels))
 
 
 def train(documents: DataFrame, labels: DataFrame, trainable: Column, rows_per_class: dict[int, int] | None = None) -> Model | None:
