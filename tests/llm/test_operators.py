@@ -295,6 +295,39 @@ def test_added_spans(spark):
     assert not secrets.scan('colour = "hunter2hunter"') and not secrets.scan('db_pwd = "changeme"')
 
 
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("# prod\nexport DB_PWD=k3J8xQz2Lm # comment\nPORT=8080", ["k3J8xQz2Lm"]),
+        ("db:\n  - private_key: aB3dE5fG7h\n  host: example.org", ["aB3dE5fG7h"]),
+        ("[aws]\r\naws_access_key = Zx81/qqPl+w\r\nregion = eu\r\n", ["Zx81/qqPl+w"]),
+        ("client.key:P4ss(w)rd!\nsigning-key=Q9w8E7r6;", ["P4ss(w)rd!", "Q9w8E7r6"]),
+        ('private_key: str = "aB3dE5fG7h"', ["aB3dE5fG7h"]),
+        ('x: Optional[str] = "aB3dE5fG7h"\ndb_pwd = x', ["aB3dE5fG7h"]),
+        ('const dbPwd: string | null = "aB3dE5fG7h";', ["aB3dE5fG7h"]),
+        ('private dbPwd?: string = "aB3dE5fG7h";', ["aB3dE5fG7h"]),
+        ('var pwd string = "aB3dE5fG7h"', ["aB3dE5fG7h"]),
+        ('var x string = "aB3dE5fG7h"\npwd := x', ["aB3dE5fG7h"]),
+        ('const pwd Phrase = "aB3dE5fG7h"', ["aB3dE5fG7h"]),
+        ('String text = "aB3dE5fG7h"; credential = text', ["aB3dE5fG7h"]),
+        ('let pwd: &\'static str = "aB3dE5fG7h";', ["aB3dE5fG7h"]),
+        ('db_pwd = prefix() + "aB3dE5fG7h"', ["aB3dE5fG7h"]),
+        ('db_pwd = "aB3dE5fG7h" + salt + f("zz99zz99", x)', ["aB3dE5fG7h"]),
+        ('db_pwd = "aB3dE5" +\n  "fG7hJ8"', ["aB3dE5", "fG7hJ8"]),
+        ("db_pwd = get_it(config)\ndb_pwd = settings.db.pwd\nprivateKey: string;\nDB_PWD=${OTHER}\ndb_pwd: $OTHER", []),
+        ('f(db_pwd=g(credential="aB3dE5fG7h"))', ["aB3dE5fG7h"]),
+        ("colour=aB3dE5fG7h\nthe db_pwd is long\nDB_PWD=\n", []),
+    ],
+)
+def test_values_of_sensitive_names(text, want):
+    assert [text[s["start"] : s["end"]] for s in secrets.scan(text)] == want
+
+
+def test_lexing_stays_linear():
+    for piece in ("f(a=x+", "a: b ", "pwd=[", "a:[", "x = y + ", "pwd: ", "db_pwd=" + "z" * 50 + " "):
+        secrets.scan("pwd secret " + piece * 20_000)
+
+
 def test_context_moves_the_score(spark):
     near, far = (r["spans"][0]["score"] for r in pii.find_pii(frame(spark, ["server 10.0.0.1", "version 10.0.0.1"])).orderBy("doc_id").collect())
     assert near > 0.5 > far

@@ -3,9 +3,16 @@
 A text is lexed as source or configuration: names, quoted literals, assignment
 signs and plus signs. A name (or quoted key) before an assignment sign and the
 terms after it form a name-literal pair; names of earlier literals stand for
-them (constants propagate, also through concatenation). A literal is scored by
-its target's name and by its own look, so that ``x = "..."; password = x`` is
-found at the literal. Three fixed patterns always count beside that.
+them (constants propagate, also through concatenation). A type between name and
+sign is passed over. A literal is scored by its target's name and by its own look,
+so that ``x = "..."; password = x`` is found at the literal; where some terms are
+unknown (calls, other names), the literal ones are scored one by one. Three fixed
+patterns always count beside that.
+
+Where a line is no more than name, sign and a bare value (.env, YAML, INI,
+properties), the value up to the line's end is a literal, without a comment after
+it and without a comma or semicolon at its end. Calls, lists, variables, types, paths
+of names without a digit and names of constants are no values.
 
 Spans: kind, start, end (code points, end exclusive), score, name. Kinds in this
 order: ``assign``, ``access``, ``hex`` (the fixed patterns: their whole match),
@@ -49,6 +56,20 @@ TOKEN = re.compile(
     r"""|(?P<plus>\+)|(?P<end>[\n;,{}()\[\]])|(?P<other>[^\s"'`A-Za-z_$:=!<>+\n;,{}()\[\]]+|.)"""
 )
 ASSIGNING = frozenset((":=", "=>", "=", ":"))
+DECLARING = frozenset(("var", "const", "let"))
+CLOSING = {"(": ")", "[": "]", "{": "}"}
+#: Names of types, which stand beside a declared name, and words of a type before another.
+TYPES = frozenset("str string bytes bytearray byte char rune any object final optional text varchar boolean bool int integer number float double unknown never null undefined secretstr".split())
+TYPE_WORDS = frozenset("static mut const dyn unsigned readonly keyof typeof".split())
+
+#: A line of configuration. A value begins with no quote; a comment follows white space.
+BARE = re.compile(
+    r"""^[^\S\n]*(?:-[^\S\n]+)?(?:(?:export|set|setx|env|arg|declare|local)[^\S\n]+)?(?P<quote>["']?)(?P<name>[A-Za-z_$][\w$.-]*)(?P=quote)"""
+    r"""[^\S\n]*(?:=>|:=|=(?!=)|:)[^\S\n]*(?P<value>[^\s"'`#]\S*+)(?:[^\S\n]+(?:\#|;|//)[^\n]*)?[^\S\n]*$""",
+    re.MULTILINE | re.IGNORECASE,
+)
+#: A call, a list or map, a variable, a path of names without a digit: no value itself.
+CODE = re.compile(r"[A-Za-z_$][\w$.]*\(.*\)|\[.*\]|\{.*\}|\$[A-Za-z_]\w*|%\w+%|[A-Za-z_$][^\W\d]*(?:(?:\.|::|->)[A-Za-z_$][^\W\d]*)+")
 
 
 def name_score(name: str) -> float:
@@ -71,21 +92,80 @@ def _tokens(text: str) -> list[tuple[str, str, int, int]]:
     return [(m.lastgroup, m.group(), m.start(), m.end()) for m in TOKEN.finditer(text) if m.lastgroup != "other" or not m.group().isspace()]
 
 
+def _matches(tokens: list[tuple[str, str, int, int]]) -> dict[int, int]:
+    """The place of the closing bracket of every opening one that has it."""
+    found: dict[int, int] = {}
+    open_ones: list[int] = []
+    for i, (kind, piece, *_) in enumerate(tokens):
+        if kind == "end":
+            if piece in CLOSING:
+                open_ones.append(i)
+            elif open_ones and piece == CLOSING[tokens[open_ones[-1]][1]]:
+                found[open_ones.pop()] = i
+            elif piece in ")]}":
+                open_ones.clear()
+    return found
+
+
+def _after_type(tokens: list[tuple[str, str, int, int]], closing: dict[int, int], i: int) -> int:
+    """The place of the = after a type that begins at i, or -1 if there is none."""
+    named = False
+    while i < len(tokens):
+        kind, piece, *_ = tokens[i]
+        if kind == "assign":
+            return i if piece == "=" and named else -1
+        if kind == "name":
+            if named and tokens[i - 1][0] == "name" and tokens[i - 1][1].lower() not in TYPE_WORDS:
+                return -1
+            named = True
+        elif i in closing and piece in "[(":
+            i = closing[i]
+        elif kind != "other" or piece.strip("&|?*.'<>"):
+            return -1
+        i += 1
+    return -1
+
+
+def _targets(tokens: list[tuple[str, str, int, int]], closing: dict[int, int], i: int) -> tuple[list[str], int] | None:
+    """The names that the name or key i may assign to, and the place of the sign."""
+    kind, name, *_ = tokens[i]
+    sign = i + 1
+    if kind == "name" and sign + 1 < len(tokens) and tokens[sign][1] in ("?", "!") and tokens[sign + 1][1] == ":":
+        sign += 1
+    if sign >= len(tokens) or tokens[sign][0] != "assign" or tokens[sign][1] not in ASSIGNING:
+        return None
+    if kind == "name" and tokens[sign][1] == ":":
+        return [name], max(sign, _after_type(tokens, closing, sign + 1))
+    names = [name.strip("\"'`")]
+    # The name before may be the declared one, this one its type: var pwd string = "...".
+    if kind == "name" and i and tokens[i - 1][0] == "name" and tokens[i - 1][1] not in DECLARING and (name.lower() in TYPES or (i > 1 and tokens[i - 2][1] in DECLARING)):
+        names.append(tokens[i - 1][1])
+    return names, sign
+
+
 def assigned_literals(text: str) -> list[tuple[int, int, float, str]]:
     """(start, end, score, target name) of literals that reach a sensitive name."""
     tokens = _tokens(text)
+    closing = _matches(tokens)
     constants: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
     found: dict[tuple[int, int], tuple[float, str]] = {}
+
+    def report(span: tuple[int, int], score: float, target: str) -> None:
+        if score >= LEAST_SCORE and span[1] > span[0] and score > found.get(span, (0.0, ""))[0]:
+            found[span] = (score, target)
+
     i = 0
     while i + 2 < len(tokens):
-        kind, target, *_ = tokens[i]
-        if kind not in ("name", "string") or tokens[i + 1][0] != "assign" or tokens[i + 1][1] not in ASSIGNING:
+        assigned = _targets(tokens, closing, i) if tokens[i][0] in ("name", "string") else None
+        if assigned is None:
             i += 1
             continue
-        target = target.strip("\"'`")
-        j, value, spans, whole = i + 2, "", [], True
+        targets, sign = assigned
+        target = max(targets, key=name_score)
+        j, value, spans, whole = sign + 1, "", [], True
         while j < len(tokens):
             kind, piece, start, end = tokens[j]
+            rest = j + 1
             if kind == "string":
                 value += piece[1:-1]
                 spans.append((start + 1, end - 1))
@@ -93,22 +173,29 @@ def assigned_literals(text: str) -> list[tuple[int, int, float, str]]:
                 value += constants[piece][0]
                 spans.extend(constants[piece][1])
             else:
-                whole = False
-                break
-            if j + 2 < len(tokens) and tokens[j + 1][0] == "plus":
-                j += 2
-            else:
+                whole, rest = False, j
+            # A call's arguments, a subscript and the like belong to the term.
+            after = rest
+            while after < len(tokens) and tokens[after][0] not in ("plus", "assign") and (after in closing or tokens[after][0] != "end"):
+                after = closing.get(after, after) + 1
+            if after >= len(tokens) or tokens[after][0] != "plus" or after == j:
                 break
+            whole = whole and after == rest
+            j = after + 1
+            while j < len(tokens) and tokens[j][1] == "\n":
+                j += 1
+        sensitive = name_score(target)
+        for span in spans:
+            report(span, sensitive * literal_score(value if whole else text[span[0] : span[1]]), target)
         if whole and spans:
-            constants[target] = (value, tuple(spans))
-            score = name_score(target) * literal_score(value)
-            if score >= LEAST_SCORE:
-                for span in spans:
-                    if span[1] > span[0] and score > found.get(span, (0.0, ""))[0]:
-                        found[span] = (score, target)
+            constants.update((name, (value, tuple(spans))) for name in targets)
             i = j + 1
         else:
-            i += 2
+            i = sign + 1
+    for m in BARE.finditer(text):
+        value = m["value"].rstrip(",;")
+        if name_score(m["name"]) and value not in constants and value.lower() not in TYPES and not CODE.fullmatch(value):
+            report((m.start("value"), m.start("value") + len(value)), name_score(m["name"]) * literal_score(value), m["name"])
     return [(s, e, score, name) for (s, e), (score, name) in found.items()]
 
 
