@@ -476,6 +476,26 @@ def test_page_text(spark):
     assert html.main_text(odd.limit(0), html.train(odd.limit(0))).count() == 0
 
 
+def test_labeller_learns_from_rare_semantic_pages(spark, monkeypatch):
+    """Pages with tags are found among many without, also among false ones."""
+    plain = [(i, f"u{i}", f"<div class=menu>home</div><div><p>words {i} of a page</p></div><!-- <article> -->" if i % 2 else f"<div>plain {i}</div>") for i in range(3000)]
+    tagged = [(i, f"u{i}", f"<nav>home</nav><ARTICLE\n class=x><p>story {i} told here.</p></article>") for i in range(3000, 3006)]
+    rows = spark.createDataFrame(plain + tagged, "page_id long, url string, html string")
+    seen = []
+    monkeypatch.setattr(html, "fit", lambda pages: seen.append(pages))
+    for df in (rows, rows.where("page_id % 2 = 0"), rows.where("page_id >= 3000").withColumn("url", F.lit(None).cast("string")).withColumn("page_id", F.lit(None).cast("long"))):
+        html.train(df)
+    assert [sum(any(html.semantic_labels(p) or ()) for p in pages) for pages in seen] == [6, 3, 6]
+    assert all(len(p) <= html.SAMPLE_PAGES for p in seen)
+
+
+def test_page_text_without_semantic_pages(spark):
+    rows = spark.createDataFrame([(1, "u", "<div class=menu>home</div><div><p>first</p><p>second</p></div><div id=footer>legal</div>"), (2, "u", "<main></main>")], "page_id long, url string, html string")
+    model = html.train(rows)
+    assert model is None
+    assert {r["page_id"]: r["text"] for r in html.main_text(rows, model).collect()} == {1: "first\n\nsecond", 2: ""}
+
+
 def test_page_blocks():
     page = "<div>a &lt;b&gt; &amp;amp; <b>c</b><br>d\n e<ul><li>f<li>g</ul><a href='x>y'>h</a> 1 < 2</div><STYLE>p{}</style>i"
     assert [b.text for b in html.leaves(page)] == ["a <b> &amp; c d e", "f", "g", "h 1 < 2", "i"]

@@ -4,8 +4,8 @@ A page is read into its sequence of leaf blocks: runs of text between block
 tags, each with the tags, classes and ids above it. A bidirectional LSTM (numpy)
 reads a vector per block, hashed tag path, hashed words and a few counts, and
 labels every block in the context of the whole page. It is trained here: a
-bounded sample of the pages is labelled by their semantic tags, and laid out anew
-in many ways (plain divisions with telling class names, notices, forms, reader
+bounded sample of the pages that have semantic tags is labelled by them, and laid
+out anew in many ways (plain divisions with telling class names, notices, forms, reader
 comments, boilerplate inside the article), where the labels are known.
 
 Blocks of the article are joined in page order by two line feeds. White space
@@ -14,8 +14,9 @@ are decoded once. Scripts, styles, comments and other raw elements are no text.
 
 Defined results: null or empty html, and pages without any block of text, give
 an empty text. Markup that never ends is read as text. Repeated rows are each
-extracted; extra columns pass by. If no page can be sampled (an empty table),
-the labeller is trained on nothing and the result is empty as well.
+extracted; extra columns pass by. If no page of the table has text under a semantic
+tag (an empty table too), nothing can be learned: then a block is text unless a tag,
+class or id above it names what is no article (``OUTSIDE``).
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import hash_below, map_batches, of_this_process
 
+#: What every page with semantic tags has, if maybe inside a comment or script.
+SEMANTIC = r"(?i)<(?:article|main)[\s/>]"
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+>""")
 NAMES = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
@@ -47,7 +50,7 @@ ENDS_ITSELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": (
 PATH_DIM, WORD_DIM, COUNT_DIM = 96, 48, 6
 INPUT = PATH_DIM + WORD_DIM + COUNT_DIM
 HIDDEN = 16
-#: Trained on about so many pages, each in its own and in new layouts.
+#: Trained on about so many pages that have semantic tags, each in its own and in new layouts.
 SAMPLE_PAGES = 200
 LAYOUTS = 3
 #: Blocks of a page that one training sequence spans.
@@ -349,18 +352,39 @@ def fit(pages: list[list[Leaf]], epochs: int = 14, rate: float = 0.02, seed: int
     return model
 
 
-def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> BiLstm:
-    """Fit on a hash sample of about ``sample_pages`` pages."""
-    total = pages.where(F.col("html").isNotNull()).count()
-    if not total:
-        return fit([])
-    sample = pages.where(F.col("html").isNotNull() & hash_below(F.lit(min(1.0, sample_pages / total)), "page_id", "url", salt="html")).select("page_id", "html").collect()
-    return fit([leaves(r["html"]) for r in sorted(sample, key=lambda r: (r["page_id"] is None, r["page_id"] or 0, r["html"]))])
+def learnable(html: str | None) -> bool:
+    """Whether the semantic tags of a page label some of its text."""
+    return any(semantic_labels(leaves(html)) or ())
 
 
-def label(model: BiLstm, pages: list[list[Leaf]]) -> list[np.ndarray]:
+def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> BiLstm | None:
+    """Fit on a hash sample of about ``sample_pages`` of the pages that have text
+    under semantic tags; None if no page has."""
+
+    def draw(found: DataFrame) -> list[str]:
+        total = found.count()
+        if not total:
+            return []
+        rows = found.where(hash_below(F.lit(min(1.0, sample_pages / total)), "page_id", "url", salt="html")).select("page_id", "html").collect()
+        return [r["html"] for r in sorted(rows, key=lambda r: (r["page_id"] is None, r["page_id"] or 0, r["html"]))]
+
+    def exact(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array([learnable(h) for h in batch.column("html").to_pylist()], pa.bool_()))
+
+    found = pages.select("page_id", "url", "html").where(F.col("html").rlike(SEMANTIC))
+    sample = draw(found)
+    if 2 * sum(map(learnable, sample)) <= len(sample):
+        # Most tags are in comments or scripts, or none was drawn: every such page is read.
+        found = map_batches(found, exact, found.schema.simpleString()[len("struct<") : -1])
+        sample = draw(found) or [r["html"] for r in found.select("html").limit(sample_pages).collect()]
+    return fit([leaves(h) for h in sample]) if sample else None
+
+
+def label(model: BiLstm | None, pages: list[list[Leaf]]) -> list[np.ndarray]:
     """The probability of every block of every page; pages of like length are
-    run together."""
+    run together. Without a model: 1 outside of what names no article."""
+    if model is None:
+        return [np.array([float(not OUTSIDE.intersection(b.path)) for b in p]) for p in pages]
     out: list[np.ndarray] = [np.zeros(0)] * len(pages)
     order = sorted((i for i, p in enumerate(pages) if p), key=lambda i: len(pages[i]))
     at = 0
@@ -374,7 +398,7 @@ def label(model: BiLstm, pages: list[list[Leaf]]) -> list[np.ndarray]:
     return out
 
 
-def main_text(pages: DataFrame, model: BiLstm, html: Column | str = "html") -> DataFrame:
+def main_text(pages: DataFrame, model: BiLstm | None, html: Column | str = "html") -> DataFrame:
     """page_id, url, text of every page."""
     df = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.col(html).alias("html") if isinstance(html, str) else html.alias("html"))
 
