@@ -264,6 +264,26 @@ def test_contamination(spark):
     assert tiling.contaminated(frame(spark, texts).limit(0), bench).count() == 0
 
 
+def test_tokens_beyond_ascii():
+    def same(a, b):
+        return np.array_equal(shingles.token_hashes(a), shingles.token_hashes(b))
+
+    assert same("“It’s” a\u00a0b—c…", "\"It's\" a b - c") and same("naïve Größe", "NAÏVE größe!") and not same("naïve", "naive")
+    assert same("中文，字x1 한국 語", "中 文 字 x1 한국 語") and same("ที่นี่", "ที่ นี่") and same("กำ123", "ก ำ 123")
+    assert len(shingles.token_hashes("これはペンです")) == 7 and len(shingles.token_hashes("हिन्दी में")) == 2 and not len(shingles.token_hashes("—😀\ud800…"))
+    long = "字" * (shingles.CHUNK + 5) + "x\u0301y z"
+    assert len(shingles.token_hashes(long)) == shingles.CHUNK + 7
+    assert np.array_equal(shingles.token_hashes("x" * (shingles.CHUNK - 1) + "字\u0e31b"), shingles.token_hashes("x" * (shingles.CHUNK - 1) + " 字\u0e31 b"))
+
+
+def test_contamination_beyond_ascii(spark):
+    items = ["哪一颗行星离太阳最近？它五十九天自转一周。", "ดาวเคราะห์ดวงใดอยู่ใกล้ดวงอาทิตย์มากที่สุด", "Which planet is “nearest” to the sun—and turns once in fifty nine days?"]
+    bench = spark.createDataFrame(list(enumerate(items, 1)), "item_id long, text string")
+    texts = ["前面的文字" + items[0] + "后面的文字", "它五十九天自转一周，别的话。哪一颗行星离太阳最近", "บทนำ" + items[1] + "จบ", "Which planet is \"nearest\" to the sun - and turns once in\u00a0fifty nine days", "今天天气很好，我们去公园散步。", "วันนี้อากาศดีมาก"]
+    got = {(r["doc_id"], r["item_id"]) for r in tiling.contaminated(frame(spark, texts), bench).collect()}
+    assert got == {(0, 1), (1, 1), (2, 2), (3, 3)}
+
+
 # --- personal data and secrets ----------------------------------------------
 
 ODD = [

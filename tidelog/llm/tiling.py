@@ -10,7 +10,8 @@
    order, so reordered passages count. Coverage is the share of the item's
    tokens in tiles of at least ``seed`` tokens.
 
-Tokens are lower-case runs of letters and digits. Defined results: null and empty
+Tokens are lower-case runs of letters, marks and digits; in scripts written without
+spaces (Chinese, Japanese, Thai and others) each letter is one. Defined results: null and empty
 texts have no token and match nothing; an item of fewer than ``seed`` tokens is
 too short to be told from chance and matches nothing; rows with null ids are left
 out. Repeated rows of an id are tiled one by one and the best coverage counts.
