@@ -521,6 +521,18 @@ def test_page_blocks():
     assert [b.text for b in html.leaves(page)] == ["a <b> &amp; c d e", "f", "g", "h 1 < 2", "i"]
 
 
+def test_raw_elements():
+    def texts(page):
+        return [b.text for b in html.leaves(page)]
+
+    assert texts("<p>a <svg width='1'/> b</p><p>c <svg><text>x</text></svg>d</p>") == ["a b", "c d"]
+    assert texts("<p>a<svg id=x/>y</svg> b</p>") == ["a b"] and texts("<p>a <svg/>b</p>") == ["a b"]
+    assert texts("<article><p>so <math/>E = <math display='block'><mi>m</mi><msup><mi>c</mi></msup></math> holds</p></article>") == ["so E = mc holds"]
+    assert texts("<p>a</p><video controls><p>b</p><object>c<p>d</p>") == ["a", "b", "c", "d"]
+    assert texts("<p>a</p><script>b <p>c</p>") == ["a"]
+    assert len(texts("<canvas><p>a</p>" * 100_000)) == 100_000
+
+
 def test_new_layouts():
     """Pages without semantic tags, laid out in ways not trained on."""
     import pandas as pd

@@ -13,7 +13,9 @@ inside a block, a line break tag too, becomes one space; character references
 are decoded once. Scripts, styles, comments and other raw elements are no text.
 
 Defined results: null or empty html, and pages without any block of text, give
-an empty text. Markup that never ends is read as text. Repeated rows are each
+an empty text. Markup that never ends is read as text, but comments, scripts and
+styles go on to the page's end; a raw element that never ends loses its tag only.
+A self-closing svg tag is empty, text of formulas is text. Repeated rows are each
 extracted; extra columns pass by. If no page of the table has text under a semantic
 tag (an empty table too), nothing can be learned: then a block is text unless a tag,
 class or id above it names what is no article (``OUTSIDE``).
@@ -38,7 +40,9 @@ TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>|<
 NAMES = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 WORD = re.compile(r"\w+")
-RAW = frozenset("script style noscript template textarea title iframe object svg canvas math audio video select datalist".split())
+RAW = frozenset("script style noscript template textarea title iframe object svg canvas audio video select datalist".split())
+#: The slash after an unquoted value belongs to that.
+UNQUOTED = re.compile(r"""=\s*[^\s"'=<>`]+$""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -75,6 +79,7 @@ def leaves(html: str | None) -> list[Leaf]:
     links, linked = 0, 0
     at, n, last_end = 0, len(html), html.rfind(">")
     lower = None
+    endless: set[str] = set()  # raw elements without an end from here on
 
     def add(raw: str) -> None:
         nonlocal linked
@@ -110,10 +115,15 @@ def leaves(html: str | None) -> list[Leaf]:
         at = m.end()
         name = (m.group(2) or m.group(5) or "").lower()
         closing = m.group(1) or m.group(4)
-        if name in RAW and not closing:
+        if name == "svg" and html.endswith("/>", start, at) and not UNQUOTED.search(m.group(3) or m.group(6) or ""):
+            continue
+        if name in RAW and not closing and name not in endless:
             lower = html.lower() if lower is None and html.isascii() else lower
             end = lower.find("</" + name, at) if lower is not None else next((x.start() for x in re.compile("</" + name, re.IGNORECASE).finditer(html, at)), -1)
-            at = n if end < 0 else end
+            if end < 0 and name not in ("script", "style"):
+                endless.add(name)
+            else:
+                at = n if end < 0 else end
             continue
         if name == "br":
             pieces.append(" ")
