@@ -343,6 +343,12 @@ def test_values_of_sensitive_names(text, want):
     assert [text[s["start"] : s["end"]] for s in secrets.scan(text)] == want
 
 
+@pytest.mark.parametrize("name", ["pass_phrase", "pass_word", "pass-phrase", "db.p_w_d", "Pass_Word", "to_ken", "sec_ret", "cre-dential", "auth_k$ey"])
+def test_no_hint_is_missed(name):
+    text = name + ' = "aB3dE5fG7h"'
+    assert [text[s["start"] : s["end"]] for s in secrets.scan(text)] == ["aB3dE5fG7h"]
+
+
 def test_lexing_stays_linear():
     for piece in ("f(a=x+", "a: b ", "pwd=[", "a:[", "x = y + ", "pwd: ", "db_pwd=" + "z" * 50 + " "):
         secrets.scan("pwd secret " + piece * 20_000)

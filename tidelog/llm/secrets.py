@@ -44,8 +44,8 @@ SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.8, "secret": 1.0, "token": 0.9, "apikey": 0.9, "accesskey": 0.9,
     "privatekey": 1.0, "credential": 0.9, "authkey": 0.8, "encryptionkey": 0.9, "signingkey": 0.9, "clientkey": 0.7,
 }
-#: Any of these in a lower-case text is needed for a sensitive name in it.
-HINTS = ("passw", "passphrase", "pwd", "secret", "token", "key", "credential")
+#: All bytes but those that ``name_score`` looks at.
+_SEPARATORS = bytes(b for b in range(256) if not (48 <= b <= 57 or 97 <= b <= 122))
 PLACEHOLDER = re.compile(r"^(x+|\*+|\.+|changeme|example|password|passwd|secret|token|none|null|true|false|undefined|todo|your.*|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*\)s)$", re.IGNORECASE)
 LEAST_SCORE = 0.5
 
@@ -78,6 +78,13 @@ def name_score(name: str) -> float:
     return max((s for part, s in SENSITIVE.items() if part in flat), default=0.0)
 
 
+def may_hold_names(text: str) -> bool:
+    """False only if no name in the text can score: what names lose before they
+    are looked at, separators, the whole text loses here."""
+    flat = text.lower().encode("ascii", "ignore").translate(None, _SEPARATORS)
+    return any(part.encode() in flat for part in SENSITIVE)
+
+
 def literal_score(value: str) -> float:
     """How much a literal looks like a secret: length, kinds of characters, entropy."""
     if len(value) < LEAST_ASSIGNED or PLACEHOLDER.match(value) or any(c.isspace() for c in value):
@@ -203,9 +210,8 @@ def scan(text: str | None) -> list[dict]:
     """All spans of a text, by start, then kind as listed, then end."""
     if not text:
         return []
-    lower = text.lower()
     spans: list[tuple[int, int, int, float, str]] = []
-    if any(h in lower for h in HINTS):
+    if may_hold_names(text):
         held = [(m.start(), m.end(), m.group(1)) for m in ASSIGN.finditer(text) if len(m.group(2)) >= LEAST_ASSIGNED]
         spans += [(s, 0, e, name_score(name) * max(LEAST_SCORE, literal_score(text[s:e])), name) for s, e, name in held]
         at = 0
