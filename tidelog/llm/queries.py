@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import html, langid, lm, pieces, pii, secrets, setsketch, tiling, topk, toxicity
+from . import html, langid, licenses, lm, negatives, pieces, pii, prefixes, secrets, setsketch, tiling, topk, toxicity
 from .common import in_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,32 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(pii.find_pii(table(spark, sf_dir, "documents")), {k: f"n_{k}" for k in ("email", "ip", "card", "phone")})
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(negatives.labelled(table(spark, sf_dir, "embeddings"), label), F.col("vec_id") % 100 == 0)
+
+
+def _labels(detections: Column) -> Column:
+    """Distinct labels of detections, sorted, comma-joined."""
+    return F.array_join(F.array_sort(F.array_distinct(F.transform(detections, lambda d: d["label"]))), ",")
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(table(spark, sf_dir, "documents")).withColumn("places", F.filter("detections", lambda d: d["base"]))
+    starts = F.transform("places", lambda d: d["start"].cast("long"))
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        _labels(F.col("places")).alias("base_labels"), _labels(F.col("detections")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("detections", lambda d: d["confidence"])), F.lit(0.0)).alias("score"),
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rebuilt, lengths = prefixes.rebuilt_turns(prefixes.ordered_turns(table(spark, sf_dir, "conversations")))
+    nodes = prefixes.prefix_trie(rebuilt, lengths)
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved").alias("saved_tokens"), "ends_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
@@ -88,6 +114,9 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_pii": op10_pii,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_license_scan": op12_license_scan,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -107,6 +136,87 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores
 )
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+""",
+    "op11_hard_negatives": r"""
+WITH vectors AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+  SELECT a.vec_id AS anchor_id, a.v AS av, a.label AS al, c.vec_id, c.label = a.label AS same,
+         CAST(list_dot_product(CAST(a.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM vectors a JOIN vectors c ON len(a.v) = len(c.v) AND (a.vec_id <> c.vec_id OR a.label <> c.label OR a.v <> c.v)
+  WHERE a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id, av, al ORDER BY score DESC, vec_id) AS place FROM scores WHERE same)
+  WHERE place <= 5
+),
+ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.av, p.al, p.place ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND s.av = p.av AND s.al = p.al AND NOT s.same
+   AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+""",
+    "op13_prefix_trie": r"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(md5(coalesce(role, '')) || coalesce(text, ''))) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (SELECT c, count(*) AS n FROM turns GROUP BY c),
+-- crc32 of the decimal id: bytes go in, then eight shifts each.
+steps AS (
+  SELECT c, n, list_concat([4294967295], flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+    lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))) AS s
+  FROM convs
+),
+plan AS (
+  SELECT c, n, c - c % 5 AS first,
+         xor(list_reduce(s, lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN (a & 1) = 1 THEN xor((a >> 1), 3988292384) ELSE (a >> 1) END), 4294967295) % 9 AS h
+  FROM steps
+),
+planned AS (
+  SELECT p.*, least(p.h, coalesce(b.n, 0)) AS taken FROM plan p LEFT JOIN convs b ON b.c = p.first
+),
+rebuilt AS (
+  SELECT p.c, t.place + 1 AS d, t.role, t.text FROM planned p JOIN turns t ON t.c = p.first AND t.place < p.taken
+  UNION ALL
+  SELECT p.c, t.place - p.h + p.taken + 1, t.role, t.text FROM planned p JOIN turns t ON t.c = p.c AND t.place >= p.h
+),
+sequences AS (
+  SELECT c, d, strlen(text) AS bytes, list(md5(md5(role) || text)) OVER (PARTITION BY c ORDER BY d) AS so_far FROM rebuilt
+),
+rows AS (
+  SELECT c, d, bytes, md5(array_to_string(so_far, ',')) AS node, CASE WHEN d = 1 THEN 'root' ELSE md5(array_to_string(so_far[:d - 1], ',')) END AS parent
+  FROM sequences
+  UNION ALL
+  SELECT c, 0, 0, 'root', NULL FROM convs
+),
+lengths AS (SELECT c, max(d) AS length FROM rows GROUP BY c),
+nodes AS (
+  SELECT node, any_value(parent) AS parent, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS own
+  FROM rows GROUP BY node
+),
+children AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+ends AS (
+  SELECT node, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS digest FROM rows JOIN lengths USING (c) WHERE d = length GROUP BY node
+),
+below AS (
+  SELECT r.node, count(*) FILTER (children.n IS NULL) AS leaves, sum(v.own) AS saved
+  FROM nodes v LEFT JOIN children ON children.node = v.node JOIN rows r ON r.c = v.conv_id AND r.d <= v.depth
+  GROUP BY r.node
+)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(children.n, 0) AS n_children,
+       below.leaves AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, coalesce(ends.digest, sha256('')) AS ends_sha256
+FROM nodes v JOIN below ON below.node = v.node LEFT JOIN nodes p ON p.node = v.parent
+LEFT JOIN children ON children.node = v.node LEFT JOIN ends ON ends.node = v.node
 """,
     "op6_near_duplicates": r"""
 WITH RECURSIVE words AS (
