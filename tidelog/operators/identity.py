@@ -1,18 +1,27 @@
 """Identity resolution by connected components (G1–G4, J5).
 
 G1 vertices: the non-blank identifiers of every row. G2 edges: the row's first
-identifier to each of the others. G3 components: every vertex starts with the
-smallest identifier among itself and its neighbours; in each round it takes the
-smallest label of its neighbours, then the label of its label (pointer
-jumping), until no label changes. A component's label is its smallest
-identifier, and rounds grow with the logarithm of its width.
-
-Scale notes: labels and edges are stored in the shared checkpoint folder, each
-round once, and the round before is deleted; nothing stays in storage memory,
-and a lost executor costs at most one round. Both joins that meet a hot key (the
-edges of a hub, the vertices of a giant component) are between two plain scans,
-the case that Spark's skew join splits; the groupings by vertex aggregate before
-their shuffle. No step collects a component into one row or one task.
+identifier to each of the others. G3 components by edge contraction. Identifiers
+become numbers once; then, every round,
+
+1. each vertex that still has edges hooks to the least of itself and its neighbours,
+   in an order that is hashed anew every round, and then to what that one hooks to;
+2. the ends of all edges are renamed to what they hook to, and loops and repeats go.
+
+The renamed graph has the same components, and only vertices that some neighbourhood
+has as its least one are left: of a path less than half, of a hub's neighbours hardly
+any. So vertices and edges fall by a constant factor, and rounds grow with the
+logarithm of the number of vertices, whatever names the vertices have and however long
+the paths are. In the end the hooks of all rounds are followed, from the last and
+smallest round to the first, and a component is named by its smallest identifier.
+
+Scale notes: each round works on the edges that are left, so all rounds together cost
+a small multiple of the first, on two numbers an edge. Hooks and edges are stored in
+the shared checkpoint folder, each deleted as soon as its successor is stored; nothing
+stays in storage memory, and a lost executor costs at most one round. Joins that meet a
+hot key (the edges of a hub) are between two plain scans, the case that Spark's skew
+join splits; groupings by vertex aggregate before their shuffle. No step collects a
+component into one row or one task.
 """
 
 from __future__ import annotations
@@ -20,13 +29,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.text import non_blank_array
 from tidelog.session import remove_path, scratch_path, stored
 
 
+# Vertices are numbered with so many bits; the rest of a long holds their hash.
+NUMBER_BITS = 40
+
+
 class Components(NamedTuple):
     labels: DataFrame  # (id, component)
     sizes: DataFrame  # (component, n_members)
@@ -53,38 +66,82 @@ def star_edges(id_arrays: DataFrame) -> DataFrame:
     )
 
 
-def _both_ways(edges: DataFrame) -> DataFrame:
-    """Edges as (src, dst) and (dst, src); loops and repeats removed."""
-    ends = edges.where(F.col("src") != F.col("dst")).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
-    return ends.unionByName(ends.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+def _simple(edges: DataFrame) -> DataFrame:
+    """Edges without loops and repeats, either direction counting as one."""
+    ends = edges.where(F.col("src") != F.col("dst"))
+    return ends.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+
+
+def _numbered(ids: DataFrame, path: str) -> DataFrame:
+    """(id, number): the rows numbered from 0 on without gaps, stored at ``path``."""
+    spark = ids.sparkSession
+    rows = stored(ids.select("id", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row")), f"{path}-rows")
+    # One row for each part that was written: few, so one task may add them up.
+    parts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    out = stored(rows.join(F.broadcast(starts), "part").select("id", (F.col("row") + F.col("shift")).alias("number")), path)
+    remove_path(spark, f"{path}-rows")
+    return out
+
+
+def _in_order(name: str, step: int) -> Column:
+    """A vertex as one number to compare by: a hash that changes from round to round,
+    above the vertex's own number."""
+    return F.shiftleft(F.xxhash64(F.lit(step), name), NUMBER_BITS).bitwiseOR(F.col(name))
+
+
+def _hooks(edges: DataFrame, step: int) -> DataFrame:
+    """(id, up): every vertex with edges and the least of itself and its neighbours."""
+    low, high = _in_order("src", step), _in_order("dst", step)
+    ways = F.array(F.struct(F.col("src").alias("id"), F.least(low, high).alias("up")), F.struct(F.col("dst").alias("id"), F.least(low, high).alias("up")))
+    least = edges.select(F.inline(ways)).groupBy("id").agg(F.min("up").alias("up"))
+    return least.select("id", F.col("up").bitwiseAND((1 << NUMBER_BITS) - 1).alias("up"))
+
+
+def contract(edges: DataFrame, base: str) -> DataFrame:
+    """(src, dst) numbers -> (id, root): for every vertex with an edge one and the
+    same vertex of its component. Tables of the run lie below ``base``."""
+    spark = edges.sparkSession
+    left = stored(_simple(edges), f"{base}/edges-0")
+    hooks: list[DataFrame] = []
+    while not left.isEmpty():
+        step = len(hooks) + 1
+        near = _hooks(left, step)
+        # What a vertex hooks to is a vertex with edges itself.
+        up = stored(near.join(near.toDF("up", "further"), "up").select("id", F.col("further").alias("up")), f"{base}/hooks-{step}")
+        one, two = up.toDF("src", "src_up"), up.toDF("dst", "dst_up")
+        renamed = left.join(one, "src").join(two, "dst").select(F.col("src_up").alias("src"), F.col("dst_up").alias("dst"))
+        left = stored(_simple(renamed), f"{base}/edges-{step}")
+        remove_path(spark, f"{base}/edges-{step - 1}")
+        hooks.append(up)
+    # What a round's vertices hook to are the vertices of the next round, but for
+    # those without edges by then: these are roots.
+    rooted, held = left.toDF("id", "root"), f"{base}/edges-{len(hooks)}"
+    for step in range(len(hooks), 0, -1):
+        found = hooks[step - 1].join(rooted.toDF("up", "root"), "up", "left").select("id", F.coalesce("root", "up").alias("root"))
+        rooted = stored(found, f"{base}/roots-{step}")
+        remove_path(spark, held)
+        remove_path(spark, f"{base}/hooks-{step}")
+        held = f"{base}/roots-{step}"
+    return rooted
 
 
 def connected_components(vertex_ids: DataFrame, edges: DataFrame) -> DataFrame:
     """(id) vertices + (src, dst) edges -> (id, component = smallest id)."""
     spark = edges.sparkSession
     base = scratch_path(spark, "components")
-    e = stored(_both_ways(edges), f"{base}/edges")
-    labels = stored(e.groupBy("src").agg(F.min("dst").alias("low")).select(F.col("src").alias("id"), F.least("src", "low").alias("component")), f"{base}/0")
-    step = 0
-    while True:
-        step += 1
-        heard = e.join(labels, e["src"] == labels["id"]).groupBy("dst").agg(F.min("component").alias("heard"))
-        lowered = stored(
-            labels.join(heard, labels["id"] == heard["dst"]).select("id", F.col("component").alias("before"), F.least("component", "heard").alias("component")),
-            f"{base}/{step}-lowered",
-        )
-        target = lowered.select(F.col("id").alias("target"), F.col("component").alias("further"))
-        jumped = stored(
-            lowered.join(target, lowered["component"] == target["target"]).select("id", "before", F.least("component", "further").alias("component")),
-            f"{base}/{step}",
-        )
-        labels = jumped.select("id", "component")
-        done = jumped.where(F.col("before") != F.col("component")).isEmpty()
-        remove_path(spark, f"{base}/{step - 1}")
-        remove_path(spark, f"{base}/{step}-lowered")
-        if done:
-            remove_path(spark, f"{base}/edges")
-            return vertex_ids.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    named = stored(_simple(edges), f"{base}/named")
+    numbers = _numbered(named.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), f"{base}/numbers")
+    one, two = numbers.toDF("src", "src_number"), numbers.toDF("dst", "dst_number")
+    plain = named.join(one, "src").join(two, "dst").select(F.col("src_number").alias("src"), F.col("dst_number").alias("dst"))
+    rooted = contract(plain, base).toDF("number", "root")
+    remove_path(spark, f"{base}/named")
+    members = stored(numbers.join(rooted, "number").select("id", "root"), f"{base}/members")
+    remove_path(spark, f"{base}/numbers")
+    names = members.groupBy("root").agg(F.min("id").alias("component"))
+    labels = members.join(names, "root").select("id", "component")
+    return vertex_ids.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
 def resolve_identities(rows: DataFrame, id_cols: Sequence[str], typed: bool = False) -> Components:
