@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(__file__))
 import brute  # noqa: E402
 
-from tidelog.llm import licenses, negatives, prefixes, queries, scan  # noqa: E402
+from tidelog.llm import components, licenses, negatives, prefixes, queries, scan, setsketch  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -246,3 +246,25 @@ def test_double_array_holds_all_paths():
     assert all(len(slots[p]) == len(p) for p in prefixes_of)
     assert len({s[-1] for s in slots.values()}) == len(prefixes_of) == len(trie.order) - 1
     assert trie.walk([41, 1]) == []
+
+
+# --- components and repeated ids --------------------------------------------
+
+
+def test_long_chain_takes_few_rounds(spark, monkeypatch):
+    made = []
+    hooks = components._hooks
+    monkeypatch.setattr(components, "_hooks", lambda links, step: made.append(step) or hooks(links, step))
+    order = [*range(2, 3001), 1]
+    links = spark.createDataFrame(list(zip(order, order[1:])) + [(7, None), (9000, 9000), (8001, 8002)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components.connected_components(links).collect()}
+    assert got == {i: 1 for i in range(1, 3001)} | {8001: 8001, 8002: 8001} and len(made) <= 20
+
+
+def test_texts_of_one_id_are_one_document(spark):
+    a, b, c = ("one two three four five six", "red green blue black white grey", "un deux trois quatre cinq six")
+    rows = [(3, a), (5, a), (5, b), (9, b), (11, c), (11, None), (12, c), (12, ""), (4, "")]
+    got = setsketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got) == [
+        (3, 3, True), (4, 4, True), (5, 3, False), (5, 3, False), (9, 3, False), (11, 11, True), (11, 11, True), (12, 11, False), (12, 11, False),
+    ]

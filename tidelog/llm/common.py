@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import sys
 import uuid
 from collections.abc import Callable, Iterator
@@ -59,7 +60,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
 
@@ -74,7 +75,18 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_stored_at"] = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table that ``materialize`` wrote for ``df``, once nothing reads it
+    any more. Other DataFrames are left alone."""
+    path = df.__dict__.pop("_stored_at", None)
+    if path:
+        target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def of_this_process(name: str) -> dict:

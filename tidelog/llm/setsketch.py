@@ -21,7 +21,8 @@ the register-wise maximum, and equal sets agree in every register. Steps:
 
 Defined results: null text or text without words has an empty set, size 0, and
 is linked with nothing. Rows with null doc_id are returned with a null component.
-Rows that share a doc_id count as that one document. Extra columns are ignored.
+Rows that share a doc_id count as that one document: what any of its texts is linked
+with, it is linked with, and all its rows have one component. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -189,6 +190,15 @@ def _crossing(unsettled: DataFrame, documents: DataFrame, threshold: float, shin
     return met.where(fits).select(F.greatest("a_rep", "b_rep").alias("a"), F.least("a_rep", "b_rep").alias("b")).distinct()
 
 
+def _of_one_id(with_set: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of documents that have several texts."""
+    texts = with_set.groupBy("doc_id").agg(F.min("set_key").alias("one"), F.max("set_key").alias("other"))
+    several = materialize(texts.where("one != other").select("doc_id"))
+    held = materialize(with_set.join(several, "doc_id").select("doc_id", "set_key").distinct().join(classes.select("set_key", "rep"), "set_key").select("doc_id", "rep"))
+    least = held.groupBy("doc_id").agg(F.min("rep").alias("b"))
+    return held.join(materialize(least), "doc_id").where("rep != b").select(F.col("rep").alias("a"), "b").distinct()
+
+
 def near_duplicates(documents: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``documents``.
 
@@ -210,7 +220,7 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, shingle: int =
     led = materialize(members.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket", "leader"))
     shared = materialize(members.join(led, "bucket"))
     first = materialize(_plausible(shared.where("rep != leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct(), classes, threshold))
-    links = materialize(_confirmed(first, documents, threshold, shingle))
+    links = materialize(_confirmed(first, documents, threshold, shingle).unionByName(_of_one_id(with_set, classes)))
     labels = connected_components(links)
 
     labelled = materialize(shared.join(labels, F.col("rep") == F.col("node"), "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component")))
@@ -221,7 +231,11 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, shingle: int =
     more = materialize(_confirmed(second, documents, threshold, shingle))
     final = labels if more.isEmpty() else connected_components(links.unionByName(more))
 
-    of_set = classes.select("set_key", "rep").join(final, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
-    named = sketched.select("doc_id", "n_shingles", "set_key").join(materialize(of_set), "set_key", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    of_set = materialize(classes.select("set_key", "rep").join(final, F.col("rep") == F.col("node"), "left").select("set_key", F.coalesce("component", "rep").alias("component_id")))
+    named = sketched.select("doc_id", "n_shingles", "set_key").join(of_set, "set_key", "left")
+    # A row without words belongs to its document's other rows, if there are any.
+    wordless = materialize(sketched.where("set_key is null and doc_id is not null").select("doc_id").distinct())
+    others = with_set.join(wordless, "doc_id").join(of_set, "set_key").groupBy("doc_id").agg(F.min("component_id").alias("of_others"))
+    named = named.join(materialize(others), "doc_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "of_others", "doc_id"))
     return named.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
