@@ -8,8 +8,11 @@ marker U+2581, with one before the text; decoding turns them back. A U+2581 in
 the text itself goes on as bytes, so decoding gives back every text exactly.
 
 No piece holds a marker behind another character, nor a line break (checked when
-the model is read), so texts fall apart into words before the search, and the
-answer for a word is remembered, for a bounded number of words.
+the model is read), so texts fall apart into words before the search. The new words
+of a batch are searched all at once: every place of every word goes down the trie in
+step with the others, on numpy arrays, and the best paths to all places of one
+distance from their word's start are found together. Answers are remembered, for a
+bounded number of words; those not asked for lately are forgotten first.
 
 Defined results: null text counts as empty; an empty text has no ids. Repeated
 rows are encoded alike; extra columns pass through ``with_pieces``.
@@ -20,6 +23,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +36,12 @@ MARK = "▁"
 #: By how much an unknown character is worse than the worst piece.
 UNKNOWN_PENALTY = 10.0
 CACHE_WORDS = 100_000
+#: Characters of texts that are encoded together.
+CHARS_AT_ONCE = 1 << 20
+#: Words of more bytes are searched one by one.
+LONG_WORD = 256
+#: Stand-ins for a line's end and for a marker in the text itself: no word holds "\n".
+LINE_END, OWN_MARK = "\n", "\n" + MARK
 
 
 _SURELY = float("-inf")
@@ -95,7 +105,8 @@ class Pieces:
     byte_ids: list[int]
     unknown_score: float
     name: str
-    cache: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
+    recent: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
+    older: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
 
     def search(self, data: bytes) -> list[int]:
         """The best path over the pieces of ``data``; of equal ones the path
@@ -135,35 +146,144 @@ class Pieces:
         out.reverse()
         return out
 
-    def word(self, word: str) -> tuple[int, ...]:
-        known = self.cache.get(word)
-        if known is None:
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            known = self.cache[word] = tuple(self.search(word.encode("utf-8")))
-        return known
+    def edges(self, flat: np.ndarray, word_end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, piece) of all pieces in the words whose bytes are ``flat``,
+        and with piece -1 the characters that are no piece themselves."""
+        base, check, value = self._arrays()
+        first = flat
+        width = np.where(first < 0x80, 1, np.where(first < 0xE0, 2, np.where(first < 0xF0, 3, 4)))
+        single = (first & 0xC0) == 0x80  # bytes inside a character begin nothing
+        starts, ends, pieces = [], [], []
+        start = np.flatnonzero(~single)
+        at, node = start, np.zeros(len(start), np.int64)
+        while len(start):
+            child = base[node] + flat[at] + 1
+            known = (base[node] >= 0) & (check[child] == node)
+            start, at, node = start[known], at[known] + 1, child[known]
+            piece = value[node]
+            hit = piece >= 0
+            starts.append(start[hit])
+            ends.append(at[hit])
+            pieces.append(piece[hit])
+            single[start[hit & (at - start == width[start])]] = True
+            on = at < word_end[start]
+            start, at, node = start[on], at[on], node[on]
+        unknown = np.flatnonzero(~single)
+        return np.concatenate([*starts, unknown]), np.concatenate([*ends, unknown + width[unknown]]), np.concatenate([*pieces, np.full(len(unknown), -1)])
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+    def _arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The trie as numpy arrays, made once in a process."""
+        held = of_this_process("piece_arrays")
+        if self.name not in held:
+            held[self.name] = tuple(np.array(a, dtype=np.int64) for a in (self.trie.base, self.trie.check, self.trie.value))
+        return held[self.name]
+
+    def search_all(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """What ``search`` finds for each of the words, found together."""
+        lengths = np.array([len(w) for w in words], dtype=np.int64)
+        offsets = np.concatenate(([0], np.cumsum(lengths)))
+        flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        word = np.repeat(np.arange(len(words)), lengths)
+        start, end, piece = self.edges(flat, offsets[1:][word])
+        scores = np.where(piece >= 0, np.array(self.scores)[piece], self.unknown_score)
+        # A word of n bytes has n + 1 places, so places are numbered apart from bytes.
+        own = word[start]
+        distance = end - offsets[own]
+        order = np.lexsort((start, end, distance))
+        start, piece, scores, distance = start[order] + own[order], piece[order], scores[order], distance[order]
+        end = end[order] + own[order]
+        best = np.full(len(flat) + len(words), _SURELY)
+        best[offsets[:-1] + np.arange(len(words))] = 0.0
+        back, by = np.zeros(len(best), np.int64), np.full(len(best), -1, np.int64)
+        bounds = np.searchsorted(distance, np.arange(1, (int(lengths.max()) if len(words) else 0) + 2))
+        for low, high in zip(bounds, bounds[1:]):
+            if low == high:
+                continue
+            to = end[low:high]
+            first = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1])))
+            so_far = best[start[low:high]] + scores[low:high]
+            most = np.maximum.reduceat(so_far, first)
+            group = np.repeat(np.arange(len(first)), np.diff(np.append(first, high - low)))
+            winners = np.flatnonzero(so_far == most[group])
+            winners = winners[np.concatenate(([True], np.diff(group[winners]) > 0))]  # of equal ones the earliest start
+            best[to[first]], back[to[first]], by[to[first]] = most, start[low:high][winners], piece[low:high][winners]
+        return self._paths(words, offsets, back.tolist(), by.tolist())
+
+    def _paths(self, words: list[bytes], offsets: np.ndarray, back: list[int], by: list[int]) -> list[tuple[int, ...]]:
+        out = []
+        for number, data in enumerate(words):
+            first = int(offsets[number]) + number
+            at, ids = first + len(data), []
+            while at > first:
+                start = back[at]
+                if by[at] >= 0:
+                    ids.append(by[at])
+                else:
+                    ids += [self.byte_ids[b] for b in reversed(data[start - first : at - first])]
+                at = start
+            ids.reverse()
+            out.append(tuple(ids))
+        return out
+
+    def words(self, text: str) -> list[str]:
+        """The text's words, each with the markers before it, and stand-ins."""
+        out: list[str] = []
         if not text:
             return out
-        mark_ids = [self.byte_ids[b] for b in MARK.encode()]
         for n, part in enumerate(text.split(MARK)):
             if n:
-                out += mark_ids
+                out.append(OWN_MARK)
             for line_number, line in enumerate(part.split("\n")):
                 if line_number:
-                    out.append(self.byte_ids[10])
+                    out.append(LINE_END)
                 marks = 0 if line_number or n else 1  # one marker stands before the text
                 for word_number, word in enumerate(line.split(" ")):
                     marks += word_number > 0
                     if word:
-                        out += self.cache.get(key := MARK * marks + word) or self.word(key)
+                        out.append(MARK * marks + word)
                         marks = 0
                 if marks:
-                    out += self.word(MARK * marks)
+                    out.append(MARK * marks)
         return out
 
+    def _ids_of(self, wanted: set[str]) -> dict[str, tuple[int, ...]]:
+        """The ids of all these words, of which the new ones are searched."""
+        found = {LINE_END: (self.byte_ids[10],), OWN_MARK: tuple(self.byte_ids[b] for b in MARK.encode())}
+        new = []
+        for word in wanted - found.keys():
+            ids = self.recent.get(word) or self.older.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                found[word] = ids
+                self.recent[word] = ids
+        coded = [(w, w.encode("utf-8")) for w in new]
+        short = [(w, d) for w, d in coded if len(d) <= LONG_WORD]
+        answers = {w: ids for (w, _), ids in zip(short, self.search_all([d for _, d in short]))}
+        found |= answers
+        self.recent |= answers
+        found |= {w: tuple(self.search(d)) for w, d in coded if len(d) > LONG_WORD}
+        if len(self.recent) >= CACHE_WORDS // 2:
+            self.recent, self.older = {}, self.recent
+        return found
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each text; texts of CHARS_AT_ONCE characters go together."""
+        out: list[list[int]] = []
+        group: list[list[str]] = []
+        size = 0
+        for n, text in enumerate(texts):
+            group.append(self.words(text))
+            size += len(text)
+            if size >= CHARS_AT_ONCE or n == len(texts) - 1:
+                ids = self._ids_of(set(chain.from_iterable(group)))
+                out += [list(chain.from_iterable(map(ids.__getitem__, words))) for words in group]
+                group, size = [], 0
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all([text])[0]
+
     def decode(self, ids: list[int]) -> str:
         texts = self.texts
         text = b"".join([texts[i] for i in ids]).decode("utf-8")
@@ -211,14 +331,11 @@ def with_pieces(documents: DataFrame, path: str = MODEL_PATH) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = _shared(pieces)
-        flat, offsets, exact = [], [0], []
-        total = 0
-        for text in batch.column("text").to_pylist():
-            ids = own.encode(text or "")
-            flat.append(np.array(ids, dtype=np.int32))
-            total += len(ids)
-            offsets.append(total)
-            exact.append(own.decode(ids) == (text or ""))
+        texts = [t or "" for t in batch.column("text").to_pylist()]
+        coded = own.encode_all(texts)
+        exact = [own.decode(ids) == text for ids, text in zip(coded, texts)]
+        flat = [np.array(ids, dtype=np.int32) for ids in coded] or [np.zeros(0, np.int32)]
+        offsets = np.concatenate(([0], np.cumsum([len(ids) for ids in coded]))).astype(np.int32)
         arrays = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(flat), pa.int32()))
         counts = pa.array(np.diff(offsets), pa.int64())
         return pa.RecordBatch.from_arrays([*batch.columns, arrays, counts, pa.array(exact, pa.bool_())], names=[*batch.schema.names, "ids", "n_tokens", "round_trip"])
