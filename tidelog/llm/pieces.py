@@ -97,6 +97,31 @@ class Trie:
         return Trie(base, check, value)
 
 
+@dataclass
+class Answers:
+    """The ids of words, one after another: those of the word in row i are
+    ids[starts[i] : starts[i] + counts[i]]."""
+
+    rows: dict[str, int]
+    ids: np.ndarray
+    counts: np.ndarray
+
+    @staticmethod
+    def none() -> "Answers":
+        return Answers({}, np.zeros(0, np.int32), np.zeros(0, np.int64))
+
+    def taken(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, counts) of the given rows, in their order."""
+        starts = np.cumsum(self.counts) - self.counts
+        counts = self.counts[rows]
+        before = np.cumsum(counts) - counts
+        return self.ids[np.repeat(starts[rows] - before, counts) + np.arange(int(counts.sum()))], counts
+
+    def add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        self.rows.update(zip(words, range(len(self.rows), len(self.rows) + len(words))))
+        self.ids, self.counts = np.concatenate((self.ids, ids.astype(np.int32))), np.concatenate((self.counts, counts))
+
+
 @dataclass
 class Pieces:
     trie: Trie
@@ -105,8 +130,8 @@ class Pieces:
     byte_ids: list[int]
     unknown_score: float
     name: str
-    recent: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
-    older: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False)
+    recent: "Answers" = field(default_factory=lambda: Answers.none(), repr=False)
+    older: "Answers" = field(default_factory=lambda: Answers.none(), repr=False)
 
     def search(self, data: bytes) -> list[int]:
         """The best path over the pieces of ``data``; of equal ones the path
@@ -178,8 +203,9 @@ class Pieces:
             held[self.name] = tuple(np.array(a, dtype=np.int64) for a in (self.trie.base, self.trie.check, self.trie.value))
         return held[self.name]
 
-    def search_all(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """What ``search`` finds for each of the words, found together."""
+    def search_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """What ``search`` finds for each of the words, found together: all ids, one
+        word after another, and how many each word has."""
         lengths = np.array([len(w) for w in words], dtype=np.int64)
         offsets = np.concatenate(([0], np.cumsum(lengths)))
         flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
@@ -207,23 +233,36 @@ class Pieces:
             winners = np.flatnonzero(so_far == most[group])
             winners = winners[np.concatenate(([True], np.diff(group[winners]) > 0))]  # of equal ones the earliest start
             best[to[first]], back[to[first]], by[to[first]] = most, start[low:high][winners], piece[low:high][winners]
-        return self._paths(words, offsets, back.tolist(), by.tolist())
-
-    def _paths(self, words: list[bytes], offsets: np.ndarray, back: list[int], by: list[int]) -> list[tuple[int, ...]]:
-        out = []
-        for number, data in enumerate(words):
-            first = int(offsets[number]) + number
-            at, ids = first + len(data), []
-            while at > first:
-                start = back[at]
-                if by[at] >= 0:
-                    ids.append(by[at])
-                else:
-                    ids += [self.byte_ids[b] for b in reversed(data[start - first : at - first])]
-                at = start
-            ids.reverse()
-            out.append(tuple(ids))
-        return out
+        return self._paths(flat, offsets, back, by)
+
+    def _paths(self, flat: np.ndarray, offsets: np.ndarray, back: np.ndarray, by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The best paths of all words, followed back from their ends in step."""
+        n = len(offsets) - 1
+        word, first = np.arange(n), offsets[:-1] + np.arange(n)
+        at = offsets[1:] + word
+        word = word[at > first]
+        at = at[word]
+        taken = []
+        while len(word):
+            start = back[at]
+            taken.append((word, by[at], start - word, at - start))
+            on = start > first[word]
+            word, at = word[on], start[on]
+        if not taken:
+            return np.zeros(0, np.int64), np.zeros(n, np.int64)
+        steps = np.zeros(n, np.int64)
+        for w, *_ in taken:
+            steps[w] += 1
+        # A word's step k, counted from its end, is k places before its last one.
+        last = np.cumsum(steps) - 1
+        piece, byte, count = (np.zeros(int(steps.sum()), np.int64) for _ in range(3))
+        owner = np.repeat(np.arange(n), steps)
+        for k, (w, p, b, width) in enumerate(taken):
+            piece[last[w] - k], byte[last[w] - k], count[last[w] - k] = p, b, np.where(p >= 0, 1, width)
+        which = np.repeat(np.arange(len(piece)), count)
+        k = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+        ids = np.where(piece[which] >= 0, piece[which], np.array(self.byte_ids)[flat[np.minimum(byte[which] + k, len(flat) - 1)]])
+        return ids, np.bincount(owner, weights=count, minlength=n).astype(np.int64)
 
     def words(self, text: str) -> list[str]:
         """The text's words, each with the markers before it, and stand-ins."""
@@ -246,43 +285,49 @@ class Pieces:
                     out.append(MARK * marks)
         return out
 
-    def _ids_of(self, wanted: set[str]) -> dict[str, tuple[int, ...]]:
-        """The ids of all these words, of which the new ones are searched."""
-        found = {LINE_END: (self.byte_ids[10],), OWN_MARK: tuple(self.byte_ids[b] for b in MARK.encode())}
-        new = []
-        for word in wanted - found.keys():
-            ids = self.recent.get(word) or self.older.get(word)
-            if ids is None:
-                new.append(word)
+    def _learn(self, wanted: set[str]) -> None:
+        """Afterwards ``recent`` holds all these words, of which the new are searched."""
+        if len(self.recent.rows) >= CACHE_WORDS // 2:
+            self.recent, self.older = Answers.none(), self.recent
+        missing = [w for w in wanted if w not in self.recent.rows]
+        again = [w for w in missing if w in self.older.rows]
+        self.recent.add(again, *self.older.taken(np.array([self.older.rows[w] for w in again], dtype=np.int64)))
+        fixed = {LINE_END: [self.byte_ids[10]], OWN_MARK: [self.byte_ids[b] for b in MARK.encode()]}
+        short, short_data = [], []
+        for word in missing:
+            if word in self.older.rows:
+                continue
+            data = word.encode("utf-8")
+            if word in fixed or len(data) > LONG_WORD:
+                ids = fixed.get(word) or self.search(data)
+                self.recent.add([word], np.array(ids), np.array([len(ids)]))
             else:
-                found[word] = ids
-                self.recent[word] = ids
-        coded = [(w, w.encode("utf-8")) for w in new]
-        short = [(w, d) for w, d in coded if len(d) <= LONG_WORD]
-        answers = {w: ids for (w, _), ids in zip(short, self.search_all([d for _, d in short]))}
-        found |= answers
-        self.recent |= answers
-        found |= {w: tuple(self.search(d)) for w, d in coded if len(d) > LONG_WORD}
-        if len(self.recent) >= CACHE_WORDS // 2:
-            self.recent, self.older = {}, self.recent
-        return found
-
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
-        """The ids of each text; texts of CHARS_AT_ONCE characters go together."""
-        out: list[list[int]] = []
+                short.append(word)
+                short_data.append(data)
+        self.recent.add(short, *self.search_all(short_data))
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after another, and how many each has; texts
+        of CHARS_AT_ONCE characters go together."""
+        found, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         group: list[list[str]] = []
         size = 0
         for n, text in enumerate(texts):
             group.append(self.words(text))
             size += len(text)
             if size >= CHARS_AT_ONCE or n == len(texts) - 1:
-                ids = self._ids_of(set(chain.from_iterable(group)))
-                out += [list(chain.from_iterable(map(ids.__getitem__, words))) for words in group]
+                self._learn(set(chain.from_iterable(group)))
+                rows = np.fromiter(map(self.recent.rows.__getitem__, chain.from_iterable(group)), np.int64)
+                ids, lengths = self.recent.taken(rows)
+                upto = np.concatenate(([0], np.cumsum(lengths)))
+                ends = np.cumsum([len(words) for words in group])
+                found.append(ids)
+                counts.append(np.diff(np.concatenate(([0], upto[ends]))))
                 group, size = [], 0
-        return out
+        return np.concatenate(found), np.concatenate(counts)
 
     def encode(self, text: str) -> list[int]:
-        return self.encode_all([text])[0]
+        return self.encode_all([text])[0].tolist()
 
     def decode(self, ids: list[int]) -> str:
         texts = self.texts
@@ -332,12 +377,11 @@ def with_pieces(documents: DataFrame, path: str = MODEL_PATH) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = _shared(pieces)
         texts = [t or "" for t in batch.column("text").to_pylist()]
-        coded = own.encode_all(texts)
-        exact = [own.decode(ids) == text for ids, text in zip(coded, texts)]
-        flat = [np.array(ids, dtype=np.int32) for ids in coded] or [np.zeros(0, np.int32)]
-        offsets = np.concatenate(([0], np.cumsum([len(ids) for ids in coded]))).astype(np.int32)
-        arrays = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(flat), pa.int32()))
-        counts = pa.array(np.diff(offsets), pa.int64())
+        flat, lengths = own.encode_all(texts)
+        offsets = np.concatenate(([0], np.cumsum(lengths)))
+        exact = [own.decode(flat[a:b].tolist()) == text for a, b, text in zip(offsets, offsets[1:], texts)]
+        arrays = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+        counts = pa.array(lengths, pa.int64())
         return pa.RecordBatch.from_arrays([*batch.columns, arrays, counts, pa.array(exact, pa.bool_())], names=[*batch.schema.names, "ids", "n_tokens", "round_trip"])
 
     schema = T.StructType([*df.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())])
