@@ -48,10 +48,17 @@ def interval_label(n: Column | str) -> Column:
 def last_of_each_key(m: Column | str) -> Column:
     """``m`` with one entry per key, the last one given. A JSON object may repeat
     a key; map functions fail on that under the default policy."""
-    entries = F.map_entries(_col(m))
-    # A filter's lambda may take the element's place as its second argument.
-    kept = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
-    return F.map_from_entries(kept)
+    # Sorted by (key, place), an entry is its key's last one if another key follows.
+    # Entries with an equal key need no comparison with all others that way.
+    placed = F.array_sort(F.transform(F.map_entries(_col(m)), lambda e, i: F.struct(e["key"].alias("key"), i.alias("at"), e["value"].alias("value"))))
+
+    def last(sorted_entries: Column) -> Column:
+        kept = F.filter(sorted_entries, lambda e, i: ~e["key"].eqNullSafe(F.get(sorted_entries, i + 1)["key"]))
+        in_order = F.array_sort(F.transform(kept, lambda e: F.struct(e["at"].alias("at"), e["key"].alias("key"), e["value"].alias("value"))))
+        return F.transform(in_order, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+
+    # A one-element array binds the sorted entries, so that they are made once.
+    return F.map_from_entries(F.element_at(F.transform(F.array(placed), last), 1))
 
 
 def map_put(m: Column | str, key: str, value: Column) -> Column:

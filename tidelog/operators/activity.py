@@ -13,6 +13,7 @@ interval data is produced once and aggregated with partial aggregation.
 from __future__ import annotations
 
 import datetime as _dt
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,6 +62,56 @@ def zipper_table(
     return runs.select(user_col, first.alias("first_lg"), "start_dt", end.alias("end_dt"))
 
 
+class DayStep(NamedTuple):
+    """What one day changes: rows are written to the open part (replacing it), and
+    appended to the closed part and the users; the closed part is not read."""
+
+    open: DataFrame  # (user, first_lg, start_dt)
+    closed: DataFrame  # (user, first_lg, start_dt, end_dt), those that ended the day before
+    new_users: DataFrame  # (user, first_lg)
+
+
+def open_part(table: DataFrame, user_col: str = "user_id", sentinel: str = OPEN_END) -> DataFrame:
+    """The open intervals of a table in the zipper form, without their end."""
+    return table.where(F.col("end_dt") == F.lit(_dt.date.fromisoformat(sentinel))).select(user_col, "first_lg", "start_dt")
+
+
+def closed_part(table: DataFrame, user_col: str = "user_id", sentinel: str = OPEN_END) -> DataFrame:
+    return table.where(F.col("end_dt") != F.lit(_dt.date.fromisoformat(sentinel))).select(user_col, "first_lg", "start_dt", "end_dt")
+
+
+def known_users(table: DataFrame, user_col: str = "user_id") -> DataFrame:
+    return table.select(user_col, "first_lg").distinct()
+
+
+def advance_day(open_rows: DataFrame, users: DataFrame, events: DataFrame, day: str | _dt.date, user_col: str = "user_id", ts_col: str = "ts") -> DayStep:
+    """The interval table of yesterday and one ``day`` of events -> today's.
+
+    Open intervals of users who were active go on; the others end the day before;
+    users who were active without an open interval open one, keeping the first day
+    they are known by. Only open intervals, the day's users and the list of known
+    users are read. A day without events closes everything; a day that is run again
+    on yesterday's parts gives the same rows.
+    """
+    day = day if isinstance(day, _dt.date) else _dt.date.fromisoformat(day)
+    of_day = events.where(F.col(user_col).isNotNull() & (F.to_date(ts_col) == F.lit(day)))
+    active = of_day.select(F.col(user_col).alias("_active")).distinct()
+    met = open_rows.join(active, open_rows[user_col] == active["_active"], "full_outer")
+    first = users.select(F.col(user_col).alias("_known"), F.col("first_lg").alias("_first"))
+    opened = met.where(F.col(user_col).isNull()).select("_active").join(first, F.col("_active") == F.col("_known"), "left")
+    fresh = opened.select(F.col("_active").alias(user_col), F.coalesce("_first", F.lit(day)).alias("first_lg"), F.lit(day).alias("start_dt"))
+    going_on = met.where(F.col("_active").isNotNull() & F.col(user_col).isNotNull()).select(user_col, "first_lg", "start_dt")
+    ended = met.where(F.col("_active").isNull()).select(user_col, "first_lg", "start_dt", F.lit(day - _dt.timedelta(days=1)).alias("end_dt"))
+    new = opened.where(F.col("_known").isNull()).select(F.col("_active").alias(user_col), F.lit(day).alias("first_lg"))
+    return DayStep(going_on.unionByName(fresh), ended, new)
+
+
+def assembled(open_rows: DataFrame, closed_rows: DataFrame, user_col: str = "user_id", sentinel: str = OPEN_END) -> DataFrame:
+    """Both parts as one table in the zipper form."""
+    still = open_rows.withColumn("end_dt", F.lit(_dt.date.fromisoformat(sentinel)))
+    return closed_rows.select(user_col, "first_lg", "start_dt", "end_dt").unionByName(still)
+
+
 def close_intervals(
     intervals: DataFrame,
     as_of: str | _dt.date,

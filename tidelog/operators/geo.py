@@ -108,7 +108,7 @@ def enrich_location(
         F.col("geohash").alias("_g5"), *[F.col(c).alias("_a_" + c) for c in AREA_DIC_COLUMNS[1:]]
     )
     keyed = records.withColumn("_g6", geohash(lat, lng, 6)).withColumn("_g5", geohash(lat, lng, 5))
-    joined = lookup_join(lookup_join(keyed, biz, "_g6", max_bytes), area, "_g5", max_bytes)
+    joined = lookup_join(lookup_join(keyed, biz, "_g6", max_bytes), area, "_g5", max_bytes, counted=keyed)
     hit = F.coalesce(F.col("_b_province"), F.lit("")) != ""
     geo = {
         c: F.when(hit, F.coalesce(F.col("_b_" + c), F.lit(""))).otherwise(F.coalesce(F.col("_a_" + c), F.lit("")))

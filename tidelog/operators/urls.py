@@ -1,14 +1,17 @@
 """URL categories (J4 longest-prefix lookup, A9) and the traffic detail table (C4).
 
-Longest prefix match without a nested-loop join, one plan for any dimension:
+Longest prefix match without a nested-loop join and without a row for each length a
+URL may be cut at:
 
 1. the dimension is reduced to one category per prefix (A9);
 2. the distinct URLs of the facts are taken (a partial-aggregated shuffle of
    one column: a URL that makes up a third of all rows costs one row per task);
-3. every URL is cut at each distinct prefix length of the dimension (a scalar
-   subquery; no job while the plan is built, no bound on the lengths) and the
-   cuts are equi-joined to the dimension;
-4. the longest hit per URL wins (``max_by``);
+3. URLs and prefixes are sorted together over range partitions. In that order a
+   prefix comes right before all that begins with it, so one pass with a stack of
+   open prefixes finds each URL's longest one: rows made are URLs plus prefixes;
+4. a prefix may be open from an earlier partition on. A URL that found none in its
+   own has, from earlier ones, just those prefixes that the first key of its
+   partition has too. Such stacks are looked up once per partition, not per URL;
 5. the URLs that matched join back to the facts by ``lookup_join``, which deals
    a hot URL's rows over several tasks; unmatched URLs get the default.
 
@@ -17,6 +20,10 @@ The result equals ``startsWith`` over all prefixes keeping the longest match.
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,14 +54,39 @@ def _distinct_urls(urls: DataFrame, url_col: str) -> DataFrame:
     return urls.select(F.col(url_col).alias("_url")).where(F.col("_url").isNotNull()).distinct()
 
 
+def _open_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, is_url, category) in order -> (_url, _ct, _cut) for every URL: the
+    category of its longest prefix in this partition, or, if there is none, what the
+    URL shares with the partition's first key."""
+    first, stack = None, []
+    for batch in batches:
+        urls, categories, cuts = [], [], []
+        for key, is_url, category in zip(*(c.to_pylist() for c in batch.columns)):
+            first = key if first is None else first
+            while stack and not key.startswith(stack[-1][0]):
+                stack.pop()
+            if not is_url:
+                stack.append((key, category))
+                continue
+            urls.append(key)
+            categories.append(stack[-1][1] if stack else None)
+            cuts.append(None if stack else os.path.commonprefix([first, key]))
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (urls, categories, cuts)], names=["_url", "_ct", "_cut"])
+
+
 def _best_hits(distinct_urls: DataFrame, dim: DataFrame, max_bytes: int) -> DataFrame:
     """(_url, _ct) for the URLs that match some prefix (longest prefix wins)."""
-    d = url_dimension(dim)
-    lengths = d.agg(F.collect_set(F.length("prefix")).alias("n")).scalar()
-    every = distinct_urls.withColumn("_lengths", lengths).select("_url", F.explode("_lengths").alias("_len"))
-    cuts = every.where(F.col("_len") <= F.length("_url")).withColumn("prefix", F.substr("_url", F.lit(1), F.col("_len")))
-    hits = cuts.join(sized_broadcast(d, max_bytes), "prefix")
-    return hits.groupBy("_url").agg(F.max_by("category", "_len").alias("_ct"))
+    # A category that is null is kept apart from no match at all.
+    d = url_dimension(dim).where(F.col("category").isNotNull())
+    keys = distinct_urls.select(F.col("_url").alias("key"), F.lit(True).alias("is_url"), F.lit(None).cast("string").alias("category"))
+    both = keys.unionByName(d.select(F.col("prefix").alias("key"), F.lit(False).alias("is_url"), "category"))
+    found = both.repartitionByRange("key", "is_url").sortWithinPartitions("key", "is_url").mapInArrow(_open_prefixes, "_url string, _ct string, _cut string")
+    # The cuts of a partition are beginnings of its first key: few, whatever the URLs.
+    cuts = found.where("_ct is null and length(_cut) > 0").select("_cut").distinct()
+    starts = cuts.select("_cut", F.explode(F.sequence(F.lit(1), F.length("_cut"))).alias("_len")).withColumn("prefix", F.substr("_cut", F.lit(1), F.col("_len")))
+    carried = starts.join(sized_broadcast(d, max_bytes), "prefix").groupBy("_cut").agg(F.max_by("category", "_len").alias("_ct"))
+    own = found.where("_ct is not null").select("_url", "_ct")
+    return own.unionByName(found.where("_ct is null").select("_url", "_cut").join(carried, "_cut").select("_url", "_ct"))
 
 
 def url_categories(

@@ -9,7 +9,9 @@ filtered by id, or capped except where a limit is the feature (top-k).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from tidelog.operators import activity, geo, identity, keywords, logs, urls, ver
 from tidelog.plans import derive
 from tidelog.plans.pipelines import preprocess_logs
 from tidelog.plans.tables import table
-from tidelog.session import scratch_path
+from tidelog.session import scratch_path, stored
 from tidelog.sources import readers, sinks
 
 # Parameters shared with the oracles (fixed by the bindings, not by the data).
@@ -43,6 +45,29 @@ def activity_zipper(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zipper(spark, sf_dir)
 
 
+# Days that the incremental query adds one by one to the table of the days before.
+DAILY_FROM = "2024-01-26"
+
+
+def activity_zipper_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The interval table of the days before, then day by day what each one changes:
+    open intervals go on, end or begin; ended ones are only ever appended."""
+    events = table(spark, sf_dir, "events")
+    day, last = dt.date.fromisoformat(DAILY_FROM), dt.date.fromisoformat(AS_OF)
+    base = _scratch(spark, "intervals")
+    before = events.where(F.to_date("ts") < F.lit(day))
+    start = stored(activity.zipper_table(activity.activity_runs(before, "user_id", "ts"), day, "user_id"), f"{base}/start")
+    open_rows, closed, users = activity.open_part(start), [activity.closed_part(start)], [activity.known_users(start)]
+    while day < last:
+        known = reduce(DataFrame.unionByName, users)
+        step = activity.advance_day(open_rows, known, events, day)
+        open_rows = stored(step.open, f"{base}/{day}-open")
+        closed.append(stored(step.closed, f"{base}/{day}-closed"))
+        users.append(stored(step.new_users, f"{base}/{day}-users"))
+        day += dt.timedelta(days=1)
+    return activity.assembled(open_rows, reduce(DataFrame.unionByName, closed))
+
+
 def open_interval_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity.close_intervals(_zipper(spark, sf_dir), AS_OF, user_col="user_id")
 
@@ -110,13 +135,12 @@ def word_count_first10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- access logs (C1) -------------------------------------------------------
 
-_EVENT_COLS = ("k", "url", "title")
-
-
 def _flat(records: DataFrame) -> DataFrame:
+    """The records with their whole event map as text, one key=value a line, sorted."""
     keep = [c for c in records.columns if c not in ("event", *geo.GEO_COLUMNS)]
-    ev = [F.try_element_at("event", F.lit(k)).alias("event_" + k) for k in _EVENT_COLS]
-    return records.select(*keep, *ev)
+    given = F.filter(F.map_entries("event"), lambda e: e["value"].isNotNull())
+    lines = F.array_sort(F.transform(given, lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return records.select(*keep, F.array_join(lines, "\n").alias("event"))
 
 
 def log_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,6 +164,16 @@ def _biz_dic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.build_biz_dic(readers.parse_biz_dump(derive.biz_dump_lines(spark, sf_dir)))
 
 
+def _dictionaries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both dictionaries as the log job gets them: written once (S12) and read (S4)."""
+    out = []
+    for name, dic in (("area", _area_dic(spark, sf_dir)), ("biz", _biz_dic(spark, sf_dir))):
+        path = _scratch(spark, f"{name}-dictionary")
+        sinks.write_dictionary(dic, path)
+        out.append(readers.read_parquet(spark, path))
+    return out[0], out[1]
+
+
 def area_dic_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dictionary of a location table (C2b), written (S12) and read back."""
     lng, lat = derive.point(F.col("s_suppkey"), F.col("s_suppkey") + 2)
@@ -163,7 +197,7 @@ def url_category_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _preprocessed(spark: SparkSession, sf_dir: str):
-    return preprocess_logs(derive.log_lines(spark, sf_dir), _area_dic(spark, sf_dir), _biz_dic(spark, sf_dir))
+    return preprocess_logs(derive.log_lines(spark, sf_dir), *_dictionaries(spark, sf_dir))
 
 
 def geo_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +228,7 @@ def title_keywords_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def traffic_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keywords are left out: the detail rows do not carry the event map."""
     records = logs.identity_filter(logs.parse_logs(derive.log_lines(spark, sf_dir)))
-    enriched = geo.enrich_location(records, _area_dic(spark, sf_dir), _biz_dic(spark, sf_dir))
+    enriched = geo.enrich_location(records, *_dictionaries(spark, sf_dir))
     return urls.traffic_detail(enriched, derive.url_dimension(spark, sf_dir))
 
 
@@ -205,6 +239,17 @@ def traffic_detail_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_parquet(spark, path).withColumn("dateStr", F.col("dateStr").cast("string")).select(*urls.DWD_COLUMNS)
 
 
+def traffic_detail_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail rows written by day, the days of even number with a wrong category;
+    then these days are run again, which replaces them and no others (S13)."""
+    path, detail = _scratch(spark, "detail-days"), stored(traffic_detail(spark, sf_dir), _scratch(spark, "detail-rows"))
+    even = F.substring("dateStr", 9, 2).cast("int") % 2 == 0
+    first = detail.withColumn("ct", F.when(even, F.lit("wrong")).otherwise(F.col("ct")))
+    sinks.overwrite_days(first, path, _scratch(spark, "detail-stage"))
+    sinks.overwrite_days(detail.where(even), path, _scratch(spark, "detail-stage"))
+    return spark.read.schema(detail.schema).parquet(path).select(*urls.DWD_COLUMNS)
+
+
 def url_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("url")
     return urls.url_categories(pages, derive.url_dimension(spark, sf_dir), "url")
@@ -307,6 +352,7 @@ def unmatched_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "activity_zipper": activity_zipper,
+    "activity_zipper_daily": activity_zipper_daily,
     "open_interval_close": open_interval_close,
     "activity_intervals_all": activity_intervals_all,
     "activity_intervals_per_user": activity_intervals_per_user,
@@ -332,6 +378,7 @@ QUERIES: dict[str, Query] = {
     "url_category": url_category,
     "traffic_detail": traffic_detail,
     "traffic_detail_by_day": traffic_detail_by_day,
+    "traffic_detail_rerun": traffic_detail_rerun,
     "title_keywords_dictionary": title_keywords_dictionary,
     "area_dic_file": area_dic_file,
     "url_category_files": url_category_files,

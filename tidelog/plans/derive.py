@@ -94,7 +94,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "view", F.lit("pg_view")).otherwise(F.col("event_type")).alias("logType"),
         ntz_to_millis("ts").alias("commit_time"),
         F.create_map(
-            F.lit("k"), F.col("_k"), F.lit("url"), url, F.lit("title"), F.col("title")
+            F.lit("k"), F.col("_k"), F.lit("url"), url, F.lit("title"), F.col("title"),
+            F.lit("value"), F.when(eid % 3 == 0, (eid * 7).cast("string")), F.concat(F.lit("x"), (eid % 13).cast("string")), F.col("event_type"),
         ).alias("event"),
     )
     js = F.to_json(doc)
@@ -118,6 +119,17 @@ def _supplier_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.join(n, s["s_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"])
 
 
+def area_name(name: Column, key: Column) -> Column:
+    """Names that a dump line must quote: separators, brackets, quotes, backslashes."""
+    return F.when(key % 6 == 1, F.concat(name, F.lit(", Nord (old)"))).when(key % 6 == 2, F.concat(name, F.lit(", 'O\\Quay'"))).otherwise(name)
+
+
+def quoted(name: Column, key: Column) -> Column:
+    """As an SQL literal; quotes are doubled or escaped by turns."""
+    escaped = F.replace(name, F.lit("\\"), F.lit("\\\\"))
+    return F.concat(F.lit("'"), F.when(key % 12 < 6, F.replace(escaped, F.lit("'"), F.lit("''"))).otherwise(F.replace(escaped, F.lit("'"), F.lit("\\'"))), F.lit("'"))
+
+
 def biz_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One quoted 7-tuple per supplier: district = its nation, business area =
     its name; suppliers with a negative balance have no province, and the
@@ -134,7 +146,7 @@ def biz_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             q(province),
             q(F.col("n_name")),
             q(F.concat(F.col("n_name"), F.lit("-d"), (F.col("s_suppkey") % 3).cast("string"))),
-            q(F.col("s_name")),
+            quoted(area_name(F.col("s_name"), F.col("s_suppkey")), F.col("s_suppkey")),
             q(F.when(F.col("s_suppkey") % 5 == 2, F.lit("n/a")).otherwise(lng.cast("string"))),
             q(lat.cast("string")),
         ),
@@ -144,16 +156,16 @@ def biz_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def area_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three-level area table as SQL insert lines: regions (level 1), nations
-    (level 2), suppliers (level 3, at the point next to their business area; the
+    """Three-level area table as SQL insert lines: regions (level 1, in one
+    statement), nations (level 2), suppliers (level 3, at the point next to their business area; the
     longitude of every fourth is no number), and remarks that are no rows."""
-    def ins(code, name, parent, level, lng, lat):
+    def row(code, name, parent, level, lng, lat):
         return F.concat(
-            F.lit("INSERT INTO `areas` VALUES ("),
+            F.lit("("),
             F.concat_ws(
                 ", ",
                 code.cast("string"),
-                F.concat(F.lit("'"), name, F.lit("'")),
+                quoted(name, code),
                 parent.cast("string"),
                 F.lit("''"),
                 F.lit(level).cast("string"),
@@ -165,21 +177,27 @@ def area_dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                 lng,
                 lat,
             ),
-            F.lit(");"),
+            F.lit(")"),
         )
 
+    def ins(*values):
+        return F.concat(F.lit("INSERT INTO `areas` VALUES "), row(*values), F.lit(";"))
+
     r = table(spark, sf_dir, "region")
     n = table(spark, sf_dir, "nation")
     s = table(spark, sf_dir, "supplier")
     lng, lat = point(F.col("s_suppkey") + 1, F.col("s_suppkey"))
-    regions = r.select(ins(F.col("r_regionkey") + 100000, F.col("r_name"), F.lit(0), 1, F.lit("0.0"), F.lit("0.0")).alias("value"))
+    # The five regions are one statement, with its columns named.
+    region = row(F.col("r_regionkey") + 100000, F.col("r_name"), F.lit(0), 1, F.lit("0.0"), F.lit("0.0"))
+    named = F.lit("INSERT INTO `areas` (code, name, parent, note, level, a, b, c, d, e, lng, lat) VALUES ")
+    regions = r.agg(F.sort_array(F.collect_list(region)).alias("rows")).select(F.concat(named, F.array_join("rows", ", "), F.lit(";")).alias("value"))
     nations = n.select(
         ins(F.col("n_nationkey") + 200000, F.col("n_name"), F.col("n_regionkey") + 100000, 2, F.lit("0.0"), F.lit("0.0")).alias("value")
     )
     suppliers = s.select(
         ins(
             F.col("s_suppkey") + 300000,
-            F.concat(F.lit("area-"), F.col("s_suppkey").cast("string")),
+            area_name(F.concat(F.lit("area-"), F.col("s_suppkey").cast("string")), F.col("s_suppkey")),
             F.col("s_nationkey") + 200000,
             3,
             F.when(F.col("s_suppkey") % 4 == 3, F.lit("n/a")).otherwise(lng.cast("string")),

@@ -130,6 +130,7 @@ recs AS (
          CASE WHEN anon THEN ' ' ELSE CAST(user_id AS VARCHAR) || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) END AS sessionId,
          CASE WHEN event_type = 'view' THEN 'pg_view' ELSE event_type END AS logType,
          CAST(epoch_us(ts) // 1000 AS BIGINT) AS commit_time,
+         event_id, event_type, CASE WHEN event_id % 3 = 0 THEN CAST(event_id * 7 AS VARCHAR) END AS event_value,
          k AS event_k,
          CASE WHEN value >= 100 THEN 'https://cdn.example.org/' || k ELSE page_url END AS event_url,
          title AS event_title
@@ -138,6 +139,12 @@ ids AS (
   SELECT * FROM recs
   WHERE regexp_matches(replace(concat_ws('', account, cookieid, sessionId, imei, deviceId, androidId), 'null', ''), '\\S'))"""
 
+
+
+def _named(name: str, key: str) -> str:
+    return f"CASE {key} % 6 WHEN 1 THEN {name} || ', Nord (old)' WHEN 2 THEN {name} || ', ' || chr(39) || 'O\\Quay' || chr(39) ELSE {name} END"
+
+
 _GEO = """
 sg AS (
   SELECT s.s_suppkey AS sk, s.s_name, s.s_acctbal, s.s_nationkey, n.n_name, n.n_regionkey, r.r_name
@@ -145,14 +152,14 @@ sg AS (
 bizraw AS (
   SELECT CASE WHEN sk % 5 <> 2 THEN {gh6} END AS geohash,
          CASE WHEN s_acctbal < 0 THEN '' ELSE r_name END AS province,
-         n_name AS city, n_name || '-d' || CAST(sk % 3 AS VARCHAR) AS district, s_name AS biz
+         n_name AS city, n_name || '-d' || CAST(sk % 3 AS VARCHAR) AS district, {biz_name} AS biz
   FROM sg),
 biz1 AS (
   SELECT geohash, province, city, district, biz FROM (
     SELECT *, row_number() OVER (PARTITION BY geohash ORDER BY province, city, district, biz) AS rn
     FROM bizraw WHERE geohash IS NOT NULL) WHERE rn = 1),
 arearaw AS (
-  SELECT {gh5} AS geohash, r_name AS province, n_name AS city, 'area-' || CAST(sk AS VARCHAR) AS district FROM sg
+  SELECT {gh5} AS geohash, r_name AS province, n_name AS city, {area_name} AS district FROM sg
   WHERE sk % 4 <> 3),
 area1 AS (
   SELECT geohash, province, city, district FROM (
@@ -173,6 +180,8 @@ en2 AS (
   FROM en)""".format(
     gh6=_gh("sk", "sk", 6),
     gh5=_gh("sk + 1", "sk", 5),
+    biz_name=_named("s_name", "sk"),
+    area_name=_named("'area-' || CAST(sk AS VARCHAR)", "sk"),
     rec_gh6=geohash_sql("ids.latitude", "ids.longtitude", 6),
     rec_gh5=geohash_sql("ids.latitude", "ids.longtitude", 5),
 )
@@ -211,7 +220,9 @@ cc(id, comp) USING KEY (id) AS (
 
 ORACLES.update({
     "log_flatten": f"""WITH {_RECS}
-SELECT {_REC_COLS}, logType, commit_time, event_k, event_url, event_title FROM recs""",
+SELECT {_REC_COLS}, logType, commit_time,
+       array_to_string(list_sort(list_filter(['k=' || event_k, 'url=' || event_url, 'title=' || event_title, 'value=' || event_value, 'x' || CAST(event_id % 13 AS VARCHAR) || '=' || event_type],
+                                 lambda x: x IS NOT NULL)), chr(10)) AS event FROM recs""",
     "log_rejects": f"""WITH {_RECS}
 SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%g') || CASE WHEN event_type = 'error' THEN ' -->' ELSE '' END
        || ' {{"u":{{"cookieid":"ck' || CAST(user_id AS VARCHAR)
@@ -227,15 +238,15 @@ SELECT CAST(r_regionkey + 100000 AS VARCHAR) AS code, r_name AS name, '0' AS par
 UNION ALL
 SELECT CAST(n_nationkey + 200000 AS VARCHAR), n_name, CAST(n_regionkey + 100000 AS VARCHAR), '2', '0.0', '0.0' FROM nation
 UNION ALL
-SELECT CAST(s_suppkey + 300000 AS VARCHAR), 'area-' || CAST(s_suppkey AS VARCHAR), CAST(s_nationkey + 200000 AS VARCHAR), '3',
+SELECT CAST(s_suppkey + 300000 AS VARCHAR), {_named("'area-' || CAST(s_suppkey AS VARCHAR)", "s_suppkey")}, CAST(s_nationkey + 200000 AS VARCHAR), '3',
        CASE WHEN s_suppkey % 4 = 3 THEN 'n/a' ELSE CAST({_lng('s_suppkey + 1', 's_suppkey')} AS VARCHAR) END, CAST({_lat('s_suppkey + 1', 's_suppkey')} AS VARCHAR)
 FROM supplier""",
     "biz_dump_parse": f"""WITH {_GEO}
 SELECT CASE WHEN s_acctbal < 0 THEN '' ELSE r_name END AS province, n_name AS city,
-       n_name || '-d' || CAST(sk % 3 AS VARCHAR) AS district, s_name AS biz,
+       n_name || '-d' || CAST(sk % 3 AS VARCHAR) AS district, {_named("s_name", "sk")} AS biz,
        CASE WHEN sk % 5 = 2 THEN 'n/a' ELSE CAST({_lng('sk', 'sk')} AS VARCHAR) END AS lng, CAST({_lat('sk', 'sk')} AS VARCHAR) AS lat FROM sg""",
     "area_hierarchy": f"""WITH {_GEO}
-SELECT r_name AS province, n_name AS city, 'area-' || CAST(sk AS VARCHAR) AS district,
+SELECT r_name AS province, n_name AS city, {_named("'area-' || CAST(sk AS VARCHAR)", "sk")} AS district,
        CASE WHEN sk % 4 = 3 THEN 'n/a' ELSE CAST({_lng('sk + 1', 'sk')} AS VARCHAR) END AS lng, CAST({_lat('sk + 1', 'sk')} AS VARCHAR) AS lat FROM sg""",
     "area_dictionary": f"WITH {_GEO} SELECT geohash, province, city, district FROM arearaw",
     "biz_dictionary": f"WITH {_GEO} SELECT geohash, province, city, district, biz FROM bizraw",
@@ -288,3 +299,5 @@ FROM supplier""",
 })
 ORACLES["traffic_detail_by_day"] = ORACLES["traffic_detail"]
 ORACLES["url_category_files"] = ORACLES["url_category"]
+ORACLES["traffic_detail_rerun"] = ORACLES["traffic_detail"]
+ORACLES["activity_zipper_daily"] = ORACLES["activity_zipper"]

@@ -77,53 +77,82 @@ def _pieces(lines: DataFrame, col: str, sep: str) -> DataFrame:
     return lines.select(F.split(F.col(col), "\\Q" + sep + "\\E").alias("_p"))
 
 
-def parse_area_dump(lines: DataFrame, col: str = "value") -> DataFrame:
+# SQL literals. A quoted value may hold any character; a quote in it is
+# doubled or escaped. A tuple holds values between brackets.
+_QUOTED = r"'(?:[^'\\]++|\\.|'')*+'"
+_VALUE = _QUOTED + r"|[^,()'\s](?:[^,()']*[^,()'\s])?"
+_TUPLE = r"\((?:[^'()]++|" + _QUOTED + r")*+\)"
+_REMARK = r"^\s*(?:--|#|/\*)"
+
+
+def _plain(value):
+    """A value as text: without its quotes and escapes; a bare NULL is null."""
+    inner = F.regexp_replace(F.regexp_replace(_strip(value, 1, 1), "''", "'"), r"\\(.)", "$1")
+    return F.when(F.startswith(value, F.lit("'")), inner).when(F.upper(value) != "NULL", value)
+
+
+def sql_tuples(lines: DataFrame, col: str = "value") -> DataFrame:
+    """SQL dump lines -> one row per tuple, ``values`` as an array of text.
+
+    A statement may hold any number of tuples; what stands before VALUES (a table's
+    name, a list of columns) is no tuple, and remarks hold none."""
+    line = F.coalesce(F.col(col), F.lit(""))
+    rest = F.regexp_replace(line, r"(?is)^\s*(?:INSERT|REPLACE)\b[^']*?\bVALUES\b", "")
+    tuples = F.when(~line.rlike(_REMARK), F.regexp_extract_all(rest, F.lit(_TUPLE), F.lit(0)))
+    return lines.select(F.explode(tuples).alias("_t")).select(F.transform(F.regexp_extract_all("_t", F.lit(_VALUE), F.lit(0)), _plain).alias("values"))
+
+
+def _values(lines: DataFrame, col: str, least: int, quoted: bool) -> DataFrame:
+    """``_p``: the pieces of each row, by the SQL literals or split on comma+space."""
+    pieces = sql_tuples(lines, col).select(F.col("values").alias("_p")) if quoted else _pieces(lines, col, ", ")
+    return pieces.where(F.size("_p") >= least)
+
+
+def parse_area_dump(lines: DataFrame, col: str = "value", quoted: bool = True) -> DataFrame:
     """``INSERT INTO t VALUES (code, 'name', parent, '', level, x, lng, lat, ...);``
     lines -> (code, name, parent_code, level, lng, lat) as text.
 
-    Pieces are split on comma+space: the code is the last six characters of
-    piece 0, the name is unquoted, the last two pieces are lng and lat (lat
-    loses its two trailing characters ``);``). Lines with fewer than six
-    pieces are left to ``short_lines``."""
+    The code is the last six characters of piece 0, the last two pieces are lng and
+    lat. Lines are read as SQL: names may hold separators, brackets and quotes, a
+    statement several tuples. ``quoted=False`` is the original job's way: pieces are
+    split on comma+space, the name loses its first and last character, and lat its
+    two trailing ones (``);``). Rows with fewer than six pieces are left to
+    ``short_lines``."""
     p = F.col("_p")
     n = F.size(p)
-    return (
-        _pieces(lines, col, ", ")
-        .where(n >= 6)
-        .select(
-            F.right(F.get(p, 0), F.lit(6)).alias("code"),
-            _strip(F.get(p, 1), 1, 1).alias("name"),
-            F.get(p, 2).alias("parent_code"),
-            F.get(p, 4).alias("level"),
-            F.get(p, n - 2).alias("lng"),
-            _strip(F.get(p, n - 1), 0, 2).alias("lat"),
-        )
+    return _values(lines, col, 6, quoted).select(
+        F.right(F.get(p, 0), F.lit(6)).alias("code"),
+        (F.get(p, 1) if quoted else _strip(F.get(p, 1), 1, 1)).alias("name"),
+        F.get(p, 2).alias("parent_code"),
+        F.get(p, 4).alias("level"),
+        F.get(p, n - 2).alias("lng"),
+        (F.get(p, n - 1) if quoted else _strip(F.get(p, n - 1), 0, 2)).alias("lat"),
     )
 
 
-def parse_biz_dump(lines: DataFrame, col: str = "value") -> DataFrame:
+def parse_biz_dump(lines: DataFrame, col: str = "value", quoted: bool = True) -> DataFrame:
     """``('id', 'province', 'city', 'district', 'biz', 'lng', 'lat');`` lines ->
-    (province, city, district, biz, lng, lat) as text (quotes removed)."""
+    (province, city, district, biz, lng, lat) as text, read as SQL or, with
+    ``quoted=False``, split on comma+space as the original job does."""
     p = F.col("_p")
-    return (
-        _pieces(lines, col, ", ")
-        .where(F.size(p) >= 7)
-        .select(
-            _strip(F.get(p, 1), 1, 1).alias("province"),
-            _strip(F.get(p, 2), 1, 1).alias("city"),
-            _strip(F.get(p, 3), 1, 1).alias("district"),
-            _strip(F.get(p, 4), 1, 1).alias("biz"),
-            _strip(F.get(p, 5), 1, 1).alias("lng"),
-            _strip(F.get(p, 6), 1, 3).alias("lat"),
-        )
-    )
-
-
-def short_lines(lines: DataFrame, least: int, col: str = "value", sep: str = ", ") -> DataFrame:
-    """The lines that a dump parser leaves out: null, or of fewer than ``least``
-    pieces (6 for areas, 7 for districts)."""
-    pieces = F.size(F.split(F.col(col), "\\Q" + sep + "\\E"))
-    return lines.where(F.col(col).isNull() | (pieces < least)).select(col)
+    names = ("province", "city", "district", "biz", "lng", "lat")
+    if quoted:
+        return _values(lines, col, 7, True).select(*[F.get(p, i + 1).alias(c) for i, c in enumerate(names)])
+    return _values(lines, col, 7, False).select(*[_strip(F.get(p, i + 1), 1, 3 if c == "lat" else 1).alias(c) for i, c in enumerate(names)])
+
+
+def short_lines(lines: DataFrame, least: int, col: str = "value", sep: str | None = None) -> DataFrame:
+    """The lines that a dump parser leaves out, or leaves a tuple of: null, without a
+    tuple, or with one of fewer than ``least`` values (6 for areas, 7 for districts).
+    With ``sep`` lines are split on it, as the parsers do with ``quoted=False``."""
+    if sep is not None:
+        pieces = F.size(F.split(F.col(col), "\\Q" + sep + "\\E"))
+        return lines.where(F.col(col).isNull() | (pieces < least)).select(col)
+    line = F.col(col)
+    rest = F.regexp_replace(line, r"(?is)^\s*(?:INSERT|REPLACE)\b[^']*?\bVALUES\b", "")
+    tuples = F.regexp_extract_all(rest, F.lit(_TUPLE), F.lit(0))
+    short = F.exists(tuples, lambda t: F.size(F.regexp_extract_all(t, F.lit(_VALUE), F.lit(0))) < least)
+    return lines.where(line.isNull() | line.rlike(_REMARK) | (F.size(tuples) == 0) | short).select(col)
 
 
 def parse_delimited(

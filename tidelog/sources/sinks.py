@@ -30,6 +30,26 @@ def write_parquet(
     writer.parquet(path)
 
 
+def stage_days(df: DataFrame, stage: str, day_col: str = "dateStr") -> DataFrame:
+    """First step of a day's run: its rows, written apart and read back. Whatever goes
+    wrong until then leaves the table as it was."""
+    df.write.mode("overwrite").partitionBy(day_col).parquet(stage)
+    # Read with the schema given: a day stays the text or date that it was.
+    return df.sparkSession.read.schema(df.schema).parquet(stage).select(*df.columns)
+
+
+def publish_days(staged: DataFrame, path: str, day_col: str = "dateStr") -> None:
+    """Second step: the staged days replace those days of the table, and no others.
+    The writer moves finished files into place, so a failed run changes nothing."""
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(path)
+
+
+def overwrite_days(df: DataFrame, path: str, stage: str, day_col: str = "dateStr") -> None:
+    """Write ``df`` into a table partitioned by day so that a day can be run again:
+    every day that ``df`` holds is replaced as a whole, all others stay."""
+    publish_days(stage_days(df, stage, day_col), path, day_col)
+
+
 def write_lines(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> None:
     """Text sink: one line per row. A single column is written as it is; several
     go through the CSV writer, which quotes separators and line breaks; a null is
