@@ -122,6 +122,29 @@ def enrich_location(
     return joined.select(*out)
 
 
+def upsert_dictionary(current: DataFrame, fresh: DataFrame, version: int) -> DataFrame:
+    """A dictionary with the rows of a later version merged in, one row per geohash.
+
+    ``current`` has a ``version`` column, or counts as version 0. Of the rows of a cell
+    one that names a province comes before one that does not, then one that names a
+    business area, then the later version, then the smallest names; so an empty reply
+    never takes a name away, and merging the same replies again changes nothing."""
+    names = BIZ_DIC_COLUMNS[1:]
+    before = current.select(*BIZ_DIC_COLUMNS, (F.col("version") if "version" in current.columns else F.lit(0)).cast("long").alias("version"))
+    both = before.unionByName(fresh.select(*BIZ_DIC_COLUMNS, F.lit(version).cast("long").alias("version"))).where(F.col("geohash").isNotNull())
+    filled = {c: F.coalesce(F.col(c), F.lit("")) for c in names}
+    order = F.struct((filled["province"] == "").alias("no_province"), (filled["biz"] == "").alias("no_biz"), (-F.col("version")).alias("earlier"), *[filled[c].alias(c) for c in names])
+    best = both.groupBy("geohash").agg(F.min(order).alias("_v"))
+    return best.select("geohash", *[F.col("_v")[c].alias(c) for c in names], (-F.col("_v.earlier")).alias("version"))
+
+
+def reenrich(records: DataFrame, area_dic: DataFrame, biz_dic: DataFrame, lat: str = "latitude", lng: str = "longtitude", max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Enriched records, of which only those without a province are looked up again."""
+    unplaced = F.coalesce(F.col("province"), F.lit("")) == ""
+    again = enrich_location(records.where(unplaced), area_dic, biz_dic, lat, lng, max_bytes)
+    return records.where(~unplaced).unionByName(again)
+
+
 def unmatched_coordinates(enriched: DataFrame, lat: str = "latitude", lng: str = "longtitude") -> DataFrame:
     """``lng,lat`` text of the records no dictionary placed (input for geocoding)."""
     return enriched.where(F.coalesce(F.col("province"), F.lit("")) == "").select(

@@ -155,3 +155,20 @@ def component_members(labels: DataFrame) -> DataFrame:
     """G4 in long form: (component, member), one row per member. Members are
     never gathered into one row, so a giant component stays distributed."""
     return labels.select("component", F.col("id").alias("member"))
+
+
+def member_pages(labels: DataFrame, per_page: int = 1000) -> DataFrame:
+    """A7, G4 as lists: (component, page, members), at most ``per_page`` members a row,
+    in order over the pages (numbered from 0).
+
+    A component's members are sorted over range partitions, so a giant one lies in
+    several; places go on from the parts before, and only a page is ever one row."""
+    base = scratch_path(labels.sparkSession, "pages")
+    placed = stored(labels.repartitionByRange("component", "id").select("component", "id", F.spark_partition_id().alias("part")), f"{base}/sorted")
+    counts = placed.groupBy("component", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("component").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("component", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    within = F.row_number().over(Window.partitionBy("component", "part").orderBy("id")) - 1
+    numbered = placed.withColumn("at", within).join(starts, ["component", "part"])
+    page = F.floor((F.col("at") + F.col("start")) / per_page).cast("long")
+    return numbered.groupBy("component", page.alias("page")).agg(F.array_sort(F.collect_list("id")).alias("members"))

@@ -79,9 +79,9 @@ def lookup_join(facts: DataFrame, dim: DataFrame, key: str, max_bytes: int = MAX
     and whose rows of the dimension are copied into each part. A key that holds a
     third of all facts is spread over as many tasks as its size asks for; rows of
     other keys are not copied. ``counted`` are rows with the same keys that are cheaper
-    to count, such as the facts before another lookup. (Skew splitting at run time would not help, as the
-    dimension comes out of an aggregation by the key.) The hash, unlike a random
-    number, stays the same when a task runs again.
+    to count, such as the facts before another lookup. (Skew splitting at run time would
+    not help, as the dimension comes out of an aggregation by the key.) The hash, unlike
+    a random number, stays the same when a task runs again.
     """
     if proven_small(dim, max_bytes):
         return facts.join(F.broadcast(dim), key, "left")

@@ -208,6 +208,19 @@ def unmatched_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _preprocessed(spark, sf_dir).unmatched
 
 
+def geo_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The closed loop (E1): coordinates that no dictionary places, their replies, the
+    dictionary with the replies merged in, and the unplaced records looked up again."""
+    area, biz = _dictionaries(spark, sf_dir)
+    found = preprocess_logs(derive.log_lines(spark, sf_dir), area, biz)
+    records = stored(found.records.select("commit_time", "cookieid", "latitude", "longtitude", *geo.GEO_COLUMNS), _scratch(spark, "records"))
+    replies = derive.backfill_responses(geo.unmatched_coordinates(records).distinct())
+    fresh = stored(geo.geocode_dictionary(replies), _scratch(spark, "replies"))
+    path = _scratch(spark, "biz-dictionary-2")
+    sinks.write_dictionary(geo.upsert_dictionary(geo.dedupe_dictionary(biz), fresh, 1), path)
+    return geo.reenrich(records, area, readers.read_parquet(spark, path)).select("commit_time", "cookieid", *geo.GEO_COLUMNS)
+
+
 def title_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title keywords of the identified records; the location steps take no part."""
     recs = keywords.add_title_keywords(logs.identity_filter(logs.parse_logs(derive.log_lines(spark, sf_dir))))
@@ -307,6 +320,15 @@ def component_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _components(spark, sf_dir).sizes
 
 
+MEMBERS_PER_PAGE = 500
+
+
+def component_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of each component as bounded lists, in order over the pages."""
+    pages = identity.member_pages(_components(spark, sf_dir).labels, MEMBERS_PER_PAGE)
+    return pages.select("component", "page", F.size("members").alias("n_members"), F.array_join("members", ",").alias("members"))
+
+
 # --- text ------------------------------------------------------------------
 
 
@@ -385,6 +407,8 @@ QUERIES: dict[str, Query] = {
     "geocode_parse": geocode_parse,
     "identity_components": identity_components,
     "component_sizes": component_sizes,
+    "component_pages": component_pages,
+    "geo_backfill": geo_backfill,
     "stopword_anti": stopword_anti,
     "roundtrip_parquet": roundtrip_parquet,
     "unmatched_roundtrip": unmatched_roundtrip,

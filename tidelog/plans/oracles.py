@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from tidelog.functions.geo import geohash_sql
 from tidelog.operators.keywords import STOP_WORDS
-from tidelog.plans.bindings import SYLLABLES
+from tidelog.plans.bindings import MEMBERS_PER_PAGE, SYLLABLES
 
 _ZIPPER = """
 d AS (
@@ -301,3 +301,12 @@ ORACLES["traffic_detail_by_day"] = ORACLES["traffic_detail"]
 ORACLES["url_category_files"] = ORACLES["url_category"]
 ORACLES["traffic_detail_rerun"] = ORACLES["traffic_detail"]
 ORACLES["activity_zipper_daily"] = ORACLES["activity_zipper"]
+ORACLES["geo_backfill"] = f"""WITH {_RECS}, {_GEO},
+asked AS (SELECT *, province = '' AND CAST(floor(latitude * 32) AS BIGINT) % 4 <> 0 AS placed FROM en2)
+SELECT commit_time, cookieid, CASE WHEN placed THEN 'B' || CAST(CAST(floor(latitude) AS BIGINT) AS VARCHAR) ELSE province END AS province,
+       CASE WHEN placed THEN 'C' ELSE city END AS city, CASE WHEN placed THEN 'D' ELSE district END AS district,
+       CASE WHEN placed THEN '' ELSE biz END AS biz FROM asked"""
+ORACLES["component_pages"] = f"""WITH RECURSIVE {_CC},
+placed AS (SELECT comp, id, (row_number() OVER (PARTITION BY comp ORDER BY id) - 1) // {MEMBERS_PER_PAGE} AS page FROM cc)
+SELECT comp AS component, CAST(page AS BIGINT) AS page, CAST(count(*) AS INTEGER) AS n_members, string_agg(id, ',' ORDER BY id) AS members
+FROM placed GROUP BY comp, page"""
