@@ -17,6 +17,9 @@ ROWS_PER_PART = 1_000_000
 SKETCH_BUCKETS = 1 << 16
 MAX_PARTS = 1 << 14
 
+# Parts of every key in a stream's micro-batches, which are bounded themselves.
+STREAM_PARTS = 16
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """The planner's upper estimate of the size of ``df``; runs no job."""
@@ -81,12 +84,16 @@ def lookup_join(facts: DataFrame, dim: DataFrame, key: str, max_bytes: int = MAX
     other keys are not copied. ``counted`` are rows with the same keys that are cheaper
     to count, such as the facts before another lookup. (Skew splitting at run time would
     not help, as the dimension comes out of an aggregation by the key.) The hash, unlike
-    a random number, stays the same when a task runs again.
+    a random number, stays the same when a task runs again. The keys of a stream cannot be
+    counted beforehand: every key of a micro-batch is cut into STREAM_PARTS.
     """
     if proven_small(dim, max_bytes):
         return facts.join(F.broadcast(dim), key, "left")
     salt = _unused("_salt", facts, dim)
-    parts = F.get(parts_by_bucket(facts if counted is None else counted, key, rows_per_part).scalar(), _bucket(key))
+    if facts.isStreaming:
+        parts = F.lit(STREAM_PARTS)
+    else:
+        parts = F.get(parts_by_bucket(facts if counted is None else counted, key, rows_per_part).scalar(), _bucket(key))
     hashed = [c for f in facts.schema.fields if (c := _hashable(f)) is not None]
     salted = facts.withColumn(salt, F.pmod(F.xxhash64(F.lit("part"), *hashed), parts).cast("int"))
     copies = dim.withColumn(salt, F.explode(F.sequence(F.lit(0), parts - 1)))
