@@ -3,8 +3,8 @@
 1. Seeds, runs of ``seed`` tokens of the benchmark items, go into a bitmap of
    fixed size. Documents look their own runs up in it and keep, beside the seeds
    met, only the tokens that lie in one.
-2. Joining the seeds exactly gives pairs of documents and items. A pair goes on
-   if it shares as many seeds as the coverage asked for cannot do without.
+2. Joining an item's rarest seeds exactly gives pairs of documents and items. A
+   pair goes on if it shares as many seeds as the coverage asked for cannot do without.
 3. Each pair is tiled: the longest common unmarked runs are marked again and
    again, found by running Karp-Rabin. Tiles do not overlap and may lie in any
    order, so reordered passages count. Coverage is the share of the item's
@@ -21,11 +21,10 @@ Extra columns are ignored.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import map_batches, materialize
 from .shingles import mix, ngram_hashes, token_hashes
@@ -53,47 +52,83 @@ def _windows(tokens: np.ndarray, marked: np.ndarray, s: int) -> tuple[np.ndarray
     return mix(own[free]), free
 
 
+def _run_starts(item: np.ndarray, text: np.ndarray, in_item: np.ndarray, in_text: np.ndarray, s: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in both where a common unmarked run of s tokens or more begins.
+
+    A pair of places whose predecessors also match lies inside a run, so of a
+    repeated word only the ends of either side begin runs: there are about as
+    many starts as tokens, not as many as pairs of places."""
+    size = max(len(item), len(text))
+    # Both sides' windows are lifted alike only if they are equally long.
+    (h_item, p_item), (h_text, p_text) = (
+        _windows(np.concatenate((x, np.zeros(size - len(x), np.uint64))), np.concatenate((m, np.ones(size - len(m), bool))), s) for x, m in ((item, in_item), (text, in_text))
+    )
+    order = np.argsort(h_text, kind="stable")
+    h_text, p_text = h_text[order], p_text[order]
+    first, last = np.searchsorted(h_text, h_item, "left"), np.searchsorted(h_text, h_item, "right")
+    starts: list[np.ndarray] = []
+    owners: list[np.ndarray] = []
+    for p, a, b in zip(p_item[first < last].tolist(), first[first < last].tolist(), last[first < last].tolist()):
+        t = p_text[a:b]
+        if p and not in_item[p - 1]:
+            before = np.maximum(t - 1, 0)
+            t = t[(t == 0) | in_text[before] | (text[before] != item[p - 1])]
+        starts.append(t)
+        owners.append(np.full(len(t), p))
+    if not starts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(owners), np.concatenate(starts)
+
+
+def _run_lengths(item: np.ndarray, text: np.ndarray, in_item: np.ndarray, in_text: np.ndarray, p: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """How far the runs that begin at p and t go, token by token, all in step."""
+    length = np.zeros(len(p), np.int64)
+    going = np.arange(len(p))
+    n = 0
+    while len(going):
+        at_p, at_t = p[going] + n, t[going] + n
+        inside = (at_p < len(item)) & (at_t < len(text))
+        going, at_p, at_t = going[inside], at_p[inside], at_t[inside]
+        same = (item[at_p] == text[at_t]) & ~in_item[at_p] & ~in_text[at_t]
+        going = going[same]
+        n += 1
+        length[going] = n
+    return length
+
+
 def tile(item: np.ndarray, text: np.ndarray, least: int = SEED) -> list[tuple[int, int, int]]:
     """(place in item, place in text, length) of the tiles, longest first."""
     tiles: list[tuple[int, int, int]] = []
     in_item, in_text = np.zeros(len(item), bool), np.zeros(len(text), bool)
     s = max(least, FIRST_SEARCH)
-    # Both sides' windows are lifted alike only if they are equally long.
-    size = max(len(item), len(text))
-    pad_item, pad_text = (np.concatenate((x, np.zeros(size - len(x), np.uint64))) for x in (item, text))
     while True:
-        closed_item, closed_text = (np.concatenate((m, np.ones(size - len(m), bool))) for m in (in_item, in_text))
-        hashes, places = _windows(pad_item, closed_item, s)
-        table: dict[int, list[int]] = defaultdict(list)
-        for h, p in zip(hashes.tolist(), places.tolist()):
-            table[h].append(p)
-        found: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        longest = 0
-        if table:
-            hashes, places = _windows(pad_text, closed_text, s)
-            hit = np.isin(hashes, np.fromiter(table, np.uint64, len(table)))
-            for h, t in zip(hashes[hit].tolist(), places[hit].tolist()):
-                for p in table[h]:
-                    n = 0
-                    while p + n < len(item) and t + n < len(text) and item[p + n] == text[t + n] and not in_item[p + n] and not in_text[t + n]:
-                        n += 1
-                    if n >= s:
-                        found[n].append((p, t))
-                        longest = max(longest, n)
+        p, t = _run_starts(item, text, in_item, in_text, s)
+        lengths = _run_lengths(item, text, in_item, in_text, p, t)
+        longest = int(lengths.max(initial=0))
         if longest > 2 * s:
             s = longest
             continue
-        while found:
-            n = max(found)
-            for p, t in sorted(found.pop(n)):
-                free = 0
-                while free < n and not in_item[p + free] and not in_text[t + free]:
-                    free += 1
-                if free == n:
-                    in_item[p : p + n] = in_text[t : t + n] = True
-                    tiles.append((p, t, n))
-                elif free >= s:
-                    found[free].append((p, t))
+        order = np.lexsort((t, p, -lengths))
+        p, t, lengths = (x[order][: np.count_nonzero(lengths >= s)] for x in (p, t, lengths))
+        again = False  # whether a tile cut a run so that s tokens or more of it may be left
+        while len(lengths) and not again:
+            n = int(lengths[0])
+            k = np.count_nonzero(lengths == n)
+            one, two, p, t, lengths = p[:k], t[:k], p[k:], t[k:], lengths[k:]
+            sums_item, sums_text = (np.concatenate(([0], np.cumsum(m))) for m in (in_item, in_text))
+            cut = np.maximum(sums_item[one + n] - sums_item[one], sums_text[two + n] - sums_text[two])
+            while True:
+                again = again or bool(np.any((cut > 0) & (n - cut >= s)))
+                one, two = one[cut == 0], two[cut == 0]
+                if not len(one):
+                    break
+                a, b = int(one[0]), int(two[0])
+                in_item[a : a + n] = in_text[b : b + n] = True
+                tiles.append((a, b, n))
+                one, two = one[1:], two[1:]
+                cut = np.maximum(np.maximum(n - np.abs(one - a), n - np.abs(two - b)), 0)
+        if again:
+            continue
         if s <= least:
             return tiles
         s = max(least, s // 2)
@@ -150,7 +185,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
     """doc_id, item_id, coverage, tiles for every pair of coverage or more; tiles
     are (item_at, text_at, length) in tokens."""
     items = materialize(_items(benchmark, seed, coverage))
-    seeds = items.select("item_id", "needed", F.explode("seeds").alias("seed"))
+    seeds = items.select(F.explode("seeds").alias("seed"))
     # One binary of 4 KB for each 2^15 bits: 4 MB in all, whatever the benchmark's size.
     bit = F.col("seed").bitwiseAND((1 << BITMAP_BITS) - 1) + 1
     words = seeds.groupBy(F.bitmap_bucket_number(bit).alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
@@ -158,9 +193,16 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = C
     for r in words.collect():
         bitmap[(r["at"] - 1) * len(r["bits"]) : r["at"] * len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
     met = materialize(_met(documents, bitmap, seed))
-    shared = met.select("doc_id", "row", F.explode("seeds").alias("seed")).join(seeds, "seed")
-    pairs = materialize(shared.groupBy("doc_id", "row", "item_id").agg(F.count(F.lit(1)).alias("n"), F.max("needed").alias("needed")).where("n >= needed").select("doc_id", "row", "item_id"))
-    full = pairs.join(met.select("doc_id", "row", "tokens", "places"), ["doc_id", "row"]).join(items.select("item_id", F.col("tokens").alias("item_tokens")), "item_id")
+    asked = met.select("doc_id", "row", F.explode("seeds").alias("seed"))
+    # Who shares n of an item's m seeds shares one of its m - n + 1 rarest: common seeds make no pairs.
+    often = asked.groupBy("seed").agg(F.count(F.lit(1)).alias("often"))
+    by_rarity = Window.partitionBy("item_id", "tokens").orderBy(F.coalesce("often", F.lit(0)), "seed")
+    spread = items.select("item_id", "tokens", "needed", F.size("seeds").alias("m"), F.explode("seeds").alias("seed")).join(often, "seed", "left")
+    rare = spread.withColumn("place", F.row_number().over(by_rarity)).where("often > 0 and place <= m - needed + 1").select("item_id", "seed")
+    pairs = materialize(asked.join(rare, "seed").select("doc_id", "row", "item_id").distinct())
+    held = items.select("item_id", F.col("tokens").alias("item_tokens"), F.col("seeds").alias("item_seeds"), "needed")
+    both = pairs.join(met.select("doc_id", "row", "seeds", "tokens", "places"), ["doc_id", "row"]).join(held, "item_id")
+    full = both.where(F.size(F.array_intersect("seeds", "item_seeds")) >= F.col("needed"))
     kind = pa.list_(pa.struct([("item_at", pa.int32()), ("text_at", pa.int32()), ("length", pa.int32())]))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
