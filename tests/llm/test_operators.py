@@ -5,6 +5,7 @@ import glob
 import math
 import os
 import sys
+import time
 import zlib
 from collections import Counter
 
@@ -253,6 +254,15 @@ def test_tiling_matches_brute_force():
         assert abs(sum(n for *_, n in tiles) - plain(item.tolist(), text.tolist(), 4)) <= 4
 
 
+def test_tiling_of_one_repeated_word():
+    began = time.time()
+    assert tiling.tile(np.full(200, 7, np.uint64), np.full(100_000, 7, np.uint64)) == [(0, 0, 200)]
+    assert time.time() - began < 20
+    # Tiles that cut a run leave its rest: 6 + 5 of the item's 11 tokens.
+    item, text = np.array([1] * 11, np.uint64), np.array([1] * 6 + [2] + [1] * 5, np.uint64)
+    assert sorted(n for *_, n in tiling.tile(item, text)) == [5, 6]
+
+
 def test_contamination(spark):
     item = "Which planet is nearest to the sun? It turns once in fifty nine days, more or less, around itself."
     halves = "It turns once in FIFTY nine days -- more or less around itself! Some other words. which planet is nearest to the sun"
@@ -377,6 +387,16 @@ def test_context_of_whole_words(spark):
     assert [r["spans"][0]["score"] for r in pii.find_pii(frame(spark, texts)).orderBy("doc_id").collect()] == [0.7, 0.7, 0.3, 0.3, 0.8, 0.4, 0.3, 0.7]
 
 
+def test_very_many_spans(spark):
+    """More spans than a fold gathers at once, and gaps longer than a piece."""
+    n, gap = 3 * pii.GATHERED + 7, "é😀 " * pii.PIECE
+    text = "10.2.3.4 ok " * n + gap + "a@b.co" + gap
+    (row,) = pii.find_pii(frame(spark, [text])).collect()
+    assert [(s["kind"], s["start"]) for s in row["spans"]] == [("ip", 12 * i) for i in range(n)] + [("email", 12 * n + len(gap))]
+    (row,) = pii.redact(frame(spark, [text])).collect()
+    assert row["text"] == "[IP] ok " * n + gap + "[EMAIL]" + gap
+
+
 def test_native_plan(spark):
     plan = queries.op10_pii(spark, SF)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))

@@ -4,7 +4,9 @@ Regular expressions propose spans; validators confirm them (Luhn for cards,
 mod-97 for IBANs, part and digit ranges for IPs and phones); words near a span
 raise or lower its score, which ranks spans and takes none away. All of it are built-in functions: the text between
 matches comes from ``split``, the matches from ``regexp_extract_all``, and a fold
-over both yields positions. Texts without a digit or an ``@`` are not folded.
+over their lengths yields positions. Texts without a digit or an ``@`` are not folded.
+Text around and between spans is cut from pieces of PIECE code points, never from
+the whole text, so that a text of very many spans costs little more than its length.
 
 The patterns use possessive repeats, and look back so that a run of characters
 is tried once only: time stays linear and the matcher needs no deep stack on very
@@ -19,6 +21,8 @@ ignored by ``find_pii`` and kept by ``redact``.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -49,11 +53,52 @@ KINDS = (
 )
 
 
-def _context(text: Column, start: Column, end: Column) -> Column:
+#: Code points of a piece of the text, and entries that a fold gathers before it appends them.
+PIECE = 256
+GATHERED = 512
+
+
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}+"), F.lit(0))
+
+
+def _near(pieces: Column, start: Column, length: Column) -> Column:
+    """At most PIECE code points of the text from ``start`` on."""
+    at = F.floor(start / PIECE).cast("int")
+    two = F.concat(F.coalesce(F.get(pieces, at), F.lit("")), F.coalesce(F.get(pieces, at + 1), F.lit("")))
+    return two.substr(start - at * PIECE + 1, length)
+
+
+def _between(pieces: Column, start: Column, end: Column) -> Column:
+    """The text from ``start`` to ``end``, of any length."""
+    first, last = F.floor(start / PIECE).cast("int"), F.floor(end / PIECE).cast("int")
+    many = F.array_join(F.slice(pieces, first + 1, last - first + 1), "").substr(start - first * PIECE + 1, end - start)
+    return F.when(end - start <= PIECE, _near(pieces, start, end - start)).otherwise(many)
+
+
+def _gather(items: Column, number: Column, step, last=None) -> Column:
+    """A fold over ``items`` with one number, that writes one entry an item: ``step``
+    gives the next number and the entry's text. The entries as an array of strings.
+
+    Entries go into a short string, which is appended to the long one every
+    GATHERED entries, so that few long strings are copied."""
+
+    def fold(acc: Column, item: Column) -> Column:
+        at, entry = step(acc["at"], item)
+        now = F.concat(acc["now"], entry, F.lit(","))
+        full = acc["n"] >= GATHERED
+        return F.struct(at.alias("at"), F.when(full, F.lit(0)).otherwise(acc["n"] + 1).alias("n"), F.when(full, F.lit("")).otherwise(now).alias("now"), F.when(full, F.concat(acc["out"], now)).otherwise(acc["out"]).alias("out"))
+
+    zero = F.struct(number.alias("at"), F.lit(0).alias("n"), F.lit("").alias("now"), F.lit("").alias("out"))
+    tail = (lambda acc: F.concat(last(acc["at"]), F.lit(","))) if last else (lambda acc: F.lit(""))
+    return F.filter(F.split(F.aggregate(items, zero, fold, lambda acc: F.concat(acc["out"], acc["now"], tail(acc))), ","), lambda x: x != "")
+
+
+def _context(pieces: Column, start: Column, end: Column) -> Column:
     """The words near a span, lower-case, those cut at REACH up to their ends."""
     first = F.greatest(start - REACH - REST, F.lit(0))
-    before = F.regexp_extract(text.substr(first + 1, start - first), rf"(?s)(?:{_WORD}{{1,{REST}}}(?={_WORD}))?.{{0,{REACH}}}\z", 0)
-    after = F.regexp_extract(text.substr(end + 1, F.lit(REACH + REST)), rf"(?s)\A.{{0,{REACH}}}(?:(?<={_WORD}){_WORD}{{1,{REST}}})?", 0)
+    before = F.regexp_extract(_near(pieces, first, start - first), rf"(?s)(?:{_WORD}{{1,{REST}}}(?={_WORD}))?.{{0,{REACH}}}\z", 0)
+    after = F.regexp_extract(_near(pieces, end, F.lit(REACH + REST)), rf"(?s)\A.{{0,{REACH}}}(?:(?<={_WORD}){_WORD}{{1,{REST}}})?", 0)
     return F.lower(F.concat(before, F.lit(" "), after))
 
 
@@ -87,31 +132,31 @@ def valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(text: Column, matches: Column, number: int, kind: Kind) -> Column:
-    """Confirmed spans of one kind: array of (start, number of kind, end, score).
-
-    The fold adds up lengths and writes positions into a string, which stays
-    cheap to copy for texts with thousands of matches."""
+def _starts(text: Column, matches: Column, kind: Kind) -> Column:
+    """Where the matches of a kind start: strings of numbers, in order."""
     between = F.split(text, kind.pattern, -1)
-    pairs = F.arrays_zip(F.slice(between, F.lit(1), F.size(matches)).alias("gap"), matches.alias("match"))
+    sizes = F.zip_with(F.slice(between, F.lit(1), F.size(matches)), matches, lambda gap, match: F.struct(F.length(gap).alias("gap"), F.length(match).alias("match")))
+
+    def step(at: Column, size: Column) -> tuple[Column, Column]:
+        start = at + size["gap"]
+        return start + size["match"], start.cast("string")
+
+    return _gather(sizes, F.lit(0), step)
+
+
+def _spans(pieces: Column, matches: Column, starts: Column, number: int, kind: Kind) -> Column:
+    """Confirmed spans of one kind: array of (start, number of kind, end, score)."""
 
-    def step(acc: Column, pair: Column) -> Column:
-        match = pair["match"]
-        start = acc["at"] + F.length(pair["gap"])
+    def span(match: Column, written: Column) -> Column:
+        start = written.cast("int")
         end = start + F.length(match)
-        near = _context(text, start, end)
+        near = _context(pieces, start, end)
         hurt = near.rlike(f"(?<!{_WORD})(?:{kind.hurts})(?!{_WORD})")
         score = F.lit(kind.base) + F.when(near.rlike(kind.helps), 0.1).otherwise(0.0) - F.when(hurt, 0.4).otherwise(0.0)
-        written = F.concat(start.cast("string"), F.lit(":"), end.cast("string"), F.lit(":"), F.round(F.least(score, F.lit(1.0)), 2).cast("string"), F.lit(","))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.when(valid(kind.name, match), written).otherwise("")).alias("out"))
+        held = F.struct(start.alias("start"), F.lit(number).alias("number"), end.alias("end"), F.round(F.least(score, F.lit(1.0)), 2).alias("score"))
+        return F.when(valid(kind.name, match), held)
 
-    folded = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: acc["out"])
-
-    def read(item: Column) -> Column:
-        part = F.split(item, ":")
-        return F.struct(part[0].cast("int").alias("start"), F.lit(number).alias("number"), part[1].cast("int").alias("end"), part[2].cast("double").alias("score"))
-
-    return F.transform(F.filter(F.split(folded, ","), lambda x: x != ""), read)
+    return F.filter(F.zip_with(matches, starts, span), lambda s: s.isNotNull())
 
 
 def with_spans(documents: DataFrame, out: str) -> DataFrame:
@@ -121,11 +166,16 @@ def with_spans(documents: DataFrame, out: str) -> DataFrame:
     needed = {"email": at, "phone": digit & F.contains(text, F.lit("+"))}
     none = F.array().cast("array<string>")
     proposed = documents.withColumns({f"__{k.name}": F.when(needed.get(k.name, digit), F.regexp_extract_all(text, F.lit(k.pattern), F.lit(0))).otherwise(none) for k in KINDS})
+    some = reduce(or_, [F.size(f"__{k.name}") > 0 for k in KINDS])
+    placed = proposed.withColumns({
+        "__pieces": F.when(some, _pieces(text)).otherwise(none),
+        **{f"__at_{k.name}": F.when(F.size(f"__{k.name}") > 0, _starts(text, F.col(f"__{k.name}"), k)).otherwise(none) for k in KINDS},
+    })
     empty = F.array().cast("array<struct<start:int,number:int,end:int,score:double>>")
-    parts = [F.when(F.size(f"__{k.name}") > 0, _spans(text, F.col(f"__{k.name}"), i, k)).otherwise(empty) for i, k in enumerate(KINDS)]
+    parts = [F.when(F.size(f"__{k.name}") > 0, _spans(F.col("__pieces"), F.col(f"__{k.name}"), F.col(f"__at_{k.name}"), i, k)).otherwise(empty) for i, k in enumerate(KINDS)]
     names = F.array(*[F.lit(k.name) for k in KINDS])
     ordered = F.transform(F.array_sort(F.concat(*parts)), lambda s: F.struct(names[s["number"]].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score")))
-    return proposed.withColumn(out, ordered).drop(*[f"__{k.name}" for k in KINDS])
+    return placed.withColumn(out, ordered).drop("__pieces", *[f"__{k.name}" for k in KINDS], *[f"__at_{k.name}" for k in KINDS])
 
 
 def find_pii(documents: DataFrame) -> DataFrame:
@@ -136,13 +186,22 @@ def find_pii(documents: DataFrame) -> DataFrame:
 def redact(documents: DataFrame) -> DataFrame:
     """``documents`` with every confirmed span, whatever its score, replaced by
     its kind in brackets; overlapping spans become one, named by the first."""
-    found = with_spans(documents, "__found")
     text = F.col("text")
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        piece = F.concat(text.substr(acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"))
+    def step(at: Column, s: Column) -> tuple[Column, Column]:
+        fresh = s["start"] >= at
+        written = F.concat_ws(":", at.cast("string"), s["start"].cast("string"), F.upper(s["kind"]))
+        return F.greatest(at, s["end"]), F.when(fresh, written).otherwise("")
+
+    cuts = _gather(F.col("__found"), F.lit(0), step, lambda at: at.cast("string"))
+    found = with_spans(documents, "__found")
+    cut = found.withColumns({"__cuts": F.when(F.size("__found") > 0, cuts), "__pieces": F.when(F.size("__found") > 0, _pieces(text))})
+
+    def written(entry: Column) -> Column:
+        part = F.split(entry, ":")
+        end = F.coalesce(F.get(part, F.lit(1)).cast("int"), F.length(text))
+        kind = F.get(part, F.lit(2))
+        return F.concat(_between(F.col("__pieces"), part[0].cast("int"), end), F.when(kind.isNull(), "").otherwise(F.concat(F.lit("["), kind, F.lit("]"))))
 
-    folded = F.aggregate("__found", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text))))
-    return found.withColumn("text", F.when(F.size("__found") > 0, folded).otherwise(text)).drop("__found")
+    redacted = F.array_join(F.transform("__cuts", written), "")
+    return cut.withColumn("text", F.when(F.size("__found") > 0, redacted).otherwise(text)).drop("__found", "__cuts", "__pieces")
