@@ -62,3 +62,43 @@ def test_random_graphs_against_union_find(spark):
         ra, rb = find(a), find(b)
         parent[max(ra, rb)] = min(ra, rb)
     assert labels_of(spark, edges) == {x: find(x) for x in list(parent)}
+
+
+def advanced(spark, labels, rows):
+    """(labels, changes, merges) after one batch of rows of two identifiers."""
+    before = spark.createDataFrame(labels, "id string, component string, more string")
+    batch = spark.createDataFrame(rows, "a string, b string")
+    out = identity.advance_identities(before, batch, ["a", "b"])
+    return tuple(sorted((r[0], r[1]) for r in frame.collect()) for frame in out)
+
+
+def test_names_of_components_last(spark):
+    held = [("m", "m", "x"), ("n", "m", "x"), ("q", "q", "x"), ("z", "z", "x")]
+    # A smaller new identifier does not rename, two components meet, new ones are named.
+    labels, changes, merges = advanced(spark, held, [("a", "n"), ("q", "n"), ("k", "l"), ("e", None), (" ", None)])
+    assert labels == [("a", "m"), ("e", "e"), ("k", "k"), ("l", "k"), ("m", "m"), ("n", "m"), ("q", "m"), ("z", "z")]
+    assert changes == [("a", "m"), ("e", "e"), ("k", "k"), ("l", "k"), ("q", "m")]
+    assert merges == [("q", "m")]
+
+
+def test_a_batch_taken_in_twice_or_empty_changes_nothing(spark):
+    held = [("m", "m", "x"), ("n", "m", "x")]
+    for rows in ([("m", "n"), ("n", "m"), ("n", None)], [(None, None)], []):
+        assert advanced(spark, held, rows) == ([("m", "m"), ("n", "m")], [], [])
+    assert advanced(spark, [], [("b", "a")]) == ([("a", "a"), ("b", "a")], [("a", "a"), ("b", "a")], [])
+
+
+def test_batches_in_turn_against_one_run(spark):
+    rng = random.Random(8)
+    rows = [(f"a{rng.randrange(60):02d}", rng.choice([None, "", f"b{rng.randrange(60):02d}"])) for _ in range(90)]
+    labels, given_up = [], {}
+    for i in range(0, 90, 30):
+        labels, _, merges = advanced(spark, [(i, c, "") for i, c in labels], rows[i : i + 30])
+        assert not set(given_up) & {c for _, c in labels}
+        given_up.update(merges)
+    at_once = identity.resolve_identities(spark.createDataFrame(rows, "a string, b string"), ["a", "b"]).labels.collect()
+    least = {}
+    for i, c in labels:
+        least[c] = min(i, least.get(c, i))
+    assert sorted((i, least[c]) for i, c in labels) == sorted((r["id"], r["component"]) for r in at_once)
+    assert not set(given_up) & {c for _, c in labels}

@@ -144,6 +144,51 @@ def connected_components(vertex_ids: DataFrame, edges: DataFrame) -> DataFrame:
     return vertex_ids.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
+class Advanced(NamedTuple):
+    labels: DataFrame  # (id, component): the whole table after the batch
+    changes: DataFrame  # (id, component): its rows that are new or named otherwise
+    merges: DataFrame  # (old_component, component): names that were given up
+
+
+def advance_identities(labels: DataFrame, rows: DataFrame, id_cols: Sequence[str], typed: bool = False) -> Advanced:
+    """Yesterday's labels and one batch of rows -> today's labels.
+
+    The batch's identifiers stand for their components, the others for themselves, and
+    the components of this small graph are found by the same contraction: its vertices
+    are what the batch names, however large the components behind them are. Names last:
+    a component keeps its name as long as it meets no other; where components meet, the
+    smallest of their names stays and the others go to ``merges``. Only a component of
+    new identifiers alone is named by its smallest member. So a name is always one of
+    the component's members, though not always the smallest.
+
+    ``labels`` is read (id, component), one row an id; columns beside these are left
+    out. A batch that was taken in before changes nothing. The other results are views
+    of ``changes`` and ``merges`` over yesterday's table: renamed members are found by
+    one join with the merge log, and a table kept by key needs ``changes`` only.
+    """
+    spark = rows.sparkSession
+    base = scratch_path(spark, "advance")
+    before = labels.select("id", F.col("component").alias("held"))
+    arrays = stored(identifier_arrays(rows, id_cols, typed), f"{base}/arrays")
+    known = stored(vertices(arrays).join(before, "id", "left"), f"{base}/known")
+    one, two = known.toDF("src", "src_held"), known.toDF("dst", "dst_held")
+    # A name is an identifier of yesterday, so no new one is the same string; old names
+    # come before new identifiers, whatever they look like.
+    name = lambda held, own: F.struct(held.isNull().alias("fresh"), F.coalesce(held, own).alias("name"))
+    edges = star_edges(arrays).distinct().join(one, "src").join(two, "dst")
+    edges = edges.select(name(F.col("src_held"), F.col("src")).alias("src"), name(F.col("dst_held"), F.col("dst")).alias("dst"))
+    met = known.select(name(F.col("held"), F.col("id")).alias("id")).distinct()
+    # The least struct of a component is its smallest old name, if it has one.
+    joined = stored(connected_components(met, edges).select("id.*", F.col("component.name").alias("component")), f"{base}/joined")
+    merges = joined.where(~F.col("fresh") & (F.col("name") != F.col("component"))).select(F.col("name").alias("old_component"), "component")
+    new = joined.where("fresh").select(F.col("name").alias("id"), "component")
+    renamed = before.join(merges.withColumnRenamed("old_component", "held"), "held").select("id", "component")
+    kept = before.join(merges.withColumnRenamed("old_component", "held"), "held", "left")
+    remove_path(spark, f"{base}/arrays")
+    remove_path(spark, f"{base}/known")
+    return Advanced(kept.select("id", F.coalesce("component", "held").alias("component")).unionByName(new), renamed.unionByName(new), merges)
+
+
 def resolve_identities(rows: DataFrame, id_cols: Sequence[str], typed: bool = False) -> Components:
     arrays = identifier_arrays(rows, id_cols, typed)
     labels = connected_components(vertices(arrays), star_edges(arrays))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.geo import geohash
-from tidelog.operators import activity, geo, identity, keywords, logs, urls, versions, wordcount
+from tidelog.operators import activity, geo, identity, keywords, lattice, logs, urls, versions, wordcount
 from tidelog.plans import derive
 from tidelog.plans.pipelines import preprocess_logs
 from tidelog.plans.tables import table
@@ -238,6 +238,19 @@ def title_keywords_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", keywords.keywords(F.col("text"), F.col("_stop_words"), segmenter=segmenter).alias("keyword"))
 
 
+# The dictionary of the lattice's query: so many words of 2 to so many letters.
+DICTIONARY_WORDS = 100_000
+DICTIONARY_LETTERS = 6
+
+
+def title_keywords_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts segmented over a lattice (T1): the dictionary is the most frequent short
+    words of the texts themselves, so longer words fall into their parts."""
+    documents = table(spark, sf_dir, "documents")
+    segmenter = lattice.lattice_segmenter(lattice.count_dictionary(documents, "text", 2, DICTIONARY_LETTERS, DICTIONARY_WORDS))
+    return documents.select("doc_id", keywords.keywords(F.col("text"), segmenter=segmenter).alias("keyword"))
+
+
 def traffic_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keywords are left out: the detail rows do not carry the event map."""
     records = logs.identity_filter(logs.parse_logs(derive.log_lines(spark, sf_dir)))
@@ -320,6 +333,33 @@ def component_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _components(spark, sf_dir).sizes
 
 
+# Rows up to this date are yesterday's, the others come in two later runs.
+FIRST_UNTIL, SECOND_UNTIL = "1994-12-31", "1996-12-31"
+
+
+def identity_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components kept up over three runs (G1-G4): the component that an identifier has
+    by its lasting name, and by the smallest member as a run over all rows names it."""
+    id_cols = ["order_id", "offer_id", "part_id"]
+    rows = derive.identity_rows(spark, sf_dir)
+    day = F.to_date("l_shipdate")
+    first, second = F.lit(FIRST_UNTIL).cast("date"), F.lit(SECOND_UNTIL).cast("date")
+    labels = stored(identity.resolve_identities(rows.where(day <= first), id_cols).labels, _scratch(spark, "labels"))
+    for batch in (rows.where((day > first) & (day <= second)), rows.where((day > second) | day.isNull())):
+        labels = stored(identity.advance_identities(labels, batch, id_cols).labels, _scratch(spark, "labels"))
+    smallest = labels.groupBy("component").agg(F.min("id").alias("smallest"))
+    return labels.join(smallest, "component").select("id", "component", "smallest")
+
+
+def identity_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge log of one later run: names that were given up, and for which ones."""
+    id_cols = ["order_id", "offer_id", "part_id"]
+    rows = derive.identity_rows(spark, sf_dir)
+    early = F.coalesce(F.to_date("l_shipdate") <= F.lit(SECOND_UNTIL).cast("date"), F.lit(False))
+    labels = stored(identity.resolve_identities(rows.where(early), id_cols).labels, _scratch(spark, "labels"))
+    return identity.advance_identities(labels, rows.where(~early), id_cols).merges
+
+
 MEMBERS_PER_PAGE = 500
 
 
@@ -402,12 +442,15 @@ QUERIES: dict[str, Query] = {
     "traffic_detail_by_day": traffic_detail_by_day,
     "traffic_detail_rerun": traffic_detail_rerun,
     "title_keywords_dictionary": title_keywords_dictionary,
+    "title_keywords_lattice": title_keywords_lattice,
     "area_dic_file": area_dic_file,
     "url_category_files": url_category_files,
     "geocode_parse": geocode_parse,
     "identity_components": identity_components,
     "component_sizes": component_sizes,
     "component_pages": component_pages,
+    "identity_daily": identity_daily,
+    "identity_merges": identity_merges,
     "geo_backfill": geo_backfill,
     "stopword_anti": stopword_anti,
     "roundtrip_parquet": roundtrip_parquet,

@@ -277,4 +277,5 @@ def identity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linenumber") % 4 == 0, F.concat(F.lit("pt"), F.col("l_partkey").cast("string")))
         .when(F.col("l_linenumber") % 4 == 1, F.lit(" "))
         .alias("part_id"),
+        "l_shipdate",
     )

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from tidelog.functions.geo import geohash_sql
 from tidelog.operators.keywords import STOP_WORDS
-from tidelog.plans.bindings import MEMBERS_PER_PAGE, SYLLABLES
+from tidelog.operators.lattice import UNKNOWN
+from tidelog.plans.bindings import DICTIONARY_LETTERS, DICTIONARY_WORDS, FIRST_UNTIL, MEMBERS_PER_PAGE, SECOND_UNTIL, SYLLABLES
 
 _ZIPPER = """
 d AS (
@@ -202,21 +203,29 @@ _REC_COLS = (
     "release_ch, promotion_ch, areacode, longtitude, latitude, carrier, netType, sessionId"
 )
 
-_CC = """
-r AS (
+
+
+def _cc(name: str = "cc", where: str = "true") -> str:
+    """Components of the identity rows of some days as CTEs; tables end in ``name``."""
+    return f"""
+r_{name} AS (
   SELECT 'o' || CAST(l_orderkey AS VARCHAR) AS a,
          'ps' || CAST(l_suppkey AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) AS b,
-         CASE WHEN l_linenumber % 4 = 0 THEN 'pt' || CAST(l_partkey AS VARCHAR) END AS c FROM lineitem),
-e AS (SELECT a AS x, b AS y FROM r UNION SELECT b, a FROM r
-      UNION SELECT a, c FROM r WHERE c IS NOT NULL UNION SELECT c, a FROM r WHERE c IS NOT NULL),
-v AS (SELECT DISTINCT x AS id FROM e),
-cc(id, comp) USING KEY (id) AS (
-  SELECT id, id FROM v
+         CASE WHEN l_linenumber % 4 = 0 THEN 'pt' || CAST(l_partkey AS VARCHAR) END AS c FROM lineitem WHERE {where}),
+e_{name} AS (SELECT a AS x, b AS y FROM r_{name} UNION SELECT b, a FROM r_{name}
+      UNION SELECT a, c FROM r_{name} WHERE c IS NOT NULL UNION SELECT c, a FROM r_{name} WHERE c IS NOT NULL),
+v_{name} AS (SELECT DISTINCT x AS id FROM e_{name}),
+{name}(id, comp) USING KEY (id) AS (
+  SELECT id, id FROM v_{name}
   UNION
-  SELECT e.y AS id, min(cc.comp) AS comp
-  FROM cc JOIN e ON e.x = cc.id JOIN recurring.cc AS cur ON cur.id = e.y
+  SELECT e.y AS id, min({name}.comp) AS comp
+  FROM {name} JOIN e_{name} AS e ON e.x = {name}.id JOIN recurring.{name} AS cur ON cur.id = e.y
   GROUP BY e.y, cur.comp
-  HAVING min(cc.comp) < cur.comp)"""
+  HAVING min({name}.comp) < cur.comp)"""
+
+
+_CC = _cc()
+_UNTIL_SECOND = _cc("cc2", f"CAST(l_shipdate AS DATE) <= DATE '{SECOND_UNTIL}'")
 
 ORACLES.update({
     "log_flatten": f"""WITH {_RECS}
@@ -310,3 +319,44 @@ ORACLES["component_pages"] = f"""WITH RECURSIVE {_CC},
 placed AS (SELECT comp, id, (row_number() OVER (PARTITION BY comp ORDER BY id) - 1) // {MEMBERS_PER_PAGE} AS page FROM cc)
 SELECT comp AS component, CAST(page AS BIGINT) AS page, CAST(count(*) AS INTEGER) AS n_members, string_agg(id, ',' ORDER BY id) AS members
 FROM placed GROUP BY comp, page"""
+
+# After the second batch a component has the smallest name of the first, if it has one.
+ORACLES["identity_daily"] = f"""WITH RECURSIVE {_CC}, {_UNTIL_SECOND},
+seen AS (SELECT DISTINCT unnest([a, b, c]) AS id FROM (
+  SELECT 'o' || CAST(l_orderkey AS VARCHAR) AS a, 'ps' || CAST(l_suppkey AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) AS b,
+         CASE WHEN l_linenumber % 4 = 0 THEN 'pt' || CAST(l_partkey AS VARCHAR) END AS c
+  FROM lineitem WHERE CAST(l_shipdate AS DATE) <= DATE '{FIRST_UNTIL}')),
+second AS (SELECT cc2.comp, coalesce(min(seen.id), cc2.comp) AS name FROM cc2 LEFT JOIN seen ON seen.id = cc2.id GROUP BY cc2.comp),
+named AS (SELECT cc2.id, second.name FROM cc2 JOIN second ON second.comp = cc2.comp),
+third AS (SELECT cc.comp, coalesce(min(named.name), cc.comp) AS name FROM cc LEFT JOIN named ON named.id = cc.id GROUP BY cc.comp)
+SELECT cc.id, third.name AS component, cc.comp AS smallest FROM cc JOIN third ON third.comp = cc.comp"""
+ORACLES["identity_merges"] = f"""WITH RECURSIVE {_CC}, {_UNTIL_SECOND},
+names AS (SELECT DISTINCT cc.comp, cc2.comp AS name FROM cc JOIN cc2 ON cc2.id = cc.id),
+last AS (SELECT name AS old_component, min(name) OVER (PARTITION BY comp) AS component FROM names)
+SELECT old_component, component FROM last WHERE old_component <> component"""
+# The cheapest path to each place of a distinct word, one letter a step; letters that
+# no word covers are not set apart by blanks, so neighbours grow together.
+ORACLES["title_keywords_lattice"] = f"""WITH RECURSIVE
+texts AS (SELECT row_number() OVER () AS t, doc_id, regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+') AS rs FROM documents),
+tok AS (SELECT t, unnest(rs) AS r, unnest(range(1, len(rs) + 1)) AS i FROM texts),
+dic AS (SELECT r AS word, count(*) AS n FROM tok WHERE length(r) BETWEEN 2 AND {DICTIONARY_LETTERS} GROUP BY r ORDER BY n DESC, r LIMIT {DICTIONARY_WORDS}),
+total AS (SELECT CAST(sum(n) AS DOUBLE) AS n FROM dic),
+cost AS (SELECT word, CAST(floor(1000 * ln(total.n / dic.n) + 0.5) AS BIGINT) AS c FROM dic, total),
+runs AS (SELECT DISTINCT r FROM tok),
+places AS (SELECT r, unnest(range(1, length(r) + 1)) AS e FROM runs),
+pieces AS (SELECT r, e, unnest(range(1, least(e, {DICTIONARY_LETTERS}) + 1)) AS l FROM places),
+edges AS (
+  SELECT r, e, l, c, false AS u FROM pieces JOIN cost ON word = substr(r, CAST(e - l + 1 AS BIGINT), CAST(l AS BIGINT))
+  UNION ALL
+  SELECT r, e, 1, CAST(floor(1000 * ln(total.n) + 0.5) AS BIGINT) + {UNKNOWN}, true FROM places, total),
+ways AS (SELECT r, e, list({{'l': l, 'c': c, 'u': u}}) AS ways FROM edges GROUP BY r, e),
+path(r, e, costs, paths) AS (
+  SELECT r, CAST(0 AS BIGINT), [CAST(0 AS BIGINT)], [''] FROM runs
+  UNION ALL
+  SELECT r, e, list_append(costs, best.c), list_append(paths, paths[e + best.l + 1] || CASE WHEN best.u THEN substr(r, e, 1) ELSE ' ' || substr(r, CAST(e + best.l + 1 AS BIGINT), CAST(-best.l AS BIGINT)) || ' ' END)
+  FROM (SELECT p.r, w.e, p.costs, p.paths, list_min(list_transform(w.ways, lambda x: {{'c': p.costs[w.e - x.l + 1] + x.c, 'l': -x.l, 'u': x.u}})) AS best
+        FROM path p JOIN ways w ON w.r = p.r AND w.e = p.e + 1)),
+cut AS (SELECT r, string_split(trim(regexp_replace(paths[e + 1], ' +', ' ', 'g')), ' ') AS ws FROM path WHERE e = length(r)),
+words AS (SELECT t, i, array_to_string(list_filter(ws, lambda x: length(x) >= 2 AND NOT list_contains({_STOP_SQL}, x)), ' ') AS k FROM tok JOIN cut USING (r)),
+joined AS (SELECT t, string_agg(k, ' ' ORDER BY i) AS keyword FROM words WHERE k <> '' GROUP BY t)
+SELECT doc_id, CASE WHEN rs IS NOT NULL THEN coalesce(keyword, '') END AS keyword FROM texts LEFT JOIN joined USING (t)"""
