@@ -75,6 +75,11 @@ def leaves(html: str | None) -> list[Leaf]:
     if not html:
         return out
     stack: list[tuple[str, tuple[str, ...]]] = []
+    # How often each tag, class and id is open, in the order of their first places; the
+    # names as a path, made anew after a change; where each tag is open.
+    opened: dict[str, int] = {}
+    path: tuple[str, ...] | None = ()
+    places: dict[str, list[int]] = {}
     pieces: list[str] = []
     links, linked = 0, 0
     at, n, last_end = 0, len(html), html.rfind(">")
@@ -88,12 +93,34 @@ def leaves(html: str | None) -> list[Leaf]:
         if links:
             linked += len(text.strip())
 
+    def push(name: str, tokens: tuple[str, ...]) -> None:
+        nonlocal path
+        places.setdefault(name, []).append(len(stack))
+        stack.append((name, tokens))
+        for t in tokens:
+            count = opened.get(t, 0)
+            opened[t] = count + 1
+            path = path if count else None
+
+    def cut(depth: int) -> None:
+        """Close all elements from ``depth`` on."""
+        nonlocal path
+        while len(stack) > depth:
+            name, tokens = stack.pop()
+            places[name].pop()
+            for t in tokens:
+                opened[t] -= 1
+                if not opened[t]:
+                    del opened[t]
+                    path = None
+
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, path
         text = " ".join("".join(pieces).split())
         pieces.clear()
         if text:
-            out.append(Leaf(text, tuple(dict.fromkeys(t for _, own in stack for t in own)), linked))
+            path = tuple(opened) if path is None else path
+            out.append(Leaf(text, path, linked))
         linked = 0
 
     while at < n:
@@ -133,23 +160,17 @@ def leaves(html: str | None) -> list[Leaf]:
             continue
         flush()
         if closing:
-            if any(tag == name for tag, _ in stack):
-                while stack.pop()[0] != name:
-                    pass
+            if places.get(name):
+                cut(places[name][-1])
                 links = 0
         elif name not in VOID:
             if stack and stack[-1][0] == "p":
-                stack.pop()
+                cut(len(stack) - 1)
             holders = ENDS_ITSELF.get(name)
-            if holders:
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth][0] in holders:
-                        break
-                    if stack[depth][0] == name:
-                        del stack[depth:]
-                        break
+            if holders and places.get(name) and places[name][-1] > max((places[h][-1] for h in holders if places.get(h)), default=-1):
+                cut(places[name][-1])
             tokens = (name, *("." + p.lower() for value in NAMES.findall(m.group(3) or m.group(6) or "") for p in PART.findall(value)))
-            stack.append((name, tokens))
+            push(name, tokens)
     flush()
     return out
 
