@@ -353,6 +353,34 @@ def test_values_of_sensitive_names(text, want):
     assert [text[s["start"] : s["end"]] for s in secrets.scan(text)] == want
 
 
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ('x = "Zk39fjQ0a8"\nx = load()\npassword = x', []),
+        ('x = "Zk39fjQ0a8"\nuse(x=load())\nif x:\n  pass\npwd = x', ["Zk39fjQ0a8"]),
+        ('x = "Zk39fjQ0a8"\nx = "aB3dE5fG7h"\npwd = x', ["aB3dE5fG7h"]),
+        ('db_pwd = """aB3dE5fG7h"""', ["aB3dE5fG7h"]),
+        ("db_pwd = '''\n  aB3dE5fG7h\n'''", ["aB3dE5fG7h"]),
+        ("cfg['db_pwd'] = 'aB3dE5fG7h'", ["aB3dE5fG7h"]),
+        ('os.environ["A"]["DB_PWD"] = "aB3dE5fG7h";', ["aB3dE5fG7h"]),
+        ('set_pwd("aB3dE5fG7h")', ["aB3dE5fG7h"]),
+        ('k = "aB3dE5fG7h"; conn.setDbPwd(k)', ["aB3dE5fG7h"]),
+        ('props.setProperty("db.pwd", "aB3dE5fG7h")', ["aB3dE5fG7h"]),
+        ("define('DB_PWD', 'aB3dE5fG7h');", ["aB3dE5fG7h"]),
+        ('settle_pwd("aB3dE5fG7h") check("db.pwd", "aB3dE5fG7h")', []),
+        ("db:\n  pwd: |\n    aB3dE5fG7h\n  host: x", ["aB3dE5fG7h"]),
+        ("private_key: >-\n  aB3dE5fG7h\n  Q9w8E7r6tt\n\nnext: 1", ["aB3dE5fG7h\n  Q9w8E7r6tt"]),
+        ("pwd: |\nnot: inside", []),
+        ("<conf><db_pwd kind='x'> aB3dE5fG7h </db_pwd></conf>", ["aB3dE5fG7h"]),
+        ("<db_pwd>aB3dE5fG7h</db_host>", []),
+        ('db_pwd = f"aB3dE5{x}fG7h"', []),
+        ('db_pwd = b"aB3dE5fG7h"\nauth_key = f\'Q9w8E7r6tt\'', ["aB3dE5fG7h", "Q9w8E7r6tt"]),
+    ],
+)
+def test_more_forms_of_assignment(text, want):
+    assert [text[s["start"] : s["end"]] for s in secrets.scan(text) if s["kind"] == "literal"] == want
+
+
 @pytest.mark.parametrize("name", ["pass_phrase", "pass_word", "pass-phrase", "db.p_w_d", "Pass_Word", "to_ken", "sec_ret", "cre-dential", "auth_k$ey"])
 def test_no_hint_is_missed(name):
     text = name + ' = "aB3dE5fG7h"'
@@ -360,7 +388,7 @@ def test_no_hint_is_missed(name):
 
 
 def test_lexing_stays_linear():
-    for piece in ("f(a=x+", "a: b ", "pwd=[", "a:[", "x = y + ", "pwd: ", "db_pwd=" + "z" * 50 + " "):
+    for piece in ("f(a=x+", "a: b ", "pwd=[", "a:[", "x = y + ", "pwd: ", "db_pwd=" + "z" * 50 + " ", '"""', "pwd: |\n ", "<pwd ", "<pwd>a", "set(pwd, "):
         secrets.scan("pwd secret " + piece * 20_000)
 
 
@@ -559,6 +587,15 @@ def test_raw_elements():
     assert len(texts("<canvas><p>a</p>" * 100_000)) == 100_000
 
 
+def test_deep_pages_stay_linear():
+    began = time.time()
+    assert len(html.leaves("<div class=a><p>x</p>" * 100_000)) == 100_000
+    assert len(html.leaves("<div>" * 50_000 + "<li>x</li></dd><dt>" * 50_000)) == 50_000
+    assert time.time() - began < 20
+    page = "<ul class=b><li class=a>x<div class=a>y</div><li>z</ul><dl><dt>k<dd>v</dl>w"
+    assert [b.path for b in html.leaves(page)] == [("ul", ".b", "li", ".a"), ("ul", ".b", "li", ".a", "div"), ("ul", ".b", "li"), ("dl", "dt"), ("dl", "dt", "dd"), ()]
+
+
 def test_new_layouts():
     """Pages without semantic tags, laid out in ways not trained on."""
     import pandas as pd

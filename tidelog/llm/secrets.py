@@ -3,8 +3,12 @@
 A text is lexed as source or configuration: names, quoted literals, assignment
 signs and plus signs. A name (or quoted key) before an assignment sign and the
 terms after it form a name-literal pair; names of earlier literals stand for
-them (constants propagate, also through concatenation). A type between name and
-sign is passed over. A literal is scored by its target's name and by its own look,
+them (constants propagate, also through concatenation) until something unknown is
+assigned to the name. A type between name and sign is passed over. A subscript by a
+quoted name is a target like that name, and so are a setter's name before its one
+argument and the first of two quoted arguments of a setter. Strings may have prefixes
+or three quotes (then without the white space at their ends); a formatted one with
+fields is no literal. A literal is scored by its target's name and by its own look,
 so that ``x = "..."; password = x`` is found at the literal; where some terms are
 unknown (calls, other names), the literal ones are scored one by one. Three fixed
 patterns always count beside that.
@@ -12,7 +16,9 @@ patterns always count beside that.
 Where a line is no more than name, sign and a bare value (.env, YAML, INI,
 properties), the value up to the line's end is a literal, without a comment after
 it and without a comma or semicolon at its end. Calls, lists, variables, types, paths
-of names without a digit and names of constants are no values.
+of names without a digit and names of constants are no values. Block scalars of YAML
+(their lines, scored by the best one) and the text of an element named by its tag are
+literals too.
 
 Spans: kind, start, end (code points, end exclusive), score, name. Kinds in this
 order: ``assign``, ``access``, ``hex`` (the fixed patterns: their whole match),
@@ -50,7 +56,7 @@ PLACEHOLDER = re.compile(r"^(x+|\*+|\.+|changeme|example|password|passwd|secret|
 LEAST_SCORE = 0.5
 
 TOKEN = re.compile(
-    r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)"""
+    r"""(?P<string>\"{3}[\s\S]*?\"{3}|'{3}[\s\S]*?'{3}|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)"""
     r"""|(?P<name>[A-Za-z_$][\w$.-]*)"""
     r"""|(?P<assign>:=|=>|==+|!=|<=|>=|=|:)"""
     r"""|(?P<plus>\+)|(?P<end>[\n;,{}()\[\]])|(?P<other>[^\s"'`A-Za-z_$:=!<>+\n;,{}()\[\]]+|.)"""
@@ -65,9 +71,20 @@ TYPE_WORDS = frozenset("static mut const dyn unsigned readonly keyof typeof".spl
 #: A line of configuration. A value begins with no quote; a comment follows white space.
 BARE = re.compile(
     r"""^[^\S\n]*(?:-[^\S\n]+)?(?:(?:export|set|setx|env|arg|declare|local)[^\S\n]+)?(?P<quote>["']?)(?P<name>[A-Za-z_$][\w$.-]*)(?P=quote)"""
-    r"""[^\S\n]*(?:=>|:=|=(?!=)|:)[^\S\n]*(?P<value>[^\s"'`#]\S*+)(?:[^\S\n]+(?:\#|;|//)[^\n]*)?[^\S\n]*$""",
+    r"""[^\S\n]*(?:=>|:=|=(?!=)|:)[^\S\n]*(?P<value>(?![fFrRbBuU]{1,2}["'])[^\s"'`#]\S*+)(?:[^\S\n]+(?:\#|;|//)[^\n]*)?[^\S\n]*$""",
     re.MULTILINE | re.IGNORECASE,
 )
+#: A block scalar: the lines after the sign that are further to the right.
+SCALAR = re.compile(
+    r"""^(?P<indent>[^\S\n]*+)(?:-[^\S\n]+)?(?P<quote>["']?)(?P<name>[A-Za-z_$][\w$.-]*)(?P=quote)[^\S\n]*:[^\S\n]*[|>][-+0-9]*[^\S\n]*\n"""
+    r"""(?P<body>(?:(?P=indent)[^\S\n]++\S[^\n]*(?:\n|\Z)|[^\S\n]*+\n)+)""",
+    re.MULTILINE,
+)
+#: An element of one word.
+ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][\w.:-]*+)(?:\s[^<>]*+)?>\s*+(?P<value>[^<>\s]++)\s*+</(?P=name)\s*+>")
+#: What stands before a string's quotes; names of functions that set a value.
+PREFIX = re.compile(r"[rRbBuU]{1,2}|[fF][rR]?|[rR][fF]")
+SETTER = re.compile(r"(?:[\w$.-]*[.-])?(?:(?:[sS]et|[pP]ut|[aA]dd|[dD]efine)(?![a-z])[\w$]*|[sS]etenv|putenv|setdefault)")
 #: A call, a list or map, a variable, a path of names without a digit: no value itself.
 CODE = re.compile(r"[A-Za-z_$][\w$.]*\(.*\)|\[.*\]|\{.*\}|\$[A-Za-z_]\w*|%\w+%|[A-Za-z_$][^\W\d]*(?:(?:\.|::|->)[A-Za-z_$][^\W\d]*)+")
 
@@ -96,7 +113,40 @@ def literal_score(value: str) -> float:
 
 
 def _tokens(text: str) -> list[tuple[str, str, int, int]]:
-    return [(m.lastgroup, m.group(), m.start(), m.end()) for m in TOKEN.finditer(text) if m.lastgroup != "other" or not m.group().isspace()]
+    out: list[tuple[str, str, int, int]] = []
+    for m in TOKEN.finditer(text):
+        kind, piece, start = m.lastgroup, m.group(), m.start()
+        if kind == "other" and piece.isspace():
+            continue
+        if kind == "string" and out and out[-1][0] == "name" and out[-1][3] == start and PREFIX.fullmatch(out[-1][1]):
+            if "f" in out.pop()[1].lower() and "{" in piece:
+                kind = "other"
+        out.append((kind, piece, start, m.end()))
+    return out
+
+
+def _content(text: str, start: int, end: int) -> tuple[int, int]:
+    """Where the content of the quoted string at start to end lies."""
+    quotes = 3 if end - start >= 6 and text[start : start + 3] in ('"""', "'''") else 1
+    start, end = start + quotes, end - quotes
+    if quotes == 3:
+        piece = text[start:end]
+        end -= len(piece) - len(piece.rstrip())
+        start = min(end, start + len(piece) - len(piece.lstrip()))
+    return start, end
+
+
+def _given(tokens: list[tuple[str, str, int, int]], i: int) -> tuple[str, int] | None:
+    """The target that a setter, whose name is token i, gives its last argument to, and
+    the place of that: ``set_pwd(value)``, ``setProperty("db.pwd", value)``."""
+    name = tokens[i][1]
+    if i + 3 >= len(tokens) or tokens[i + 1][1] != "(" or not SETTER.fullmatch(name):
+        return None
+    if tokens[i + 3][1] == ")":
+        return name, i + 2
+    if i + 5 < len(tokens) and tokens[i + 2][0] == "string" and tokens[i + 3][1] == "," and tokens[i + 5][1] == ")":
+        return tokens[i + 2][1].strip("\"'`"), i + 4
+    return None
 
 
 def _matches(tokens: list[tuple[str, str, int, int]]) -> dict[int, int]:
@@ -139,6 +189,8 @@ def _targets(tokens: list[tuple[str, str, int, int]], closing: dict[int, int], i
     sign = i + 1
     if kind == "name" and sign + 1 < len(tokens) and tokens[sign][1] in ("?", "!") and tokens[sign + 1][1] == ":":
         sign += 1
+    if kind == "string" and i and tokens[i - 1][1] == "[" and sign + 1 < len(tokens) and tokens[sign][1] == "]" and tokens[sign + 1][1] == "=":
+        sign += 1
     if sign >= len(tokens) or tokens[sign][0] != "assign" or tokens[sign][1] not in ASSIGNING:
         return None
     if kind == "name" and tokens[sign][1] == ":":
@@ -161,8 +213,21 @@ def assigned_literals(text: str) -> list[tuple[int, int, float, str]]:
         if score >= LEAST_SCORE and span[1] > span[0] and score > found.get(span, (0.0, ""))[0]:
             found[span] = (score, target)
 
+    # Up to here the arguments of some call go: a keyword there assigns nothing.
+    called = 0
     i = 0
     while i + 2 < len(tokens):
+        if tokens[i][1] == "(" and i in closing:
+            called = max(called, closing[i])
+        given = _given(tokens, i) if tokens[i][0] == "name" else None
+        if given is not None and name_score(given[0]):
+            kind, piece, start, end = tokens[given[1]]
+            if kind == "string":
+                span = _content(text, start, end)
+                report(span, name_score(given[0]) * literal_score(text[span[0] : span[1]]), given[0])
+            elif kind == "name" and piece in constants:
+                for span in constants[piece][1]:
+                    report(span, name_score(given[0]) * literal_score(constants[piece][0]), given[0])
         assigned = _targets(tokens, closing, i) if tokens[i][0] in ("name", "string") else None
         if assigned is None:
             i += 1
@@ -174,8 +239,8 @@ def assigned_literals(text: str) -> list[tuple[int, int, float, str]]:
             kind, piece, start, end = tokens[j]
             rest = j + 1
             if kind == "string":
-                value += piece[1:-1]
-                spans.append((start + 1, end - 1))
+                spans.append(_content(text, start, end))
+                value += text[spans[-1][0] : spans[-1][1]]
             elif kind == "name" and piece in constants:
                 value += constants[piece][0]
                 spans.extend(constants[piece][1])
@@ -198,7 +263,17 @@ def assigned_literals(text: str) -> list[tuple[int, int, float, str]]:
             constants.update((name, (value, tuple(spans))) for name in targets)
             i = j + 1
         else:
+            if tokens[sign][1] in ("=", ":=") and i >= called:
+                for name in targets:
+                    constants.pop(name, None)
             i = sign + 1
+    for m in SCALAR.finditer(text):
+        if name_score(m["name"]) and m["body"].strip():
+            start = m.end("body") - len(m["body"].lstrip())
+            best = max(literal_score(line.strip()) for line in m["body"].split("\n"))
+            report((start, start + len(m["body"].strip())), name_score(m["name"]) * best, m["name"])
+    for m in ELEMENT.finditer(text):
+        report((m.start("value"), m.end("value")), name_score(m["name"]) * literal_score(m["value"]), m["name"])
     for m in BARE.finditer(text):
         value = m["value"].rstrip(",;")
         if name_score(m["name"]) and value not in constants and value.lower() not in TYPES and not CODE.fullmatch(value):
