@@ -102,3 +102,26 @@ def test_batches_in_turn_against_one_run(spark):
         least[c] = min(i, least.get(c, i))
     assert sorted((i, least[c]) for i, c in labels) == sorted((r["id"], r["component"]) for r in at_once)
     assert not set(given_up) & {c for _, c in labels}
+
+
+def test_rows_stored_stay_near_the_number_of_identifiers(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(identity, "stored", lambda df, path, write=identity.stored: kept.append(write(df, path)) or kept[-1])
+    monkeypatch.setattr(identity, "remove_path", lambda session, path: None)
+    n = 3000
+    rows = spark.range(n).selectExpr("concat('a', id) a", "concat('b', id * 7 % 3000) b", "if(id % 4 = 0, concat('c', id % 3000), null) c")
+    sizes = identity.resolve_identities(rows, ["a", "b", "c"]).sizes
+    assert sum(r["n_members"] for r in sizes.collect()) == 2 * n + n // 4
+    assert sum(df.count() for df in kept) <= 5 * (2 * n + n // 4)
+    assert "SortAggregate" not in sizes._jdf.queryExecution().executedPlan().toString()
+
+
+def test_parts_of_small_chunks_meet(spark, monkeypatch):
+    monkeypatch.setattr(identity, "EDGES_AT_ONCE", 1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        ring = [(f"r{i:02d}", f"r{(i + 1) % 40:02d}") for i in range(40)]
+        got = labels_of(spark, ring + [("x", "y"), ("z", None), (None, "z")], ids=["x", "y", "z"])
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {**{f"r{i:02d}": "r00" for i in range(40)}, "x": "x", "y": "x", "z": "z"}
