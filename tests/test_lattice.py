@@ -4,6 +4,7 @@ import math
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,3 +105,17 @@ def test_segmenter_of_columns(spark):
 def test_counted_dictionary(spark):
     df = spark.createDataFrame([("ab ab cde f",), (None,), ("cde, ab xy",), ("abcdefg",)], "t string")
     assert lattice.count_dictionary(df, "t", 2, 6, 2) == [("ab", 3), ("cde", 2)]
+
+
+def test_runs_become_python_strings_some_at_a_time(spark, monkeypatch):
+    seen = []
+    segment = lattice.Lattice.segment
+    monkeypatch.setattr(lattice.Lattice, "segment", lambda self, runs: seen.append(len(runs)) or segment(self, runs))
+    monkeypatch.setattr(lattice.F, "arrow_udf", lambda cut, kind: seen.append(cut))
+    monkeypatch.setattr(lattice, "RUNS_AT_ONCE", 2, raising=False)
+    monkeypatch.setattr(lattice, "ROWS_AT_ONCE", 4, raising=False)
+    lattice.lattice_segmenter([("ab", 3), ("cd", 2)])
+    batch = pa.array([["no"], ["abcd", "x1"], None, [], ["cdab", "abcd", "x1"], ["x1"]], pa.list_(pa.string())).slice(1)
+    got = seen.pop(0)(batch)
+    assert got.to_pylist() == [["ab", "cd", "x1"], None, [], ["cd", "ab", "ab", "cd", "x1"], ["x1"]]
+    assert seen == [2, 1, 1]

@@ -25,7 +25,8 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,11 @@ UNKNOWN = 5000
 # A dictionary of more words is refused: it would not fit the tasks' closures.
 MAX_WORDS = 2_000_000
 # Code points of distinct runs that are searched together (a longer run goes alone).
-LETTERS_AT_ONCE = 1 << 18
+LETTERS_AT_ONCE = 1 << 16
+# Distinct runs that are Python strings at a time.
+RUNS_AT_ONCE = 1 << 14
+# Rows of a batch that are put together at a time.
+ROWS_AT_ONCE = 1 << 11
 # Bits that a letter takes of an edge, and that a word's length and the mark of an
 # unknown letter take of a path's rank.
 _LETTER_BITS, _LENGTH_BITS = 21, 17
@@ -164,15 +169,24 @@ def lattice_segmenter(dictionary: Iterable[tuple[str, int]]):
     (word, frequency) pairs."""
     lattice = Lattice(dictionary)
 
-    def cut(batch: pd.Series) -> pd.Series:
-        flat = [run for runs in batch if runs is not None for run in runs]
-        distinct = list(dict.fromkeys(flat))
-        words = dict(zip(distinct, lattice.segment(distinct)))
-        return pd.Series([None if runs is None else [w for run in runs for w in words[run]] for runs in batch], dtype=object)
+    def some(batch: pa.Array) -> pa.Array:
+        # Only distinct runs become Python strings, some at a time; rows are put together
+        # out of their words by places.
+        coded = batch.flatten().dictionary_encode()
+        kind = pa.list_(pa.string())
+        parts = [pa.array(lattice.segment(coded.dictionary.slice(at, RUNS_AT_ONCE).to_pylist()), kind) for at in range(0, len(coded.dictionary), RUNS_AT_ONCE)]
+        words = pa.concat_arrays([pa.array([], kind), *parts]).take(coded.indices)
+        ends = np.concatenate(([0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64))))
+        runs = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False).astype(np.int64))))
+        return pa.ListArray.from_arrays(pa.array(ends[runs], pa.int32()), words.flatten(), mask=batch.is_null())
+
+    def cut(batch: pa.Array) -> pa.Array:
+        none = pa.array([], pa.list_(pa.string()))
+        return pa.concat_arrays([none, *(some(batch.slice(at, ROWS_AT_ONCE)) for at in range(0, len(batch), ROWS_AT_ONCE))])
 
     # Named types: annotations of this module are strings.
-    cut.__annotations__ = {"batch": pd.Series, "return": pd.Series}
-    cut_runs = F.pandas_udf(cut, "array<string>")
+    cut.__annotations__ = {"batch": pa.Array, "return": pa.Array}
+    cut_runs = F.arrow_udf(cut, "array<string>")
 
     def segmenter(text: Column) -> Column:
         return cut_runs(F.regexp_extract_all(text, F.lit(RUN), F.lit(0)))
