@@ -100,3 +100,11 @@ def test_a_changed_dimension_is_seen(spark, tmp_path):
     for prefix, name in (("http://a.", "old"), ("http://a.example", "new")):
         spark.createDataFrame([(prefix, name)], "prefix string, category string").write.mode("append").parquet(path)
         assert category() == name
+
+
+def test_traffic_detail_parses_lines_once(spark):
+    """Page views are stored: what is left to run reads neither lines nor dictionaries."""
+    detail = entry_mod.queries()["traffic_detail"](spark, entry_mod.SMOKE_DIR)
+    plan = detail._jdf.queryExecution().executedPlan().toString()
+    assert "events.parquet" not in plan and "from_json" not in plan.lower()
+    assert detail.count() > 0
