@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tidelog.operators import identity
@@ -125,3 +126,11 @@ def test_parts_of_small_chunks_meet(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == {**{f"r{i:02d}": "r00" for i in range(40)}, "x": "x", "y": "x", "z": "z"}
+
+
+def test_places_are_the_same_in_spark_and_in_arrays(spark):
+    numbers = [0, 1, 5, (3 << 40) + 7, (1 << 62) + 12345]
+    for step in (1, 2, 9):
+        frame = spark.createDataFrame([(n,) for n in numbers], "n long").select("n", identity._in_order("n", step).alias("place"))
+        got = [r["place"] for r in frame.withColumn("back", identity._in_order("place", step)).where("back = n").collect()]
+        assert got == identity._places(np.array(numbers), step).tolist() and len(set(got)) == len(numbers)
