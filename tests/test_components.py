@@ -134,3 +134,24 @@ def test_places_are_the_same_in_spark_and_in_arrays(spark):
         frame = spark.createDataFrame([(n,) for n in numbers], "n long").select("n", identity._in_order("n", step).alias("place"))
         got = [r["place"] for r in frame.withColumn("back", identity._in_order("place", step)).where("back = n").collect()]
         assert got == identity._places(np.array(numbers), step).tolist() and len(set(got)) == len(numbers)
+
+
+def test_rows_in_no_order_make_few_parts(spark, monkeypatch):
+    links = []
+    contract = identity.contract
+    monkeypatch.setattr(identity, "contract", lambda edges, base: links.append(edges.count()) or contract(edges, base))
+    monkeypatch.setattr(identity, "EDGES_AT_ONCE", 200)
+    rows = [(f"o{i % 500:03d}", f"p{i:04d}") for i in range(3000)]
+    random.Random(3).shuffle(rows)
+    frame = spark.createDataFrame(rows, "a string, b string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        found = identity.resolve_identities(frame, ["a", "b"])
+        assert {(r["id"], r["component"]) for r in found.labels.collect()} == {(x, a) for a, b in rows for x in (a, b)}
+        assert sorted(r["n_members"] for r in found.sizes.collect()) == [7] * 500
+        held = spark.createDataFrame([("p0000", "p0000"), ("p0500", "p0500")], "id string, component string")
+        assert [tuple(r) for r in identity.advance_identities(held, frame, ["a", "b"]).merges.collect()] == [("p0500", "p0000")]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    # One link where a chunk ends, not one for every other row of an identifier.
+    assert len(links) == 2 and max(links) <= 50
